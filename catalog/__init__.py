@@ -1,5 +1,5 @@
 """Every operator bound to the driver tables, each with an independent DuckDB query."""
 
-from catalog import detect
+from catalog import corpus, detect, text
 
-MODULES = [detect]
+MODULES = [text, detect, corpus]

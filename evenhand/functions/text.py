@@ -65,7 +65,9 @@ def truncate(text: Column, limit: int = 2048) -> Column:
 
 def profanity(text: Column, words: list[str] | None = None) -> Column:
     """Every whole-word match, repeats included, in reading order."""
-    pattern = f"{NOT_AFTER_WORD}({'|'.join(words or L.PROFANITY)}){NOT_BEFORE_WORD}"
+    words = words or L.PROFANITY
+    starts = "".join(sorted({w[0] for w in words}))
+    pattern = f"(?=[{starts}]){NOT_AFTER_WORD}({'|'.join(words)}){NOT_BEFORE_WORD}"
     return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1))
 
 

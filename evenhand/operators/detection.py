@@ -285,8 +285,7 @@ def dialect_findings(lexicons: Lexicons, options: DetectOptions,
     judged = (F.when(M.any_of(F.col(FOUND), lexicons.dialect_negative), 0.4).otherwise(0.0))
     corrected = (F.when(M.any_of(F.col(FOUND), lexicons.dialect_correction), 0.3).otherwise(0.0))
 
-    found = []
-    for dialect, markers in lexicons.dialect_markers.items():
+    def of_dialect(dialect: str, markers: list[str]) -> Column:
         marks = F.transform(
             F.array(M.among(F.col(FOUND), markers)),
             lambda m: F.struct(m.alias("markers"), F.least(
@@ -294,9 +293,11 @@ def dialect_findings(lexicons: Lexicons, options: DetectOptions,
                 F.lit(1.0)).alias("score")))
         marks = F.filter(marks, lambda m: (F.size(m["markers"]) > 0)
                          & (m["score"] > F.lit(float(options.threshold))))
-        found.append(F.transform(marks, lambda m, d=dialect: finding(
-            "dialect", "linguistic", m["score"], m["markers"], category=F.lit(d),
-            marker_count=F.size(m["markers"]))))
+        return F.transform(marks, lambda m: finding(
+            "dialect", "linguistic", m["score"], m["markers"], category=F.lit(dialect),
+            marker_count=F.size(m["markers"])))
+
+    found = [of_dialect(d, markers) for d, markers in lexicons.dialect_markers.items()]
     every = _flat(lexicons.dialect_markers.values())
     return F.when((language == "en") & M.any_of(F.col(FOUND), every),
                   F.concat(*found)).otherwise(_none())

@@ -54,7 +54,10 @@ def keywords(df: DataFrame, k: int = 10, text_col: str = "text",
     ))
     top = starts.withColumn("_top", F.slice(F.array_sort(runs), 1, k))
     keep = [c for c in df.columns if c != text_col]
-    return top.select(*keep, "_total", F.posexplode("_top").alias("_n", "_k")).select(
+    # The outer form, so that no "array not empty" filter is derived and pushed down, which
+    # would compute the ranking twice.
+    ranked = top.select(*keep, "_total", F.posexplode_outer("_top").alias("_n", "_k"))
+    return ranked.where(F.col("_n").isNotNull()).select(
         *keep,
         (F.col("_n") + 1).alias("rank"),
         F.col("_k.keyword").alias("keyword"),
@@ -73,10 +76,12 @@ def language_of(text: Column, profiles: dict[str, list[str]] | None = None,
     every = sorted({w for ws in profiles.values() for w in ws})
 
     def best_of(hits: Column) -> Column:
+        def hits_of(ws):
+            return F.size(F.filter(hits, lambda w: w.isin(list(ws))))
+
         scored = F.array(*[
-            F.struct(
-                F.size(F.filter(hits, lambda w, ws=ws: w.isin(list(ws)))).alias("hits"),
-                F.lit(-n).alias("order"), F.lit(lang).alias("language"))
+            F.struct(hits_of(ws).alias("hits"), F.lit(-n).alias("order"),
+                     F.lit(lang).alias("language"))
             for n, (lang, ws) in enumerate(profiles.items())
         ])
         best = F.array_max(scored)
