@@ -1,5 +1,5 @@
 """Every operator bound to the driver tables, each with an independent DuckDB query."""
 
-from catalog import corpus, detect, text
+from catalog import corpus, detect, labelled, text
 
-MODULES = [text, detect, corpus]
+MODULES = [text, detect, corpus, labelled]

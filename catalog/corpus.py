@@ -543,7 +543,7 @@ SQL = {
         round(bias_score, 6) AS bias_score FROM findings WHERE bias_type = 'demographic'
         AND severity = 'high' AND bias_score >= 0.65e0""",
     "score_histogram": f"""{ALL}, binned AS (SELECT greatest(1, least(20,
-        floor(bias_score / (1e0 / 20))::INT + 1)) AS bin FROM findings)
+        floor(bias_score * 20)::INT + 1)) AS bin FROM findings)
         SELECT b AS bin, round((b - 1) * 0.05e0, 6) AS lower, round(b * 0.05e0, 6) AS upper,
           (SELECT count(*) FROM binned WHERE bin = b) AS findings
         FROM (SELECT unnest(range(1, 21)) AS b)""",

@@ -18,8 +18,17 @@ RANGES = 256
 def rank_sums(df: DataFrame, group: str, score: str, by: tuple = (),
               ranges: int = RANGES) -> DataFrame:
     """Per (by, group): rows ``n``, rank sum ``rank_sum`` and its part of the tie term."""
-    counts = (df.where(F.col(score).isNotNull() & F.col(group).isNotNull())
-              .groupBy(*by, group, score).agg(F.count(F.lit(1)).alias("_n")))
+    return _rank_sums(score_counts(df, group, score, by), group, score, by, ranges)
+
+
+def score_counts(df: DataFrame, group: str, score: str, by: tuple = ()) -> DataFrame:
+    """Rows per distinct score of a group; everything else works on this table."""
+    return (df.where(F.col(score).isNotNull() & F.col(group).isNotNull())
+            .groupBy(*by, group, score).agg(F.count(F.lit(1)).alias("_n")))
+
+
+def _rank_sums(counts: DataFrame, group: str, score: str, by: tuple,
+               ranges: int = RANGES) -> DataFrame:
     cuts = counts.agg(F.percentile_approx(
         score, [i / ranges for i in range(1, ranges)], F.lit(ranges * 40)).alias("c")).scalar()
     ranged = counts.withColumn("_cuts", cuts).withColumn(
@@ -52,10 +61,11 @@ def kruskal_wallis(df: DataFrame, group: str, score: str, by: tuple = (),
     One row per ``by`` with at least two such groups; identical scores give a null H and
     are not significant.
     """
-    big = (df.groupBy(*by, group).agg(F.count(score).alias("_rows"))
+    counts = score_counts(df, group, score, by)
+    big = (counts.groupBy(*by, group).agg(F.sum("_n").alias("_rows"))
            .where(F.col("_rows") >= min_group_size).drop("_rows"))
-    kept = df.select(*by, group, score).join(big, [*by, group], "left_semi")
-    sums = rank_sums(kept, group, score, by)
+    kept = counts.join(big, [*by, group], "left_semi")
+    sums = _rank_sums(kept, group, score, by)
     total = sums.groupBy(*by).agg(
         F.count(F.lit(1)).alias("groups"), F.sum("n").alias("n"), F.sum("ties").alias("ties"),
         F.sum(F.col("rank_sum") * F.col("rank_sum") / F.col("n")).alias("squares"))
