@@ -17,6 +17,9 @@ INSULTS = ["trash", "idiot", "scum", "clown", "worthless", "moron", "pathetic",
            "stupid", "disgusting"]
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
 def _r(name, digits=6):
     return F.round(name, digits).alias(name)
 
@@ -53,16 +56,15 @@ def _individual(spark, sf):
 
 
 def _individual_texts(spark, sf):
-    """Hashed word counts of every document, the default threshold 0.9; y = insult found."""
-    from evenhand.functions.text import words
-
-    counts = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda b: F.size(
-        F.filter("h", lambda h: h == b)).cast("double"))
-    docs = B.table(spark, sf, "documents").select(
-        F.transform(words(F.col("text")), lambda w: F.pmod(
-            F.ascii(w) * 31 + F.length(w), F.lit(64))).alias("h"),
-        F.lower("text").rlike("|".join(INSULTS)).cast("int").alias("y"))
-    return E.individual_fairness(docs.select(counts.alias("v"), "y"), "v", "y")
+    """Letter counts of every document; y = insult found."""
+    low = B.table(spark, sf, "documents").select(F.lower("text").alias("low"))
+    letters = F.array(*[
+        (F.length("low") - F.length(F.replace("low", F.lit(c)))).cast("double")
+        for c in LETTERS])
+    docs = low.select(letters.alias("v"), F.col("low").rlike("|".join(INSULTS)).cast("int")
+                      .alias("y"))
+    return E.individual_fairness(docs, "v", "y", threshold=0.98).select(
+        "similar_pairs", "differing_pairs", _r("individual_fairness"))
 
 
 def _mann_whitney(spark, sf):
@@ -263,6 +265,15 @@ SQL = {
         SELECT count(*) AS similar_pairs, count(*) FILTER (differs) AS differing_pairs,
           round(CASE WHEN count(*) = 0 THEN 1e0
             ELSE 1e0 - count(*) FILTER (differs) / count(*) END, 6) AS individual_fairness FROM p""",
+    "individual_fairness_texts": f"""WITH d AS (SELECT doc_id, [{', '.join(
+        f"(length(low) - length(replace(low, '{c}', '')))::DOUBLE" for c in LETTERS)}] AS v,
+        {' OR '.join(f"contains(low, '{w}')" for w in INSULTS)} AS y
+        FROM (SELECT doc_id, lower(text) AS low FROM documents)),
+        p AS (SELECT a.y <> b.y AS differs FROM d a JOIN d b ON a.doc_id < b.doc_id
+          AND list_sum(a.v) > 0 AND list_sum(b.v) > 0
+          AND list_cosine_similarity(a.v, b.v) >= 0.98e0)
+        SELECT count(*) AS similar_pairs, count(*) FILTER (differs) AS differing_pairs,
+          round(1e0 - count(*) FILTER (differs) / count(*), 6) AS individual_fairness FROM p""",
     "mann_whitney": f"""WITH {LABELLED}, ranked AS (SELECT y_true, rank() OVER (ORDER BY n_chars)
         + (count(*) OVER (PARTITION BY n_chars) - 1) / 2 AS r FROM labelled)
         SELECT count(*) FILTER (y_true = 1) AS n1, count(*) FILTER (y_true = 0) AS n2,

@@ -151,7 +151,7 @@ def individual_fairness(df: DataFrame, vector: str, y_pred: str, threshold: floa
                             .otherwise(F.array("i", "j"))).alias("b"))
     members = ranged.join(sides, "b").select("i", "j", "b", "v", "y", "w")
 
-    def count_pairs(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def count_pairs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         similar, differing = _pair_counts(rows, int(key[0]), int(key[1]), threshold, tolerance)
         return pd.DataFrame({"similar": [similar], "differing": [differing]})
 
