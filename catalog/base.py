@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from evenhand import lexicons as L
 from evenhand.functions.matching import literal_array
+from evenhand.sources.texts import spread
 
 PHRASES = [
     "The man is an engineer and he should be a strong leader.",
@@ -54,13 +55,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
 
 
 def carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a phrase appended; ``lang`` is the language column."""
     phrases = literal_array(PHRASES)
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id",
         F.concat("text", F.lit(" "),
                  F.get(phrases, (F.col("doc_id") % len(PHRASES)).cast("int"))).alias("text"),

@@ -22,7 +22,7 @@ BY = ("source",)
 OPTIONS = DetectOptions(min_group_size=20)
 
 
-def _r(name, digits=6):
+def _r(name, digits=9):
     return F.round(name, digits).alias(name)
 
 
@@ -272,8 +272,20 @@ def _flagship(spark, sf):
         "group_type", "group_name", "severity").agg(F.count(F.lit(1)).alias("findings"))
 
 
+def _detect_run(spark, sf):
+    """A whole run per source: rates of the preprocessed texts and the advice they give."""
+    from evenhand.plans.run import detect
+
+    run = detect(B.carrier(spark, sf), by=BY, persist=False)
+    metrics = run.metrics.select("source", *RUN_COLUMNS, *[_r(c) for c in RUN_RATES])
+    advice = run.recommendations.groupBy("source").agg(
+        F.count(F.lit(1)).alias("rules"), F.count("mitigation").alias("mitigations"))
+    return metrics.join(advice, "source", "left")
+
+
 QUERIES = {
     "flagship": _flagship,
+    "detect_run": _detect_run,
     "group_findings": _group_findings,
     "group_comparisons": _group_comparisons,
     "severity_distribution": _severity_distribution,
@@ -406,7 +418,7 @@ RUNS = f"""{runs_sql()}, runs AS (SELECT source AS run_id, source AS model_name,
     regexp_extract(source, '(\\d+)', 1)::INT % 4 AS duration_s, * FROM metrics)"""
 
 _RUN_SELECT = ("total_samples, finding_count, biased_samples, "
-               + ", ".join(f"round({c}, 6) AS {c}" for c in RUN_RATES))
+               + ", ".join(f"round({c}, 9) AS {c}" for c in RUN_RATES))
 
 _UNPIVOT_TYPES = " UNION ALL ".join(
     f"SELECT '{t}' AS bias_type, count(*) FILTER (bias_type = '{t}') AS findings FROM findings"
@@ -431,48 +443,56 @@ _MESSAGES = f"""
 
 _FEATURES_ONLY = FEATURES.split(S.LOW_CARRIER + ",", 1)[1]
 
+_PREPARED = S.LOW_CARRIER.replace("lower(text)", f"lower({TX.preprocess_sql('text')})")
+
 SQL = {
+    "detect_run": f"""{S.findings_cte(_PREPARED)}, {runs_sql()},
+        {_FEATURES_ONLY.replace('dialect_lists AS', 'marker_lists AS').replace('FROM low, dialect_lists', 'FROM low, marker_lists')},
+        {sentiments_sql('source')}, messages AS ({_MESSAGES})
+        SELECT source, {_RUN_SELECT}, rules, mitigations FROM metrics LEFT JOIN (
+          SELECT source, count(*) AS rules, count(mitigation) AS mitigations FROM messages
+          GROUP BY source) USING (source)""",
     "flagship": f"""{S.findings_cte(checks=['trait']).replace(
         'lower(text)', f"lower({TX.anonymize_sql(TX.clean_sql('text'))})")}
         SELECT group_type, group_name, severity, count(*) AS findings FROM findings GROUP BY ALL""",
     "group_findings": f"{DEMO} SELECT group_type, group_name, count(*) AS findings FROM findings "
                       "WHERE group_type IS NOT NULL GROUP BY ALL",
     "group_comparisons": f"""{DEMO}, {comparisons_sql()} SELECT group_type, group_name, bias_count,
-        round(avg_score, 6) AS avg_bias_score, round(max_score, 6) AS max_bias_score,
-        round(disparity, 6) AS disparity FROM comparisons""",
+        round(avg_score, 9) AS avg_bias_score, round(max_score, 9) AS max_bias_score,
+        round(disparity, 9) AS disparity FROM comparisons""",
     "severity_distribution": f"{DEMO} SELECT group_type, group_name, severity, "
                              "count(*) AS findings FROM findings GROUP BY ALL",
     "parity_metrics": f"""{DEMO}, {comparisons_sql()}, {parity_sql()} SELECT group_type, groups,
-        round(parity_violation, 6) AS parity_violation,
-        round(equalized_odds, 6) AS equalized_odds FROM parity""",
+        round(parity_violation, 9) AS parity_violation,
+        round(equalized_odds, 9) AS equalized_odds FROM parity""",
     "disparate_impact": f"{DEMO}, {comparisons_sql()} SELECT "
-                        "round(coalesce(avg(disparity), 0e0), 6) AS disparate_impact "
+                        "round(coalesce(avg(disparity), 0e0), 9) AS disparate_impact "
                         "FROM comparisons",
     "kruskal_wallis": f"{DEMO}, {KRUSKAL} SELECT group_type, groups, n, round(h, 4) AS h FROM h",
     "protected_attributes": f"""{DEMO}, {comparisons_sql()} SELECT group_type,
         sum(bias_count) AS findings, sum(severe) AS severe FROM comparisons GROUP BY group_type
         HAVING sum(bias_count) > 10 AND sum(severe) > 5""",
     "worst_disparity": f"""{DEMO}, {comparisons_sql()} SELECT group_type, group_name,
-        round(disparity, 6) AS disparity FROM comparisons WHERE disparity > 0
-        ORDER BY comparisons.disparity DESC, group_type, group_name LIMIT 1""",
+        round(disparity, 9) AS disparity FROM comparisons WHERE disparity > 0
+        ORDER BY round(comparisons.disparity, 12) DESC, group_type, group_name LIMIT 1""",
     "demographic_analysis": f"""{DEMO}, {comparisons_sql('source')}, {parity_sql('source')}
-        SELECT source, metric, round(value, 6) AS value FROM (
+        SELECT source, metric, round(value, 9) AS value FROM (
         SELECT source, group_type || '_parity_violation' AS metric, parity_violation AS value
           FROM parity
         UNION ALL SELECT source, 'disparate_impact', coalesce(avg(disparity), 0e0)
           FROM comparisons GROUP BY source
         UNION ALL SELECT source, 'worst_disparity/' || group_type || '/' || group_name, disparity
           FROM (SELECT *, row_number() OVER (PARTITION BY source
-            ORDER BY disparity DESC, group_type, group_name) AS n
+            ORDER BY round(disparity, 12) DESC, group_type, group_name) AS n
             FROM comparisons WHERE disparity > 0) WHERE n = 1)""",
     "dialect_distribution": f"""WITH {FEATURES} SELECT dialect, count(*) AS texts,
-        round(count(*) / (SELECT count(*) FROM low), 6) AS share FROM text_dialects
+        round(count(*) / (SELECT count(*) FROM low), 9) AS share FROM text_dialects
         GROUP BY dialect""",
     "formality_distribution": f"""WITH {FEATURES}, ratios AS (SELECT formal / (formal + informal) AS r
         FROM features WHERE formal + informal > 0) SELECT count(*) AS texts,
-        round(avg(r), 6) AS average_formality, round(stddev_pop(r), 6) AS formality_variance,
-        round(greatest(0e0, avg(r) - 0.7e0), 6) AS formal_bias,
-        round(greatest(0e0, 0.3e0 - avg(r)), 6) AS informal_bias FROM ratios
+        round(avg(r), 9) AS average_formality, round(stddev_pop(r), 9) AS formality_variance,
+        round(greatest(0e0, avg(r) - 0.7e0), 9) AS formal_bias,
+        round(greatest(0e0, 0.3e0 - avg(r)), 9) AS informal_bias FROM ratios
         HAVING count(*) > 0""",
     "vocabulary_top": f"""WITH {B.CARRIER}, tokens AS (SELECT unnest(
         regexp_extract_all(text, '[^{TX.SPACE[1:]}+')) AS w FROM carrier),
@@ -486,14 +506,14 @@ SQL = {
         SELECT 'technical' AS register, coalesce(avg(technical) FILTER (technical > 0), 0e0) AS v
           FROM features
         UNION ALL SELECT 'casual', coalesce(avg(casual) FILTER (casual > 0), 0e0) FROM features)
-        SELECT register, round(v, 6) AS mean_terms, v > 2 AS flagged,
+        SELECT register, round(v, 9) AS mean_terms, v > 2 AS flagged,
           CASE WHEN v > 2 THEN 8 ELSE 0 END AS listed FROM m""",
     "sentiment_by_group": f"""WITH {FEATURES}, {sentiments_sql()} SELECT kind, "group", texts,
-        round(sentiment, 6) AS sentiment FROM sentiments""",
+        round(sentiment, 9) AS sentiment FROM sentiments""",
     "sentiment_disparities": f"WITH {FEATURES}, {sentiments_sql()} SELECT kind, groups, "
-                             "round(disparity, 6) AS disparity FROM gaps",
+                             "round(disparity, 9) AS disparity FROM gaps",
     "linguistic_analysis": f"""WITH {FEATURES}, {sentiments_sql('source')}
-        SELECT source, metric, round(value, 6) AS value FROM (
+        SELECT source, metric, round(value, 9) AS value FROM (
         SELECT source, 'dialect/' || dialect AS metric, count(*) / any_value(total) AS value
           FROM text_dialects JOIN (SELECT source, count(*) AS total FROM low GROUP BY source)
           USING (source) GROUP BY source, dialect
@@ -515,40 +535,40 @@ SQL = {
         {', '.join([*L.BIAS_TYPES, *L.SEVERITIES])} FROM metrics""",
     "bias_trends": f"""{ALL}, {RUNS}, named AS (SELECT *, 'm' || (regexp_extract(run_id, '(\\d+)', 1)::INT % 3)
         AS m FROM runs) SELECT m AS model_name, run_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
-        round(biased_sample_rate, 6) AS biased_sample_rate,
-        round(overall_bias_score, 6) AS overall_bias_score,
-        round(biased_sample_rate - lag(biased_sample_rate) OVER w, 6) AS rate_change,
-        round(overall_bias_score - lag(overall_bias_score) OVER w, 6) AS score_change
+        round(biased_sample_rate, 9) AS biased_sample_rate,
+        round(overall_bias_score, 9) AS overall_bias_score,
+        round(biased_sample_rate - lag(biased_sample_rate) OVER w, 9) AS rate_change,
+        round(overall_bias_score - lag(overall_bias_score) OVER w, 9) AS score_change
         FROM named WINDOW w AS (PARTITION BY m ORDER BY named.ts)""",
     "hourly_trends": f"""{ALL}, {RUNS} SELECT
         strftime(time_bucket(INTERVAL '2 hours', ts), '%Y-%m-%d %H:%M:%S') AS bucket,
         sum(total_samples) AS total_samples,
-        round(sum(biased_samples) / sum(total_samples), 6) AS biased_sample_rate,
-        round(sum(overall_bias_score * finding_count) / sum(finding_count), 6)
+        round(sum(biased_samples) / sum(total_samples), 9) AS biased_sample_rate,
+        round(sum(overall_bias_score * finding_count) / sum(finding_count), 9)
           AS overall_bias_score FROM runs GROUP BY 1""",
     "comparative_report": f"""{ALL}, {RUNS},
         best AS (SELECT * FROM runs ORDER BY biased_sample_rate, ts LIMIT 1),
         worst AS (SELECT * FROM runs ORDER BY biased_sample_rate DESC, ts LIMIT 1)
         SELECT (SELECT sum(total_samples) FROM runs) AS total_samples,
           (SELECT sum(biased_samples) FROM runs) AS biased_samples,
-          (SELECT round(sum(biased_samples) / sum(total_samples), 6) FROM runs) AS average_bias_rate,
+          (SELECT round(sum(biased_samples) / sum(total_samples), 9) FROM runs) AS average_bias_rate,
           best.model_name AS best_name, worst.model_name AS worst_name,
-          round(best.biased_sample_rate, 6) AS best_rate,
-          round(best.overall_bias_score, 6) AS best_score,
-          round(worst.biased_sample_rate, 6) AS worst_rate,
-          round(worst.overall_bias_score, 6) AS worst_score FROM best, worst""",
+          round(best.biased_sample_rate, 9) AS best_rate,
+          round(best.overall_bias_score, 9) AS best_score,
+          round(worst.biased_sample_rate, 9) AS worst_rate,
+          round(worst.overall_bias_score, 9) AS worst_score FROM best, worst""",
     "type_distribution": f"{ALL} SELECT bias_type, count(*) AS findings FROM findings GROUP BY 1",
     "severity_counts": f"{ALL} SELECT severity, count(*) AS findings FROM findings GROUP BY 1",
     "filter_findings": f"""{ALL} SELECT doc_id, check_name, group_name, term, pattern,
-        round(bias_score, 6) AS bias_score FROM findings WHERE bias_type = 'demographic'
+        round(bias_score, 9) AS bias_score FROM findings WHERE bias_type = 'demographic'
         AND severity = 'high' AND bias_score >= 0.65e0""",
     "score_histogram": f"""{ALL}, binned AS (SELECT greatest(1, least(20,
         floor(bias_score * 20)::INT + 1)) AS bin FROM findings)
-        SELECT b AS bin, round((b - 1) * 0.05e0, 6) AS lower, round(b * 0.05e0, 6) AS upper,
+        SELECT b AS bin, round((b - 1) * 0.05e0, 9) AS lower, round(b * 0.05e0, 9) AS upper,
           (SELECT count(*) FROM binned WHERE bin = b) AS findings
         FROM (SELECT unnest(range(1, 21)) AS b)""",
     "sample_findings": f"""{ALL} SELECT doc_id, bias_type, severity,
-        round(bias_score, 6) AS confidence, round(bias_score, 6) AS bias_score FROM findings
+        round(bias_score, 9) AS confidence, round(bias_score, 9) AS bias_score FROM findings
         ORDER BY doc_id, check_name, group_type NULLS FIRST, group_name NULLS FIRST,
           term NULLS FIRST, pattern NULLS FIRST, category NULLS FIRST LIMIT 10""",
     "period_report": f"""{ALL}, {RUNS}, r AS (SELECT date_trunc('day', ts) AS period,
@@ -561,6 +581,6 @@ SQL = {
           coalesce(score, 0e0) AS score FROM r FULL JOIN a ON r.period = a.period)
         SELECT strftime(period, '%Y-%m-%d %H:%M:%S') AS period, sum(texts) AS texts,
           sum(findings) AS findings, sum(alerts) AS alerts,
-          round(CASE WHEN sum(findings) > 0 THEN sum(score) / sum(findings) END, 6) AS avg_score
+          round(CASE WHEN sum(findings) > 0 THEN sum(score) / sum(findings) END, 9) AS avg_score
         FROM b GROUP BY ROLLUP (period)""",
 }

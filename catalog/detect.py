@@ -15,7 +15,7 @@ def shown(findings):
     """Finding columns in a form that compares across engines."""
     return findings.select(
         "doc_id", "check_name", "bias_type", "severity",
-        F.round("bias_score", 6).alias("bias_score"),
+        F.round("bias_score", 9).alias("bias_score"),
         F.array_join("biased_terms", ",").alias("terms"), "group_type", "group_name",
         "category", "term", "pattern", "suggestion", "marker_count")
 

@@ -172,4 +172,4 @@ def findings_cte(source: str = LOW_CARRIER, checks=ALL) -> str:
 
 def findings_sql(checks, source: str = LOW_CARRIER) -> str:
     return (findings_cte(source, checks)
-            + f" SELECT * REPLACE (round(bias_score, 6) AS bias_score) FROM findings")
+            + f" SELECT * REPLACE (round(bias_score, 9) AS bias_score) FROM findings")

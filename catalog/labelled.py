@@ -20,7 +20,7 @@ INSULTS = ["trash", "idiot", "scum", "clown", "worthless", "moron", "pathetic",
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
-def _r(name, digits=6):
+def _r(name, digits=9):
     return F.round(name, digits).alias(name)
 
 
@@ -57,7 +57,7 @@ def _individual(spark, sf):
 
 def _individual_texts(spark, sf):
     """Letter counts of every document; y = insult found."""
-    low = B.table(spark, sf, "documents").select(F.lower("text").alias("low"))
+    low = B.documents(spark, sf).select(F.lower("text").alias("low"))
     letters = F.array(*[
         (F.length("low") - F.length(F.replace("low", F.lit(c)))).cast("double")
         for c in LETTERS])
@@ -188,7 +188,7 @@ _SPACES = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
 
 
 def _share(char_class: str) -> str:
-    return (f"round(sum(len(regexp_extract_all(text, '{char_class}'))) / sum(length(text)), 6)")
+    return (f"round(sum(len(regexp_extract_all(text, '{char_class}'))) / sum(length(text)), 9)")
 
 
 _STATS = f"""stats AS (SELECT count(*) AS total_texts, count(*) FILTER ({_VALID}) AS valid_texts,
@@ -247,24 +247,24 @@ def _report_sql() -> str:
 
 SQL = {
     "demographic_parity_difference": f"""WITH {LABELLED}, r AS (SELECT avg(y_pred) AS rate
-        FROM labelled GROUP BY lang) SELECT round(max(rate) - min(rate), 6)
+        FROM labelled GROUP BY lang) SELECT round(max(rate) - min(rate), 9)
         AS demographic_parity_difference FROM r""",
     "equalized_odds_difference": f"""WITH {LABELLED}, r AS (SELECT
         avg(y_pred) FILTER (y_true = 1) AS tpr, avg(y_pred) FILTER (y_true = 0) AS fpr
         FROM labelled GROUP BY lang HAVING count(DISTINCT y_true) = 2)
-        SELECT round(CASE WHEN count(*) >= 2 THEN max(tpr) - min(tpr) ELSE 0 END, 6)
+        SELECT round(CASE WHEN count(*) >= 2 THEN max(tpr) - min(tpr) ELSE 0 END, 9)
           AS tpr_difference,
-          round(CASE WHEN count(*) >= 2 THEN max(fpr) - min(fpr) ELSE 0 END, 6)
+          round(CASE WHEN count(*) >= 2 THEN max(fpr) - min(fpr) ELSE 0 END, 9)
           AS fpr_difference FROM r""",
     "disparate_impact_ratio": f"""WITH {LABELLED}, r AS (SELECT avg(quality) AS rate
-        FROM labelled GROUP BY lang) SELECT round(min(rate) / max(rate), 6)
+        FROM labelled GROUP BY lang) SELECT round(min(rate) / max(rate), 9)
         AS disparate_impact_ratio FROM r""",
     "individual_fairness": """WITH p AS (SELECT abs(a.label - b.label) > 0.1 AS differs
         FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id AND list_cosine_similarity(
           a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.3e0)
         SELECT count(*) AS similar_pairs, count(*) FILTER (differs) AS differing_pairs,
           round(CASE WHEN count(*) = 0 THEN 1e0
-            ELSE 1e0 - count(*) FILTER (differs) / count(*) END, 6) AS individual_fairness FROM p""",
+            ELSE 1e0 - count(*) FILTER (differs) / count(*) END, 9) AS individual_fairness FROM p""",
     "individual_fairness_texts": f"""WITH d AS (SELECT doc_id, [{', '.join(
         f"(length(low) - length(replace(low, '{c}', '')))::DOUBLE" for c in LETTERS)}] AS v,
         {' OR '.join(f"contains(low, '{w}')" for w in INSULTS)} AS y
@@ -273,7 +273,7 @@ SQL = {
           AND list_sum(a.v) > 0 AND list_sum(b.v) > 0
           AND list_cosine_similarity(a.v, b.v) >= 0.98e0)
         SELECT count(*) AS similar_pairs, count(*) FILTER (differs) AS differing_pairs,
-          round(1e0 - count(*) FILTER (differs) / count(*), 6) AS individual_fairness FROM p""",
+          round(1e0 - count(*) FILTER (differs) / count(*), 9) AS individual_fairness FROM p""",
     "mann_whitney": f"""WITH {LABELLED}, ranked AS (SELECT y_true, rank() OVER (ORDER BY n_chars)
         + (count(*) OVER (PARTITION BY n_chars) - 1) / 2 AS r FROM labelled)
         SELECT count(*) FILTER (y_true = 1) AS n1, count(*) FILTER (y_true = 0) AS n2,
@@ -285,21 +285,21 @@ SQL = {
         THEN 1 ELSE 0 END AS flag FROM conversations WHERE role <> 'system'),
         r AS (SELECT avg(flag) FILTER (role = 'user') AS i,
           avg(flag) FILTER (role <> 'user') AS o FROM t)
-        SELECT round(i, 6) AS input_rate, round(o, 6) AS output_rate,
-          round(o / i, 6) AS amplification FROM r""",
+        SELECT round(i, 9) AS input_rate, round(o, 9) AS output_rate,
+          round(o / i, 9) AS amplification FROM r""",
     "intersectional_bias": f"""WITH {FLESCH}, g AS (SELECT avg(score) AS m, count(*) AS n
         FROM flesch GROUP BY lang, source) SELECT round(var_pop(m), 4) AS intersectional_variance,
-        round(max(m) - min(m), 6) AS max_disparity,
-        round(sum(m * n) / sum(n), 6) AS weighted_mean, count(*) AS num_groups FROM g""",
+        round(max(m) - min(m), 9) AS max_disparity,
+        round(sum(m * n) / sum(n), 9) AS weighted_mean, count(*) AS num_groups FROM g""",
     "intersectional_means": f"""WITH {FLESCH} SELECT lang, source,
-        round(avg(score), 6) AS mean_score, count(*) AS rows FROM flesch
+        round(avg(score), 9) AS mean_score, count(*) AS rows FROM flesch
         GROUP BY CUBE (lang, source)""",
     "validate_texts": f"""WITH {B.CARRIER}, {_STATS} SELECT total_texts, valid_texts,
-        round(avg_length, 6) AS avg_length, min_length, max_length,
-        round(duplicate_ratio, 6) AS duplicate_ratio, valid_texts > 0 AS is_valid, '' AS errors,
+        round(avg_length, 9) AS avg_length, min_length, max_length,
+        round(duplicate_ratio, 9) AS duplicate_ratio, valid_texts > 0 AS is_valid, '' AS errors,
         {_WARNINGS} AS warnings FROM stats""",
     "duplicate_ratio": f"""SELECT count(*) AS valid_texts, count(DISTINCT text) AS distinct_texts,
-        round(1e0 - count(DISTINCT text) / count(*), 6) AS duplicate_ratio FROM documents
+        round(1e0 - count(DISTINCT text) / count(*), 9) AS duplicate_ratio FROM documents
         WHERE {_VALID}""",
     "character_distribution": f"""SELECT {_share(_ASCII)} AS ascii_ratio,
         {_share(_DIGIT)} AS digit_ratio, {_share(_PUNCT)} AS punct_ratio,
@@ -310,7 +310,7 @@ SQL = {
           CASE WHEN duration_s <= 0 THEN 'Invalid detection duration' ELSE '' END AS warnings,
           round((CASE WHEN total_samples >= 1000 THEN 1e0 WHEN total_samples >= 100 THEN 0.8e0
             ELSE 0.5e0 END + coalesce(types, 0) / 9 + CASE WHEN run_id = 'src0' THEN 0.5e0
-            WHEN duration_s > 1 THEN 1e0 ELSE 0.7e0 END) / 3, 6) AS quality_score
+            WHEN duration_s > 1 THEN 1e0 ELSE 0.7e0 END) / 3, 9) AS quality_score
         FROM runs LEFT JOIN t USING (run_id)""",
     "quality_report": _report_sql(),
 }

@@ -25,7 +25,7 @@ HOURLY = MonitorOptions(window="1 hour")
 LIMIT = 3 * 3600
 
 
-def _r(name, digits=6):
+def _r(name, digits=9):
     return F.round(name, digits).alias(name)
 
 
@@ -158,7 +158,7 @@ def _stream_window_summary(spark, sf):
 
 
 def _annotated_events(spark, sf):
-    score = F.least(F.lit(1.0), F.round(F.col("value") / 20, 3))
+    score = F.least(F.lit(1.0), F.col("value") / 20)
     one = D.finding("event", "cultural", score, F.array("event_type"), term=F.col("event_type"))
     return B.table(spark, sf, "events").select(
         F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("ts"),
@@ -191,8 +191,7 @@ def _build_alert(spark, sf):
         "alert_id", _stamp("timestamp"), "model_name", _r("bias_rate"), _r("bias_score"),
         "critical_instances_count", F.size("sample_instances").alias("samples"),
         F.array_join(F.transform("sample_instances", lambda s: F.concat_ws(
-            "/", s["severity"], F.format_string("%.3f", s["confidence"]),
-            F.md5(s["text_sample"]))), ",").alias("sampled"))
+            "/", s["severity"], F.md5(s["text_sample"]))), ",").alias("sampled"))
 
 
 def _sent(spark, sf):
@@ -320,8 +319,8 @@ def _summary_sql(where: str = "") -> str:
         FROM messages m LEFT JOIN findings f USING (doc_id) GROUP BY ALL)
       SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, model_name, processed_count,
         finding_count, biased_samples,
-        round(biased_samples / processed_count, 6) AS biased_sample_rate,
-        round(coalesce(score, 0e0), 6) AS overall_bias_score,
+        round(biased_samples / processed_count, 9) AS biased_sample_rate,
+        round(coalesce(score, 0e0), 9) AS overall_bias_score,
         {', '.join([*L.BIAS_TYPES, *L.SEVERITIES])} FROM s {where}"""
 
 
@@ -329,7 +328,7 @@ _CLOSED = ("WHERE w + INTERVAL '1 hour' <= (SELECT max(ts) FROM messages) "
            "- INTERVAL '10 minutes'")
 
 EVENTS = f"""ev AS (SELECT event_id AS doc_id, ts, 'm' || (user_id % 5) AS model_name, event_type,
-      props, event_type = 'error' AS biased, least(1e0, round(value / 20, 3)) AS score FROM events),
+      props, event_type = 'error' AS biased, least(1e0, value / 20) AS score FROM events),
     fe AS (SELECT *, {S.severity('score')} AS severity FROM ev WHERE biased),
     sm AS (SELECT time_bucket(INTERVAL '1 hour', ev.ts) AS w,
       time_bucket(INTERVAL '1 hour', ev.ts) + INTERVAL '1 hour' AS ts, ev.model_name AS model_name,
@@ -373,12 +372,12 @@ SQL = {
     "split_valid": f"WITH {CARRIER} SELECT doc_id::VARCHAR AS message_id, doc_id % 17 <> 0 "
                    "AS valid FROM carrier",
     "detect_stream": f"""{_FINDINGS} SELECT doc_id, check_name, severity,
-        round(bias_score, 6) AS bias_score, group_name, term, category FROM findings
+        round(bias_score, 9) AS bias_score, group_name, term, category FROM findings
         WHERE doc_id % 17 <> 0""",
     "window_summary": _summary_sql(),
     "stream_window_summary": _summary_sql(_CLOSED),
     "alert_candidates": f"""WITH {EVENTS} SELECT {_fmt('w', 'window_start')}, model_name,
-        round(rate, 6) AS biased_sample_rate, high, critical FROM ca""",
+        round(rate, 9) AS biased_sample_rate, high, critical FROM ca""",
     "build_alert": f"""WITH {EVENTS}, top AS (SELECT fe.*,
           time_bucket(INTERVAL '1 hour', fe.ts) AS w, row_number() OVER (
           PARTITION BY time_bucket(INTERVAL '1 hour', fe.ts), model_name
@@ -386,12 +385,12 @@ SQL = {
         FROM fe WHERE severity IN ('high', 'critical')),
         texts AS (SELECT *, event_type || ' ' || repeat(props, 30) AS text FROM top WHERE n <= 3),
         listed AS (SELECT w, model_name, count(*) AS samples, string_agg(severity || '/'
-          || printf('%.3f', score) || '/' || md5(CASE WHEN length(text) > 200
+          || md5(CASE WHEN length(text) > 200
             THEN substring(text, 1, 200) || '...' ELSE text END), ',' ORDER BY n) AS sampled
           FROM texts GROUP BY ALL)
         SELECT sha256(strftime(w, '%Y-%m-%d %H:%M:%S') || '|' || model_name) AS alert_id,
-          {_fmt('ts', 'timestamp')}, model_name, round(rate, 6) AS bias_rate,
-          round(score, 6) AS bias_score, high + critical AS critical_instances_count,
+          {_fmt('ts', 'timestamp')}, model_name, round(rate, 9) AS bias_rate,
+          round(score, 9) AS bias_score, high + critical AS critical_instances_count,
           samples, sampled FROM ca JOIN listed USING (w, model_name)""",
     "rate_limit": f"WITH RECURSIVE {EVENTS}, {_SENT} SELECT model_name, {_fmt('ts')} FROM sent "
                   "WHERE ts IS NOT NULL",
@@ -404,8 +403,8 @@ SQL = {
         WINDOW a AS (PARTITION BY model_name ORDER BY sm.ts ROWS UNBOUNDED PRECEDING)""",
     "processing_metrics": f"""WITH {EVENTS}, {_PROCESSED} SELECT model_name, {_fmt('ts')},
         processed_count, bias_detected_count,
-        round(bias_detected_count / processed_count, 6) AS bias_detection_rate,
-        round(avg_processing_time, 6) AS avg_processing_time FROM pm""",
+        round(bias_detected_count / processed_count, 9) AS bias_detection_rate,
+        round(avg_processing_time, 9) AS avg_processing_time FROM pm""",
     "monitor_status": f"""WITH RECURSIVE {EVENTS}, {_SENT}, {_PROCESSED},
         latest AS (SELECT * FROM pm QUALIFY row_number() OVER (PARTITION BY model_name
           ORDER BY ts DESC) = 1),
@@ -414,8 +413,8 @@ SQL = {
         er AS (SELECT model_name, count(*) AS error_count FROM ev WHERE doc_id % 17 = 0
           GROUP BY model_name)
         SELECT model_name, processed_count, bias_detected_count,
-          round(bias_detected_count / processed_count, 6) AS bias_detection_rate,
-          round(avg_processing_time, 6) AS avg_processing_time,
+          round(bias_detected_count / processed_count, 9) AS bias_detection_rate,
+          round(avg_processing_time, 9) AS avg_processing_time,
           coalesce(alert_count, 0) AS alert_count, {_fmt('last_alert_time')},
           coalesce(error_count, 0) AS error_count
         FROM latest LEFT JOIN al USING (model_name) LEFT JOIN er USING (model_name)""",
@@ -425,7 +424,7 @@ SQL = {
         c AS (SELECT date_trunc('minute', ts) AS minute, count(*) AS n,
           count(*) FILTER (biased) AS b FROM ev GROUP BY 1)
         SELECT {_fmt('mi.minute', 'minute')}, coalesce(n, 0) AS throughput,
-          round(coalesce(b / n, 0e0), 6) AS bias_rate FROM mi LEFT JOIN c USING (minute)""",
+          round(coalesce(b / n, 0e0), 9) AS bias_rate FROM mi LEFT JOIN c USING (minute)""",
     "error_health": f"""WITH {EVENTS} SELECT
         {_fmt("time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01')", 'period')},
         count(*) AS errors, CASE WHEN count(*) < 10 THEN 'normal' WHEN count(*) < 50
@@ -441,7 +440,7 @@ def _round_trip_sql() -> str:
     return f"""{ALL}, {RUNS}, kept AS (SELECT source AS run_id, count(*) AS findings,
         sum(bias_score) AS score FROM findings JOIN low USING (doc_id) GROUP BY 1)
         SELECT run_id, total_samples, biased_samples,
-          round(overall_bias_score, 6) AS overall_bias_score, {_fmt('ts')}, findings,
+          round(overall_bias_score, 9) AS overall_bias_score, {_fmt('ts')}, findings,
           round(score, 4) AS score FROM runs LEFT JOIN kept USING (run_id)"""
 
 

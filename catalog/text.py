@@ -44,13 +44,13 @@ def _syllables(spark, sf):
 
 def _readability(spark, sf):
     r = B.carrier(spark, sf).select("doc_id", T.readability(F.col("text")).alias("r"))
-    return r.select("doc_id", *[F.round(f"r.{c}", 6).alias(c) for c in (
+    return r.select("doc_id", *[F.round(f"r.{c}", 9).alias(c) for c in (
         "flesch_score", "flesch_grade", "avg_sentence_length", "avg_syllables_per_word")])
 
 
 def _keywords(spark, sf):
     return P.keywords(B.carrier(spark, sf)).select(
-        "doc_id", "rank", "keyword", F.round("score", 6).alias("score"))
+        "doc_id", "rank", "keyword", F.round("score", 9).alias("score"))
 
 
 def _language(spark, sf):
@@ -60,7 +60,7 @@ def _language(spark, sf):
 
 def _distribution(spark, sf):
     return P.language_distribution(B.documents(spark, sf)).select(
-        "language", "texts", F.round("share", 6).alias("share"))
+        "language", "texts", F.round("share", 9).alias("share"))
 
 
 QUERIES = {
@@ -166,17 +166,17 @@ SQL = {
     "syllables": f"WITH {CARRIER}, source_texts AS (SELECT * FROM carrier), {COUNTS} "
                  "SELECT doc_id, syllables FROM counts",
     "readability": f"WITH {CARRIER}, source_texts AS (SELECT * FROM carrier), {READABILITY} "
-                   "SELECT doc_id, round(flesch_score, 6) AS flesch_score, "
-                   "round(flesch_grade, 6) AS flesch_grade, "
-                   "round(avg_sentence_length, 6) AS avg_sentence_length, "
-                   "round(avg_syllables_per_word, 6) AS avg_syllables_per_word FROM readability",
+                   "SELECT doc_id, round(flesch_score, 9) AS flesch_score, "
+                   "round(flesch_grade, 9) AS flesch_grade, "
+                   "round(avg_sentence_length, 9) AS avg_sentence_length, "
+                   "round(avg_syllables_per_word, 9) AS avg_syllables_per_word FROM readability",
     "keywords": f"WITH {CARRIER}, source_texts AS (SELECT * FROM carrier), {KEYWORDS} "
-                "SELECT doc_id, rank, keyword, round(score, 6) AS score FROM keywords "
+                "SELECT doc_id, rank, keyword, round(score, 9) AS score FROM keywords "
                 "WHERE rank <= 10",
     "detect_language": f"WITH {language_sql('en', 'en')} "
                        "SELECT doc_id, language, language = lang AS agrees FROM languages",
     "language_distribution": f"""WITH {language_sql('unknown', 'unknown')}
         SELECT language, count(*) AS texts,
-          round(count(*) / (SELECT count(*) FROM languages), 6) AS share
+          round(count(*) / (SELECT count(*) FROM languages), 9) AS share
         FROM languages GROUP BY language""",
 }

@@ -35,7 +35,7 @@ def _counter(spark, sf):
 
 def _skew(spark, sf):
     return B.carrier(spark, sf).select(
-        "doc_id", F.round(X.skew_score(F.lower("text")), 6).alias("score"))
+        "doc_id", F.round(X.skew_score(F.lower("text")), 9).alias("score"))
 
 
 def _differences(spark, sf):
@@ -44,18 +44,18 @@ def _differences(spark, sf):
 
 def _per_text(spark, sf):
     return _differences(spark, sf).select(
-        "doc_id", *[F.round(c, 6).alias(c) for c in ("own_score", "variant_score", "difference")])
+        "doc_id", *[F.round(c, 9).alias(c) for c in ("own_score", "variant_score", "difference")])
 
 
 def _analysis(spark, sf):
     return X.counterfactual_analysis(_differences(spark, sf)).select(
-        "texts", F.round("average_bias_change", 6).alias("average_bias_change"),
+        "texts", F.round("average_bias_change", 9).alias("average_bias_change"),
         "significant_changes")
 
 
 def _effectiveness(spark, sf):
     return X.effectiveness(_differences(spark, sf)).select(
-        F.round("effectiveness", 6).alias("effectiveness"))
+        F.round("effectiveness", 9).alias("effectiveness"))
 
 
 def _sentences(spark, sf):
@@ -250,16 +250,16 @@ SQL = {
           (SELECT unnest({sql_list(L.TEMPLATE_ADJECTIVES['positive'][:2])}) AS v) j""",
     "counterfactuals": f"""{_RANKED} SELECT doc_id, variant_rank, method, target,
         md5(variant) AS digest FROM ranked WHERE variant_rank <= 20""",
-    "skew_score": f"WITH {CARRIER} SELECT doc_id, round({_skew_sql('text')}, 6) AS score "
+    "skew_score": f"WITH {CARRIER} SELECT doc_id, round({_skew_sql('text')}, 9) AS score "
                   "FROM carrier",
     "counterfactual_differences": f"""{_DIFFERENCES} SELECT doc_id,
-        round(own_score, 6) AS own_score, round(variant_score, 6) AS variant_score,
-        round(difference, 6) AS difference FROM differences""",
+        round(own_score, 9) AS own_score, round(variant_score, 9) AS variant_score,
+        round(difference, 9) AS difference FROM differences""",
     "counterfactual_analysis": f"""{_DIFFERENCES} SELECT count(*) AS texts,
-        round(avg(difference), 6) AS average_bias_change,
+        round(avg(difference), 9) AS average_bias_change,
         count(*) FILTER (difference > 0.1e0) AS significant_changes FROM differences""",
     "effectiveness": f"""{_DIFFERENCES} SELECT round(avg(CASE WHEN difference > 0.1e0 THEN 1e0
-        ELSE 0e0 END), 6) AS effectiveness FROM differences""",
+        ELSE 0e0 END), 9) AS effectiveness FROM differences""",
     "paired_cases": f"""WITH names AS (SELECT ({sql_list(GENDERS)})[(c_custkey % 3) + 1] AS gender,
         (c_custkey - CASE WHEN c_custkey % 3 = 0 THEN 3 ELSE c_custkey % 3 END) // 3 AS ord,
         c_name AS name FROM customer),

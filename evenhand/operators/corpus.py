@@ -109,10 +109,11 @@ def protected_attributes(comparisons: DataFrame, by: tuple = ()) -> DataFrame:
 
 
 def worst_disparity(comparisons: DataFrame, by: tuple = ()) -> DataFrame:
-    """The group with the largest disparity; names decide ties."""
+    """The group with the largest disparity; names decide ties.  The two groups of a pair are
+    equally far apart, so the order ignores what floating point adds after 12 digits."""
     ranked = comparisons.where("disparity > 0").select(
         *by, "group_type", "group_name", "disparity")
-    order = [F.desc("disparity"), F.asc("group_type"), F.asc("group_name")]
+    order = [F.desc(F.round("disparity", 12)), F.asc("group_type"), F.asc("group_name")]
     if not by:
         return ranked.orderBy(*order).limit(1)
     return (ranked.withColumn("_n", F.row_number().over(_window(by).orderBy(*order)))

@@ -31,8 +31,9 @@ def _rank_sums(counts: DataFrame, group: str, score: str, by: tuple,
                ranges: int = RANGES) -> DataFrame:
     cuts = counts.agg(F.percentile_approx(
         score, [i / ranges for i in range(1, ranges)], F.lit(ranges * 40)).alias("c")).scalar()
-    ranged = counts.withColumn("_cuts", cuts).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda c: c < F.col(score)))).drop("_cuts")
+    # Never null, or the joins below would push "is not null" under the shared aggregate.
+    ranged = counts.withColumn("_cuts", cuts).withColumn("_range", F.coalesce(
+        F.size(F.filter("_cuts", lambda c: c < F.col(score))), F.lit(0))).drop("_cuts")
 
     sizes = ranged.groupBy(*by, "_range").agg(F.sum("_n").alias("_size"))
     before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_range").rowsBetween(
@@ -64,7 +65,9 @@ def kruskal_wallis(df: DataFrame, group: str, score: str, by: tuple = (),
     counts = score_counts(df, group, score, by)
     big = (counts.groupBy(*by, group).agg(F.sum("_n").alias("_rows"))
            .where(F.col("_rows") >= min_group_size).drop("_rows"))
-    kept = counts.join(big, [*by, group], "left_semi")
+    # An inner join on the unique group keys: a semi join would be pushed below the
+    # aggregate, which could then not be shared between its uses.
+    kept = counts.join(big, [*by, group])
     sums = _rank_sums(kept, group, score, by)
     total = sums.groupBy(*by).agg(
         F.count(F.lit(1)).alias("groups"), F.sum("n").alias("n"), F.sum("ties").alias("ties"),

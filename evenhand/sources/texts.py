@@ -14,6 +14,18 @@ def _trimmed(column):
     return F.regexp_replace(column, f"^{SPACE_CHAR}+|{SPACE_CHAR}+$", "")
 
 
+def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """Rows dealt out to all cores when the scan yields fewer splits than there are cores.
+
+    A few files with one row group each would otherwise keep most cores idle.  A scan of a
+    large table has splits enough and is returned as it is, so nothing is shuffled there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores * per_core)
+
+
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     """One text per non-blank line, trimmed.  Lines have no key of their own: they get the
     unique id Spark gives to rows, so write the table out to keep the ids."""
