@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from evenhand.functions.text import NOT_AFTER_WORD, NOT_BEFORE_WORD, WORD_CHAR
 
-# A list beyond this belongs in a table joined by word (operators.detection.mentions),
+# A list beyond this belongs in a table joined by word (operators.detection.word_mentions),
 # not in an expression that every task carries.
 MAX_TERMS = 5000
 

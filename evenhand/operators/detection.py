@@ -433,6 +433,20 @@ def demographic_groups(df: DataFrame, lexicons: Lexicons = DEFAULT_LEXICONS,
     ).where(F.col("group_name").isNotNull())
 
 
+def word_mentions(df: DataFrame, lexicon: DataFrame, key: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """Rows of a lexicon table whose single-word ``term`` a text holds as a whole word, each
+    once per text.
+
+    For lexicons too long for an expression: distinct words per text joined on the term.
+    No side is forced to be broadcast, since the table may have any size, and only the key
+    and the words are shuffled.
+    """
+    words = F.explode_outer(F.array_distinct(T.words(F.col(text_col))))
+    tokens = df.select(key, words.alias("term")).where(F.col("term").isNotNull())
+    return tokens.join(lexicon, "term").dropDuplicates([key, *lexicon.columns])
+
+
 def quick_check(pairs: DataFrame, key: str = "doc_id",
                 lexicons: Lexicons = DEFAULT_LEXICONS) -> DataFrame:
     """Per prompt: whether any output holds an indicator phrase, which kinds, and the fixed

@@ -114,3 +114,11 @@ def test_pairs_search_the_output_only(spark):
     df = spark.createDataFrame([(1, "a man is lazy", "fine")],
                                "doc_id long, prompt string, output string")
     assert D.detect_pairs(df).count() == 0
+
+
+def test_lexicon_table_join(spark, texts):
+    lexicon = spark.createDataFrame([("man", "male"), ("he", "male"), ("lady", "female")],
+                                    "term string, group_name string")
+    got = {(r["doc_id"], r["term"]) for r in D.word_mentions(
+        texts("The man, the MAN he", "theatre", "", None), lexicon).collect()}
+    assert got == {(0, "man"), (0, "he")}
