@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenhand.llm import decontamination, html_extraction, language_id
+from evenhand.llm import decontamination, html_extraction, language_id, simhash
 from evenhand.llm.common import remainder, table
 
 
@@ -21,6 +21,11 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     contents = language_id.train(documents.filter(remainder("doc_id", 4) != 2))
@@ -28,7 +33,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op6_benchmark_decontamination, op9_language_id)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op6_benchmark_decontamination, op7_simhash_near_dedup, op9_language_id)}
 
 SQL = {
     "op6_benchmark_decontamination": r"""
