@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,16 +16,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; where none is set, as in tests, one below the session's warehouse."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        spark.sparkContext.setCheckpointDir(folder or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
+    return spark.sparkContext.getCheckpointDir()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` with its lineage cut, kept in the shared folder of spark.checkpoint.dir.
+    """`df` with its lineage cut, kept in the shared folder; Spark removes it when it isn't used any more."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """`df` written as a table in the shared folder and read again: smaller than a checkpoint, and read by column.
 
-    Where no folder is set, as in tests, one below the session's warehouse is used.
+    It stays until the session's part of the shared folder is cleared.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or df.sparkSession.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
-    return df.checkpoint()
+    folder = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -62,3 +76,14 @@ def bounded_sample(df: DataFrame, by: str, size: int, order: str) -> DataFrame:
     near = df.filter(F.col(spot) < F.create_map(*pairs)[F.col(by)])
     ranked = near.withColumn(rank, F.row_number().over(Window.partitionBy(by).orderBy(spot, order)))
     return ranked.filter(F.col(rank) <= size).drop(spot, rank)
+
+
+def labelled_sample(df: DataFrame, labels: DataFrame, label: str, size: int, key: str = "doc_id") -> DataFrame:
+    """The rows of `df` whose key is among at most `size` sampled keys of each label, with the label as column `label`.
+
+    Keys are sampled in the label table; a key with several different labels is left out. The
+    sample's bound makes it safe to broadcast, so `df` is filtered where it lies.
+    """
+    from_labels = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.min(label).alias(label), F.max(label).alias("other"))
+    keys = bounded_sample(from_labels.filter(F.col(label) == F.col("other")).drop("other"), label, size, key)
+    return df.join(F.broadcast(keys), key)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenhand.llm import decontamination, html_extraction, language_id, simhash, suffix_dedup
+from evenhand.llm import decontamination, html_extraction, language_id, quality, simhash, suffix_dedup, toxicity
 from evenhand.llm.common import remainder, table
 
 
@@ -14,6 +14,23 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    teaching = remainder("doc_id", 3) != 1
+    positives = table(spark, sf_dir, "labels").filter(teaching & (F.col("quality") == 1))
+    model = quality.fit(documents.filter(teaching), positives)
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
+    return quality.classify(documents, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    teaching = remainder("doc_id", 3) != 1
+    model = toxicity.fit(documents.filter(teaching), table(spark, sf_dir, "labels").filter(teaching))
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
+    return toxicity.grade(documents, model).select("doc_id", held_out.alias("held_out"), "severity", "grade", "toxic_chance", "toxic")
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.with_removed(documents, "x").select("doc_id", "x.n_bytes", "x.n_removed", "x.n_spans", "x.kept_sha256")
@@ -38,7 +55,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op3_suffix_dedup, op6_benchmark_decontamination, op7_simhash_near_dedup, op9_language_id)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_quality_classifier, op3_suffix_dedup, op4_toxicity, op6_benchmark_decontamination, op7_simhash_near_dedup, op9_language_id)}
 
 SQL = {
     "op6_benchmark_decontamination": r"""

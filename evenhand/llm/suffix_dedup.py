@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenhand.llm.common import fresh
+from evenhand.llm.common import fresh, stored
 
 LENGTH = 200
 GRAM = 64
@@ -291,7 +291,7 @@ def with_removed(df: DataFrame, out: str, key: str = "doc_id", text: str = "text
 
     order = F.struct("d", "at")
     anchors = found.groupBy("a").agg(F.count("*").alias("n"), F.min("h").alias("low"), F.max("h").alias("high"), F.min(order).alias("first")).filter("n > 1")
-    repeated = found.join(anchors.select("a", (F.col("low") == F.col("high")).alias("sole"), "first"), "a")
+    repeated = stored(found.join(anchors.select("a", (F.col("low") == F.col("high")).alias("sole"), "first"), "a"))
     settled = repeated.filter("sole")
     if keep == "first":
         settled = settled.filter(~order.eqNullSafe(F.col("first")))
@@ -301,11 +301,13 @@ def with_removed(df: DataFrame, out: str, key: str = "doc_id", text: str = "text
 
     # the distinct segments of an anchor that has several, with their bytes
     open_ = repeated.filter("NOT sole").select("a", "h", "d", "at")
-    spot = F.xxhash64("d")
     distinct = open_.groupBy("a", "h").agg(F.count("*").alias("n"), F.min(order).alias("first"))
     wanted = distinct.select(F.xxhash64("first.d").alias("spot"), F.struct(F.shiftright("first.at", 12).alias("start"), (F.shiftright("first.at", 12) + F.col("first.at").bitwiseAND(F.lit(4095)) + length - 1).alias("end"), "a", "h", "n", "first").alias("x")).groupBy("spot").agg(F.collect_list("x").alias("spans"))
-    by_document = texts.select(F.xxhash64("d").alias("spot"), "text").repartition("spot")
-    pieces = by_document.join(wanted, "spot").select("spans", _pieces(F.col("text"), F.col("spans")).alias("pieces"))
+    mark, whose = fresh(df, "spot"), fresh(df, "spans")
+    rows = df.withColumn(mark, F.xxhash64(F.col(key).cast("long")))
+    pieces = rows.join(wanted.withColumnsRenamed({"spot": "_spot_of_spans", "spans": whose}), F.col(mark) == F.col("_spot_of_spans"))
+    # always true: it asks for the columns that the result has, so that both reads are of one shuffle
+    pieces = pieces.filter(F.hash(*[F.col(c) for c in df.columns]) >= -(1 << 31)).select(F.col(whose).alias("spans"), _pieces(F.col(text), F.col(whose)).alias("pieces"))
     sources = pieces.select(F.explode(F.arrays_zip("spans", "pieces")).alias("x")).select("x.spans.*", F.col("x.pieces").alias("bytes")).filter("bytes IS NOT NULL")
     sources = sources.select("a", "h", "n", F.col("first.d").alias("d"), F.col("first.at").alias("at"), "bytes")
     sizes = distinct.groupBy("a").agg(F.count("*").alias("m"))
@@ -327,10 +329,8 @@ def with_removed(df: DataFrame, out: str, key: str = "doc_id", text: str = "text
     pairs = F.transform(F.sequence(F.lit(0), F.size("cover") - 2, F.lit(2)), lambda k: F.struct(F.get("cover", k).alias("low"), F.get("cover", k + 1).alias("high")))
     partial = partial.filter(F.size("cover") > 0).select("a", "h", "d", "at", F.explode(pairs).alias("c")).select("d", span(F.col("c.low"), F.col("c.high")).alias("span"))
 
-    spans = whole.unionByName(partial).groupBy(spot.alias("spot")).agg(F.collect_list("span").alias("spans"))
-    mark, whose = fresh(df, "spot"), fresh(df, "spans")
-    rows = df.withColumn(mark, F.xxhash64(F.col(key).cast("long"))).repartition(mark)
-    joined = rows.join(spans.select(F.col("spot").alias("_spot_of_spans"), F.col("spans").alias(whose)), F.col(mark) == F.col("_spot_of_spans"), "left")
+    spans = whole.unionByName(partial).groupBy(F.xxhash64("d").alias("_spot_of_spans")).agg(F.collect_list("span").alias(whose))
+    joined = rows.join(spans, F.col(mark) == F.col("_spot_of_spans"), "left")
     return joined.withColumn(out, _removed(F.col(text), F.col(whose))).drop(mark, whose, "_spot_of_spans")
 
 
