@@ -35,7 +35,7 @@ class Settings:
     sample: int = 10_000
     steps: int = 600
     rate: float = 0.05
-    decay: float = 1e-4
+    decay: float = 6.0  # of the squared weights, divided by the number of texts
     clip: float = 6.0
     least: float = 0.02  # share of positives above a threshold from which a ratio counts for the prior
 
@@ -121,9 +121,10 @@ def fit_arrays(positive: np.ndarray, unlabelled: np.ndarray, settings: Settings
     scale = np.maximum((np.quantile(positive, 0.9, axis=0) - np.quantile(positive, 0.1, axis=0)) / 2.56, 1e-2)
     of = lambda x: np.hstack([expanded(np.clip((x - center) / scale, -s.clip, s.clip)), np.ones((len(x), 1))])
     p, u = of(positive), of(unlabelled)
+    decay = s.decay / min(len(p), len(u))
 
     def against(w: np.ndarray) -> np.ndarray:
-        return -p.T @ _sigmoid(-p @ w) / len(p) + u.T @ _sigmoid(u @ w) / len(u) + s.decay * w
+        return -p.T @ _sigmoid(-p @ w) / len(p) + u.T @ _sigmoid(u @ w) / len(u) + decay * w
 
     first = _descend(against, p.shape[1], s)
     prior = estimated_prior(p @ first, u @ first, s)
@@ -134,7 +135,7 @@ def fit_arrays(positive: np.ndarray, unlabelled: np.ndarray, settings: Settings
         negative = u.T @ _sigmoid(fu) / len(u) - prior * (p.T @ _sigmoid(fp)) / len(p)
         loss = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
         # a negative risk of the negatives is overfitting: then only that part is stepped back
-        return (prior * as_positive + negative if loss >= 0 else -negative) + s.decay * w
+        return (prior * as_positive + negative if loss >= 0 else -negative) + decay * w
 
     w = _descend(risk, p.shape[1], s)
     return Model(center, scale, w[:-1], float(w[-1]), prior, s.clip)

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenhand.llm import decontamination, html_extraction, language_id, quality, simhash, suffix_dedup, toxicity
+from evenhand.llm import decontamination, html_extraction, language_id, quality, sentencepiece_sampling, simhash, suffix_dedup, toxicity
 from evenhand.llm.common import remainder, table
 
+#: The model file whose pieces are sampled, a public vocabulary.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -55,7 +58,16 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_quality_classifier, op3_suffix_dedup, op4_toxicity, op6_benchmark_decontamination, op7_simhash_near_dedup, op9_language_id)}
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = sentencepiece_sampling.Vocabulary.load(PIECES)
+    pieces = sentencepiece_sampling.tokenized(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    text = sentencepiece_sampling.decoded(spark, F.col("pieces"), vocabulary)
+    return pieces.select(
+        "doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"),
+        text.eqNullSafe(F.col("text")).alias("lossless"))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_quality_classifier, op3_suffix_dedup, op4_toxicity, op6_benchmark_decontamination, op7_simhash_near_dedup, op9_language_id, op10_sentencepiece)}
 
 SQL = {
     "op6_benchmark_decontamination": r"""
