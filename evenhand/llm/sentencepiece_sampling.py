@@ -32,12 +32,17 @@ CACHED = 150_000  # words whose lattices a task keeps
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Pieces of a model by their text, the ids of byte pieces, and log-probabilities by id."""
+    """Ids of the byte pieces, all pieces and their log-probabilities by id, and the trie of the others.
+
+    steps: node << 21 | character, sorted; targets: the node each leads to; ends: a node's piece or -1.
+    """
 
-    ids: dict[str, int]
     bytes: tuple[int, ...]
     pieces: tuple[str, ...]
     logs: np.ndarray
+    steps: np.ndarray
+    targets: np.ndarray
+    ends: np.ndarray
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -54,9 +59,19 @@ class Vocabulary:
         logs[[k for k in usual if scores[k] <= -1e8]] = logs[known].min()
         bytes_ = tuple(next(k for k in range(n) if pieces[k] == f"<0x{b:02X}>") for b in range(256))
         logs[list(bytes_)] = logs[known].min() - BYTE_COST
-        # a space and what follows it; of a run of spaces each is a word's own
-        ids = {pieces[k]: k for k in usual if MARK not in pieces[k][1:]}
-        return cls(ids, bytes_, pieces, logs)
+        nodes, steps, ends = {"": 0}, {}, [-1]
+        for k in usual:
+            if MARK in pieces[k][1:]:
+                continue  # of a run of spaces each is a word's own
+            for n_chars, char in enumerate(pieces[k]):
+                at = nodes[pieces[k][:n_chars]]
+                if pieces[k][: n_chars + 1] not in nodes:
+                    nodes[pieces[k][: n_chars + 1]] = len(ends)
+                    steps[at << 21 | ord(char)] = len(ends)
+                    ends.append(-1)
+            ends[nodes[pieces[k]]] = k
+        keys = np.array(sorted(steps), np.int64)
+        return cls(bytes_, pieces, logs, keys, np.array([steps[x] for x in keys.tolist()], np.int64), np.array(ends, np.int64))
 
 
 class Lattices:
@@ -68,90 +83,80 @@ class Lattices:
     """
 
     def __init__(self, vocabulary: Vocabulary, alpha: float):
-        self.v, self.alpha = vocabulary, alpha
-        self.logs = alpha * vocabulary.logs
-        # beginnings of pieces, with the piece's id or -1, so that a search ends where no piece goes on
-        self.known = {p[:k]: -1 for p in vocabulary.ids for k in range(1, len(p))} | vocabulary.ids
+        self.v, self.logs = vocabulary, alpha * vocabulary.logs
         self.clear()
 
     def clear(self) -> None:
         self.words: dict[str, int] = {}
         self.spelled: list[tuple[int, ...]] = []
-        self.spelling: dict[str, int] = {}
+        self.spelling: dict[int, int] = {}
         self.base, self.first, self.back, self.piece = (np.zeros(0, np.int64) for _ in range(4))
         self.share = np.zeros(0)
 
-    def char(self, c: str) -> tuple[int, float]:
-        """Edge id and log-weight of a character's bytes."""
-        if c not in self.spelling:
-            self.spelling[c] = len(self.spelled)
-            self.spelled.append(tuple(self.v.bytes[b] for b in c.encode("utf-8", "surrogatepass")))
-        k = self.spelling[c]
-        return len(self.v.pieces) + k, self.logs[self.v.bytes[0]] * len(self.spelled[k])
-
     def add(self, words: list[str]) -> None:
-        """Filter the lattices of new words."""
-        known, logs = self.known, self.logs
-        node = len(self.first)
-        bases, ends, backs, pieces, places, weights = [], [], [], [], [], []
-        for word in words:
-            self.words[word] = len(self.words)
-            bases.append(node)
-            text = MARK + word
-            n = len(text)
-            for i in range(n):
-                single = False
-                if not i or text[i] != MARK:  # a mark within is the text's own and spelled in bytes
-                    for j in range(i + 1, n + 1):
-                        k = known.get(text[i:j])
-                        if k is None:
-                            break
-                        if k >= 0:
-                            ends.append(node + j)
-                            backs.append(node + i)
-                            pieces.append(k)
-                            places.append(j)
-                            weights.append(logs[k])
-                            single = single or j == i + 1
-                if not single:
-                    k, weight = self.char(text[i])
-                    ends.append(node + i + 1)
-                    backs.append(node + i)
-                    pieces.append(k)
-                    places.append(i + 1)
-                    weights.append(weight)
-            node += n + 1
-        end, back, piece, place = (np.array(x, np.int64) for x in (ends, backs, pieces, places))
-        weight = np.array(weights)
-        old, size = len(self.first), len(self.share)
-        ways, share = np.zeros(node - old), np.zeros(len(end))
-        by_place = np.lexsort((end, place))
-        borders = np.append(np.flatnonzero(np.diff(place[by_place], prepend=-1)), len(end))
-        for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
-            at = by_place[a:b]  # edges that end at one place, by node
-            starts = np.flatnonzero(np.diff(end[at], prepend=-1))
-            counts = np.diff(np.append(starts, len(at)))
-            logs_ = ways[back[at] - old] + weight[at]
-            top = np.maximum.reduceat(logs_, starts)
-            parts = np.exp(logs_ - np.repeat(top, counts))
+        """Filter the lattices of new words, all at once."""
+        v, old, size = self.v, len(self.first), len(self.share)
+        chars = np.frombuffer("".join(MARK + w for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        start = np.cumsum(lengths) - lengths
+        base = start + np.arange(len(words))  # a word has a node more than characters
+        word = np.repeat(np.arange(len(words)), lengths)
+        at = np.arange(len(chars))
+        node, end_of_word = at + word, (start + lengths)[word]
+        # walk the vocabulary's trie from every character; a mark within a word is the text's own and spelled in bytes
+        alone = np.ones(len(chars), bool)
+        backs, ends, pieces = [], [], []
+        inner = (chars == ord(MARK)) & (at > start[word])
+        live, state, depth = at[~inner], np.zeros(int((~inner).sum()), np.int64), 0
+        while len(live):
+            key = state << 21 | chars[live + depth]
+            k = np.minimum(np.searchsorted(v.steps, key), len(v.steps) - 1)
+            on = v.steps[k] == key
+            live, state, depth = live[on], v.targets[k[on]], depth + 1
+            piece = v.ends[state]
+            full = piece >= 0
+            if depth == 1:
+                alone[live[full]] = False
+            backs.append(node[live[full]])
+            ends.append(node[live[full]] + depth)
+            pieces.append(piece[full])
+            on = live + depth < end_of_word[live]
+            live, state = live[on], state[on]
+        for c in np.unique(chars[alone]).tolist():
+            if c not in self.spelling:
+                self.spelling[c] = len(self.spelled)
+                self.spelled.append(tuple(v.bytes[b] for b in chr(c).encode("utf-8", "surrogatepass")))
+        left = node[alone]
+        spelling = np.array([self.spelling[c] for c in chars[alone].tolist()], np.int64)
+        weight = np.concatenate([self.logs[np.concatenate(pieces)], self.logs[v.bytes[0]] * np.array([len(x) for x in self.spelled] or [0])[spelling]])
+        back, end = np.concatenate([*backs, left]), np.concatenate([*ends, left + 1])
+        piece = np.concatenate([*pieces, spelling + len(v.pieces)])
+        n_nodes = len(chars) + len(words)
+        place = end - np.repeat(base, lengths + 1)[end]
+        order = np.argsort(place * n_nodes + end, kind="stable")
+        back, end, piece, weight, place = (x[order] for x in (back, end, piece, weight, place))
+        ways, share, first = np.zeros(n_nodes), np.zeros(len(end)), np.zeros(n_nodes, np.int64)
+        heads = np.flatnonzero(np.diff(end, prepend=-1))
+        first[end[heads]] = heads
+        counts = np.diff(np.append(heads, len(end)))
+        borders = np.append(np.flatnonzero(np.diff(place[heads], prepend=-1)), len(heads))
+        for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):  # nodes at one place of their words
+            low, high = heads[a], heads[b] if b < len(heads) else len(end)
+            starts, many = heads[a:b] - low, counts[a:b]
+            logs = ways[back[low:high]] + weight[low:high]
+            top = np.maximum.reduceat(logs, starts)
+            parts = np.exp(logs - np.repeat(top, many))
             total = np.add.reduceat(parts, starts)
             sums = np.cumsum(parts)
-            share[at] = (sums - np.repeat(sums[starts] - parts[starts], counts)) / np.repeat(total, counts)
-            share[at[starts + counts - 1]] = 1.0
-            ways[end[at[starts]] - old] = top + np.log(total)
-        order = np.lexsort((np.arange(len(end)), end))
-        inverse = np.empty(len(end), np.int64)
-        inverse[order] = np.arange(len(end))
-        # edges of a node were summed in the order of by_place, which is theirs in `order` too
-        first = np.zeros(node - old, np.int64)
-        sorted_end = end[order]
-        heads = np.flatnonzero(np.diff(sorted_end, prepend=-1))
-        first[sorted_end[heads] - old] = heads + size
-        self.first = np.concatenate((self.first, first))
-        self.back = np.concatenate((self.back, back[order]))
-        self.piece = np.concatenate((self.piece, piece[order]))
-        self.share = np.concatenate((self.share, share[order]))
-        self.base = np.concatenate((self.base, np.array(bases, np.int64)))
+            share[low:high] = (sums - np.repeat(sums[starts] - parts[starts], many)) / np.repeat(total, many)
+            ways[end[heads[a:b]]] = top + np.log(total)
+        share[heads + counts - 1] = 1.0
+        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words)), strict=True))
+        self.first = np.concatenate((self.first, first + size))
+        self.back = np.concatenate((self.back, back + old))
+        self.piece = np.concatenate((self.piece, piece))
+        self.share = np.concatenate((self.share, share))
+        self.base = np.concatenate((self.base, base + old))
 
     def draw(self, words: list[str], lengths: np.ndarray, places: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all words one after another, and how many each has; places: where the words start in their texts."""
