@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenhand.llm import decontamination, html_extraction, language_id, quality, sentencepiece_sampling, simhash, suffix_dedup, toxicity
+from evenhand.llm import decontamination, fingerprints, html_extraction, language_id, quality, sentencepiece_sampling, simhash, suffix_dedup, toxicity
 from evenhand.llm.common import remainder, table
 
 #: The model file whose pieces are sampled, a public vocabulary.
@@ -39,6 +39,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.with_removed(documents, "x").select("doc_id", "x.n_bytes", "x.n_removed", "x.n_spans", "x.kept_sha256")
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.against_edits(table(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -67,7 +71,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         text.eqNullSafe(F.col("text")).alias("lossless"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_quality_classifier, op3_suffix_dedup, op4_toxicity, op6_benchmark_decontamination, op7_simhash_near_dedup, op9_language_id, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_quality_classifier, op3_suffix_dedup, op4_toxicity, op5_fingerprints, op6_benchmark_decontamination, op7_simhash_near_dedup, op9_language_id, op10_sentencepiece)}
 
 SQL = {
     "op6_benchmark_decontamination": r"""
