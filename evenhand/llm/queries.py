@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenhand.llm import decontamination, fingerprints, html_extraction, language_id, quality, sentencepiece_sampling, simhash, suffix_dedup, toxicity
+from evenhand.llm import decontamination, fingerprints, html_extraction, language_id, quality, quotations, sentencepiece_sampling, simhash, suffix_dedup, toxicity
 from evenhand.llm.common import remainder, table
 
 #: The model file whose pieces are sampled, a public vocabulary.
@@ -55,6 +55,10 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.linked(table(spark, sf_dir, "conversations"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     contents = language_id.train(documents.filter(remainder("doc_id", 4) != 2))
@@ -71,7 +75,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         text.eqNullSafe(F.col("text")).alias("lossless"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_quality_classifier, op3_suffix_dedup, op4_toxicity, op5_fingerprints, op6_benchmark_decontamination, op7_simhash_near_dedup, op9_language_id, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_quality_classifier, op3_suffix_dedup, op4_toxicity, op5_fingerprints, op6_benchmark_decontamination, op7_simhash_near_dedup, op8_chat_formatting, op9_language_id, op10_sentencepiece)}
 
 SQL = {
     "op6_benchmark_decontamination": r"""
