@@ -229,6 +229,11 @@ def _windows(length: int):
     return windows
 
 
+def _flat(spans: Column, *fields: str) -> Column:
+    """Fields of an array of structs as one array of longs, which tasks take as they are."""
+    return F.flatten(F.transform(spans, lambda x: F.array(*[x[f].cast("long") for f in fields])))
+
+
 def _pieces(text: Column, spans: Column) -> Column:
     """Bytes of the segments in `spans`, null where the text doesn't have them (another text with the same key)."""
 
@@ -236,14 +241,14 @@ def _pieces(text: Column, spans: Column) -> Column:
         out = []
         for text, spans in zip(texts, lists, strict=True):
             data = text.encode() if text else b""
-            start, end, h = (np.array([x[c] for x in spans], np.int64) for c in ("start", "end", "h"))
+            start, end, h = np.asarray(spans, np.int64).reshape(-1, 3).T
             fits = end <= len(data)
             if fits.any():
                 fits[fits] = Hashes(np.frombuffer(data, np.uint8)).of(start[fits], end[fits]).view(np.int64) == h[fits]
             out.append([data[a:b] if ok else None for a, b, ok in zip(start.tolist(), end.tolist(), fits.tolist(), strict=True)])
         return pd.Series(out)
 
-    return F.pandas_udf(pieces, "array<binary>")(text, spans)
+    return F.pandas_udf(pieces, "array<binary>")(text, _flat(spans, "start", "end", "h"))
 
 
 def _removed(text: Column, spans: Column) -> Column:
@@ -254,7 +259,7 @@ def _removed(text: Column, spans: Column) -> Column:
             runs: list[tuple[int, int]] = []
             if spans is not None and len(spans):
                 array = np.frombuffer(data, np.uint8)
-                start, end, h, low, high = (np.array([x[c] for x in spans], np.int64) for c in ("start", "end", "h", "low", "high"))
+                start, end, h, low, high = np.asarray(spans, np.int64).reshape(-1, 5).T
                 fits = end <= len(data)
                 start, end, h, low, high = (x[fits] for x in (start, end, h, low, high))
                 same = Hashes(array).of(start, end).view(np.int64) == h
@@ -271,7 +276,7 @@ def _removed(text: Column, spans: Column) -> Column:
             out.append((len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), text if not runs else kept.decode("utf-8", "ignore")))
         return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return F.pandas_udf(removed, "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")(text, spans)
+    return F.pandas_udf(removed, "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")(text, _flat(spans, "start", "end", "h", "low", "high"))
 
 
 def with_removed(df: DataFrame, out: str, key: str = "doc_id", text: str = "text", keep: str = "none", length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
@@ -290,8 +295,10 @@ def with_removed(df: DataFrame, out: str, key: str = "doc_id", text: str = "text
     found = texts.mapInPandas(_anchored(length, gram), "a long, h long, d long, at long")
 
     order = F.struct("d", "at")
-    anchors = found.groupBy("a").agg(F.count("*").alias("n"), F.min("h").alias("low"), F.max("h").alias("high"), F.min(order).alias("first")).filter("n > 1")
-    repeated = stored(found.join(anchors.select("a", (F.col("low") == F.col("high")).alias("sole"), "first"), "a"))
+    known = [F.count("*").alias("n"), F.min("h").alias("low"), F.max("h").alias("high")] + [F.min(order).alias("first")] * (keep == "first")
+    anchors = found.groupBy("a").agg(*known).filter("n > 1").withColumn("sole", F.col("low") == F.col("high")).drop("n", "low", "high")
+    # stored, as adaptive execution splits a frequent anchor only where both sides are shuffled for the join
+    repeated = stored(found.join(stored(anchors), "a"))
     settled = repeated.filter("sole")
     if keep == "first":
         settled = settled.filter(~order.eqNullSafe(F.col("first")))
