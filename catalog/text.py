@@ -88,6 +88,7 @@ def clean_sql(text: str) -> str:
     return rf"regexp_replace({out}, '[\x00-\x08\x0b\x0c\x0e-\x1f]', '', 'g')"
 
 
+# The patterns of personal data.
 PII = {
     "EMAIL": r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b",
     "PHONE": r"\b(?:\+?1[-.\s]?)?\(?[0-9]{3}\)?[-.\s]?[0-9]{3}[-.\s]?[0-9]{4}\b",
@@ -104,7 +105,7 @@ def anonymize_sql(text: str) -> str:
 
 
 def preprocess_sql(text: str) -> str:
-    return f"substring({anonymize_sql(clean_sql(text))}, 1, 2048)"
+    return anonymize_sql(clean_sql(text))
 
 
 def _digest_sql(expression: str, source: str = "carrier", key: str = "doc_id") -> str:

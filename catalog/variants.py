@@ -65,12 +65,12 @@ def _sentences(spark, sf):
         nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
         F.col("n_name").alias("attribute"), F.lower("c_mktsegment").alias("profession"))
-    return X.template_sentences(slots, L.TEMPLATES).select(
+    return X.template_sentences(slots).select(
         "id", "adjective", "template", "sentence")
 
 
 GENDERS = ["male", "female", "neutral"]
-RACES = list(L.ETHNIC_NAMES)[:4]
+RACES = list(L.ETHNIC_NAMES)
 
 
 def _paired(spark, sf):
@@ -83,25 +83,14 @@ def _paired(spark, sf):
         "original_gender", "variation_gender", "profession", "original", "variation")
 
 
-def _surnames(spark, sf):
-    """The surname lists of four races, as a table derived from ``region`` rows."""
-    rows = [(race, str(n), name) for race in RACES
-            for n, name in enumerate(L.ETHNIC_NAMES[race])]
-    from evenhand.functions.matching import literal_structs
-
-    one = B.table(spark, sf, "region").where("r_regionkey = 0").select(
-        F.inline(literal_structs(("race", "ord", "surname"), rows)))
-    return one.withColumn("ord", F.col("ord").cast("long"))
-
-
 def _intersection(spark, sf):
     people = B.table(spark, sf, "supplier").select(
         F.get(F.array(*[F.lit(g) for g in GENDERS[:2]]), (F.col("s_suppkey") % 2).cast("int"))
         .alias("gender"),
-        F.get(F.array(*[F.lit(r) for r in RACES]), (F.col("s_suppkey") % 4).cast("int"))
+        F.get(F.array(*[F.lit(r) for r in RACES]), (F.col("s_suppkey") % len(RACES)).cast("int"))
         .alias("race"),
         F.col("s_suppkey").alias("ord"), F.col("s_name").alias("name"))
-    return X.intersection_cases(people, _surnames(spark, sf)).select(
+    return X.intersection_cases(people).select(
         "gender", "race", "variation_race", "profession", "original", "variation")
 
 
@@ -123,6 +112,12 @@ QUERIES = {
 
 # -- SQL --------------------------------------------------------------------
 
+_TEMPLATE_ROWS = sql_values(
+    (t, t.replace("{action}", "succeed").replace("{verb}", "helps").replace("{object}", "others")
+     .replace("{qualification}", "qualified").replace("{context}", "leadership")
+     .replace("{characteristic}", "{adjective}").replace("{trait}", "{adjective}"))
+    for t in L.TEMPLATES)
+
 
 def _replace_word(text: str, source: str, to: str) -> str:
     """Whole-word replacement without lookaround: done twice, because two occurrences can
@@ -153,9 +148,9 @@ def _names_sql() -> str:
     rows = sql_values((t, B.raw(sql_list(n))) for t, n in lists.items())
     return f"""SELECT doc_id, text, 'name' AS method, l.target AS target,
       replace(text, name, names[(doc_id % len(names)) + 1]) AS variant
-      FROM (SELECT doc_id, text, unnest(regexp_extract_all(
+      FROM (SELECT doc_id, text, unnest(list_distinct(regexp_extract_all(
           regexp_replace(text, '({NW})', '\\1\\1', 'g'),
-          '(?:^|{NW})([A-Z][a-z]+)(?:{NW}|$)', 1)[1:2]) AS name FROM carrier),
+          '(?:^|{NW})([A-Z][a-z]+)(?:{NW}|$)', 1))) AS name FROM carrier),
         {rows} l(target, names)"""
 
 
@@ -187,14 +182,13 @@ def _religion_sql() -> str:
 
 def _template_sql() -> str:
     male, jobs = sql_list(L.GENDER_NAMES["male"]), sql_list(L.PROFESSIONS)
-    templates = [t.replace("{action}", "succeed") for t in L.TEMPLATES[:3]]
     return f"""SELECT doc_id, text, 'template' AS method, a.v AS target,
-      replace(replace(replace(replace(t.v, '{{attribute}}', a.v), '{{adjective}}', j.v),
+      replace(replace(replace(replace(t.body, '{{attribute}}', a.v), '{{adjective}}', j.v),
         '{{name}}', ({male})[(doc_id % 20) + 1]), '{{profession}}', ({jobs})[(doc_id % 12) + 1])
         AS variant
-      FROM carrier, (SELECT unnest({sql_list(templates)}) AS v) t,
+      FROM carrier, {_TEMPLATE_ROWS} t(template, body),
         (SELECT unnest({sql_list(L.TEMPLATE_ATTRIBUTES)}) AS v) a,
-        (SELECT unnest({sql_list(L.TEMPLATE_ADJECTIVES['positive'][:2])}) AS v) j"""
+        (SELECT unnest({sql_list(X.ALL_ADJECTIVES)}) AS v) j"""
 
 
 _PARTS = {"gender": _gender_sql(), "name": _names_sql(), "race": _race_sql(),
@@ -226,17 +220,11 @@ _RANKED = f"""{_variants_cte(_PARTS)},
 
 _DIFFERENCES = f"""{_RANKED},
     scores AS (SELECT doc_id, avg({_skew_sql('variant')}) AS variant_score FROM ranked
-      WHERE variant_rank <= 5 GROUP BY doc_id),
+      GROUP BY doc_id),
     differences AS (SELECT doc_id, own_score, variant_score,
       abs(own_score - variant_score) AS difference FROM scores JOIN (SELECT doc_id,
         {_skew_sql('text')} AS own_score FROM carrier) USING (doc_id))"""
 
-_TEMPLATE_ROWS = sql_values(
-    (t, t.replace("{action}", "succeed").replace("{verb}", "helps").replace("{object}", "others")
-     .replace("{qualification}", "qualified").replace("{context}", "leadership")
-     .replace("{characteristic}", "{adjective}").replace("{trait}", "{adjective}"))
-    for t in L.TEMPLATES)
-
 SQL = {
     "swap_gender": _swap_sql("gender"),
     "swap_names": _swap_sql("name"),
@@ -247,9 +235,9 @@ SQL = {
         replace(replace(replace(replace(t.body, '{{attribute}}', n_name), '{{adjective}}', j.v),
           '{{name}}', c_name), '{{profession}}', lower(c_mktsegment)) AS sentence
         FROM customer JOIN nation ON c_nationkey = n_nationkey, {_TEMPLATE_ROWS} t(template, body),
-          (SELECT unnest({sql_list(L.TEMPLATE_ADJECTIVES['positive'][:2])}) AS v) j""",
+          (SELECT unnest({sql_list(X.ALL_ADJECTIVES)}) AS v) j""",
     "counterfactuals": f"""{_RANKED} SELECT doc_id, variant_rank, method, target,
-        md5(variant) AS digest FROM ranked WHERE variant_rank <= 20""",
+        md5(variant) AS digest FROM ranked""",
     "skew_score": f"WITH {CARRIER} SELECT doc_id, round({_skew_sql('text')}, 9) AS score "
                   "FROM carrier",
     "counterfactual_differences": f"""{_DIFFERENCES} SELECT doc_id,
@@ -269,11 +257,11 @@ SQL = {
           b.name || ' is applying for a ' || p.v || ' position.' AS variation
         FROM names a JOIN sizes s ON s.gender <> a.gender
         JOIN names b ON b.gender = s.gender AND b.ord = a.ord % s.n,
-        (SELECT unnest({sql_list(L.PROFESSIONS[:5])}) AS v) p""",
+        (SELECT unnest({sql_list(L.PROFESSIONS)}) AS v) p""",
     "intersection_cases": f"""WITH lists AS (SELECT * FROM {sql_values(
         (r, B.raw(sql_list(L.ETHNIC_NAMES[r]))) for r in RACES)} t(race, names)),
         people AS (SELECT ({sql_list(GENDERS[:2])})[(s_suppkey % 2) + 1] AS gender,
-          ({sql_list(RACES)})[(s_suppkey % 4) + 1] AS race, s_suppkey AS ord, s_name AS name,
+          ({sql_list(RACES)})[(s_suppkey % {len(RACES)}) + 1] AS race, s_suppkey AS ord, s_name AS name,
           ({sql_list(L.PROFESSIONS)})[(s_suppkey % 12) + 1] AS profession FROM supplier)
         SELECT gender, a.race AS race, b.race AS variation_race, profession,
           name || ' ' || a.names[(ord % len(a.names)) + 1] || ' is a qualified ' || profession

@@ -18,11 +18,13 @@ from evenhand.functions import text as T
 
 VARIANT = "array<struct<method: string, target: string, variant: string>>"
 SIGNIFICANT = 0.1
+ALL_ADJECTIVES = [a for kind in L.TEMPLATE_ADJECTIVES.values() for a in kind]
 
 
-def hash_pick(key: Column, salt: str, size: int) -> Column:
+def hash_pick(key: Column, salt: str | Column, size: int) -> Column:
     """A stable pseudo-random index below ``size``."""
-    return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(size))
+    salt = F.lit(salt) if isinstance(salt, str) else salt
+    return F.pmod(F.xxhash64(key, salt), F.lit(size))
 
 
 def _none() -> Column:
@@ -69,11 +71,11 @@ def gender_variants(text: Column) -> Column:
 
 
 def name_variants(text: Column, key: Column, pick=hash_pick) -> Column:
-    """The first two capitalised words replaced everywhere by a name of each gender and
+    """Each distinct capitalised word replaced everywhere by a name of each gender and
     ethnicity list."""
     lists = {f"{g}_names": names for g, names in L.GENDER_NAMES.items()} | L.ETHNIC_NAMES
-    found = F.slice(F.regexp_extract_all(
-        text, F.lit(f"{T.NOT_AFTER_WORD}[A-Z][a-z]+{T.NOT_BEFORE_WORD}"), F.lit(0)), 1, 2)
+    found = F.array_distinct(F.regexp_extract_all(
+        text, F.lit(f"{T.NOT_AFTER_WORD}[A-Z][a-z]+{T.NOT_BEFORE_WORD}"), F.lit(0)))
     every = F.flatten(F.transform(found, lambda name: F.array(*[
         _variant("name", target, F.replace(
             text, name, _pick_from(names, pick(key, target, len(names)))))
@@ -118,27 +120,22 @@ def religion_variants(text: Column, low: Column) -> Column:
 
 def template_variants(key: Column, templates=None, attributes=None, adjectives=None,
                       pick=hash_pick) -> Column:
-    """Filled templates: every attribute and adjective, with a picked name and profession."""
-    templates = templates or L.TEMPLATES[:3]
-    attributes = attributes or L.TEMPLATE_ATTRIBUTES
-    adjectives = adjectives or L.TEMPLATE_ADJECTIVES["positive"][:2]
-    out = []
-    for n, template in enumerate(templates):
-        for attribute in attributes:
-            for adjective in adjectives:
-                salt = f"{n}/{attribute}/{adjective}"
-                sentence = _fill(template, attribute, adjective)
-                if "{name}" in sentence or "{profession}" in sentence:
-                    name = _pick_from(L.GENDER_NAMES["male"],
-                                      pick(key, f"{salt}/name", len(L.GENDER_NAMES["male"])))
-                    job = _pick_from(L.PROFESSIONS,
-                                     pick(key, f"{salt}/profession", len(L.PROFESSIONS)))
-                    column = F.replace(F.replace(F.lit(sentence), F.lit("{name}"), name),
-                                       F.lit("{profession}"), job)
-                else:
-                    column = F.lit(sentence)
-                out.append(_variant("template", attribute, column))
-    return F.array(*out)
+    """Filled templates: every template, attribute and adjective, with a picked name and
+    profession."""
+    rows = [(f"{n}/{attribute}/{adjective}", attribute, _fill(template, attribute, adjective))
+            for n, template in enumerate(templates or L.TEMPLATES)
+            for attribute in attributes or L.TEMPLATE_ATTRIBUTES
+            for adjective in adjectives or ALL_ADJECTIVES]
+    male, jobs = L.GENDER_NAMES["male"], L.PROFESSIONS
+
+    def filled(row: Column) -> Column:
+        name = _pick_from(male, pick(key, F.concat(row["salt"], F.lit("/name")), len(male)))
+        job = _pick_from(jobs, pick(key, F.concat(row["salt"], F.lit("/profession")), len(jobs)))
+        return F.replace(F.replace(row["sentence"], F.lit("{name}"), name),
+                         F.lit("{profession}"), job)
+
+    table = M.literal_structs(("salt", "target", "sentence"), rows)
+    return F.transform(table, lambda r: _variant("template", r["target"], filled(r)))
 
 
 def _fill(template: str, attribute: str, adjective: str) -> str:
@@ -176,20 +173,30 @@ def substitutions(df: DataFrame, methods=DIRECT, text_col: str = "text",
 
 def _distinct_variants(df: DataFrame, per_text: int | None, text_col: str, key_col: str,
                        pick, methods) -> DataFrame:
-    """``_variants`` deduplicated by text, ordered by (method, target, variant) and cut."""
-    every = _with_variants(df, methods, text_col, key_col, pick)
-    ordered = every.withColumn("_variants", F.array_sort("_variants"))
-    named = ordered.withColumn("_texts", F.transform("_variants", lambda v: v["variant"]))
-    first = F.filter("_variants", lambda v, i: F.array_position(
-        F.col("_texts"), v["variant"]) == i + 1)
-    kept = first if per_text is None else F.slice(first, 1, per_text)
-    return named.withColumn("_variants", kept).drop("_texts")
-
+    """``_variants`` deduplicated by text and ordered by (method, target, variant); a limit
+    keeps the first of them.
 
-def counterfactuals(df: DataFrame, per_text: int | None = 20, text_col: str = "text",
+    Sorting by a hash of the variant brings equal ones together at the cost of a sort.
+    """
+    every = _with_variants(df, methods, text_col, key_col, pick)
+    hashed = F.transform("_variants", lambda v: F.struct(
+        F.xxhash64(v["variant"]).alias("h"), v["variant"].alias("variant"),
+        v["method"].alias("method"), v["target"].alias("target")))
+    ordered = every.withColumn("_sorted", F.array_sort(hashed))
+    first = F.filter("_sorted", lambda v, i: (i == 0) | (
+        v["variant"] != F.get("_sorted", i - 1)["variant"]))
+    kept = F.array_sort(F.transform(first, lambda v: F.struct(
+        v["method"].alias("method"), v["target"].alias("target"),
+        v["variant"].alias("variant"))))
+    kept = kept if per_text is None else F.slice(kept, 1, per_text)
+    return ordered.withColumn("_variants", kept).drop("_sorted")
+
+
+def counterfactuals(df: DataFrame, per_text: int | None = None, text_col: str = "text",
                     key_col: str = "doc_id", pick=hash_pick,
                     methods=tuple(_BUILDERS)) -> DataFrame:
-    """Distinct variants of each text, the first ``per_text`` by (method, target, variant)."""
+    """Distinct variants of each text by (method, target, variant); all, or the first
+    ``per_text``."""
     out = _distinct_variants(df, per_text, text_col, key_col, pick, methods)
     keep = [c for c in out.columns if c not in (text_col, "_variants")]
     listed = out.select(*keep, F.posexplode_outer("_variants").alias("_n", "_v"))
@@ -211,21 +218,23 @@ def skew_score(low: Column) -> Column:
         c["p"] + c["n"] > 0, F.abs(c["p"] - c["n"]) / (c["p"] + c["n"])).otherwise(0.0))[0]
 
 
-def counterfactual_differences(df: DataFrame, per_text: int = 20, compared: int = 5,
-                               texts: int | None = None, text_col: str = "text",
-                               key_col: str = "doc_id", pick=hash_pick,
-                               methods=tuple(_BUILDERS)) -> DataFrame:
-    """Per text with variants: own score, mean score of its first variants, difference.
+def counterfactual_differences(df: DataFrame, per_text: int | None = None,
+                               compared: int | None = None, texts: int | None = None,
+                               text_col: str = "text", key_col: str = "doc_id",
+                               pick=hash_pick, methods=tuple(_BUILDERS),
+                               by: tuple = ()) -> DataFrame:
+    """Per text with variants: ``by``, own score, mean score of its variants, difference.
 
-    ``texts`` takes the first texts in key order; without it all texts are used.
+    All texts and all variants count; ``texts`` takes the first texts in key order,
+    ``per_text`` and ``compared`` the first variants.
     """
-    source = df.select(key_col, text_col)
+    source = df.select(*by, key_col, text_col)
     if texts is not None:
         source = source.orderBy(key_col).limit(texts)
     varied = _distinct_variants(source, per_text, text_col, key_col, pick, methods)
-    scores = F.transform(F.transform(F.slice("_variants", 1, compared),
-                                     lambda v: F.lower(v["variant"])), skew_score)
-    scored = varied.select(key_col, skew_score(F.lower(text_col)).alias("own_score"),
+    used = F.col("_variants") if compared is None else F.slice("_variants", 1, compared)
+    scores = F.transform(F.transform(used, lambda v: F.lower(v["variant"])), skew_score)
+    scored = varied.select(*by, key_col, skew_score(F.lower(text_col)).alias("own_score"),
                            scores.alias("_scores"))
     mean = F.aggregate("_scores", F.lit(0.0), lambda a, s: a + s) / F.size("_scores")
     row = F.transform(F.array(mean), lambda m: F.struct(
@@ -234,13 +243,14 @@ def counterfactual_differences(df: DataFrame, per_text: int = 20, compared: int
     # Texts without variants drop out behind the generator: a filter before it would be
     # pushed below the projections and build all variants a second time.
     kept = F.when(F.size("_scores") > 0, row)
-    return scored.select(key_col, F.inline_outer(kept)).where(F.col("difference").isNotNull())
+    return scored.select(*by, key_col, F.inline_outer(kept)).where(
+        F.col("difference").isNotNull())
 
 
-def counterfactual_analysis(differences: DataFrame) -> DataFrame:
-    """Mean difference, number and share of significant ones; one row."""
+def counterfactual_analysis(differences: DataFrame, by: tuple = ()) -> DataFrame:
+    """Mean difference, number and share of significant ones; one row, or one per ``by``."""
     significant = F.count_if(F.col("difference") > SIGNIFICANT)
-    return differences.agg(
+    return differences.groupBy(*by).agg(
         F.count(F.lit(1)).alias("texts"),
         F.coalesce(F.avg("difference"), F.lit(0.0)).alias("average_bias_change"),
         significant.alias("significant_changes"))
@@ -262,8 +272,8 @@ def template_sentences(slots: DataFrame, templates=None, adjectives=None) -> Dat
     Templates and adjectives are short lists exploded inside each row, so a slot table of
     any size is only read once.
     """
-    templates = templates or L.TEMPLATES[:3]
-    adjectives = adjectives or L.TEMPLATE_ADJECTIVES["positive"][:2]
+    templates = templates or L.TEMPLATES
+    adjectives = adjectives or ALL_ADJECTIVES
     wide = slots.select("*", F.explode(M.literal_array(templates)).alias("template")).select(
         "*", F.explode(M.literal_array(adjectives)).alias("adjective"))
     fills = {"attribute": F.col("attribute"), "name": F.col("name"),
@@ -281,18 +291,21 @@ def _sentence(template: str, name: Column, profession: Column) -> Column:
 
 
 def paired_cases(names: DataFrame, professions: list[str] | None = None,
-                 template: str = L.PAIRED_TEMPLATE) -> DataFrame:
+                 template: str = L.PAIRED_TEMPLATE,
+                 genders: list[str] | None = None) -> DataFrame:
     """Pairs of sentences that differ in the gender of the name.
 
     ``names`` has ``gender``, ``ord`` (0, 1, ... within a gender) and ``name``.  Every name
-    is paired with the name at the same place, modulo the list length, of each other
-    gender; the pairing is an equi-join.
+    is paired with the name at the same place, modulo the list length, of each other of
+    ``genders``: those are exploded in the row, and both joins are equi-joins.
     """
-    professions = professions or L.PROFESSIONS[:5]
+    professions = professions or L.PROFESSIONS
+    genders = genders or list(L.GENDER_NAMES)
     sizes = names.groupBy(F.col("gender").alias("variation_gender")).agg(
         F.count(F.lit(1)).alias("_size"))
-    # One row per gender: a few rows, joined to every name.
-    wanted = names.join(sizes, F.col("gender") != F.col("variation_gender")).select(
+    others = F.filter(M.literal_array(genders), lambda g: g != F.col("gender"))
+    wanted = names.select("*", F.explode(others).alias("variation_gender")).join(
+        sizes, "variation_gender").select(
         F.col("gender").alias("original_gender"), F.col("name").alias("original_name"),
         "variation_gender", (F.col("ord") % F.col("_size")).alias("variation_ord"))
     others = names.select(F.col("gender").alias("variation_gender"),
@@ -305,31 +318,31 @@ def paired_cases(names: DataFrame, professions: list[str] | None = None,
         _sentence(template, F.col("other_name"), job).alias("variation"))
 
 
-def intersection_cases(people: DataFrame, surnames: DataFrame,
+def intersection_cases(people: DataFrame, surnames: dict[str, list[str]] | None = None,
                        professions: list[str] | None = None,
                        template: str = L.INTERSECTION_TEMPLATE) -> DataFrame:
     """Pairs of sentences about one person that differ in the race of the surname.
 
-    ``people`` has ``gender``, ``race``, ``ord``, ``name``; ``surnames`` has ``race``,
-    ``ord`` (0, 1, ... within a race) and ``surname``, a few rows per race.
+    ``people`` has ``gender``, ``race``, ``ord``, ``name``; ``surnames`` lists those of each
+    race.  The lists are literals, so nothing is joined or shuffled; people of a race
+    without a list give no pairs.
     """
-    professions = professions or L.PROFESSIONS
-    sizes = surnames.groupBy("race").agg(F.count(F.lit(1)).alias("_size"))
-    jobs = M.literal_array(professions)
-
-    def with_surname(df: DataFrame, race: str, out: str) -> DataFrame:
-        keyed = df.join(sizes.withColumnRenamed("race", race), race).withColumn(
-            "_at", F.col("ord") % F.col("_size")).drop("_size")
-        return keyed.join(surnames.select(
-            F.col("race").alias(race), F.col("ord").alias("_at"),
-            F.col("surname").alias(out)), [race, "_at"]).drop("_at")
-
-    races = sizes.select(F.col("race").alias("variation_race"))
-    varied = people.join(races, F.col("race") != F.col("variation_race"))
-    named = with_surname(with_surname(varied, "race", "_own"), "variation_race", "_other")
-    job = F.get(jobs, (F.col("ord") % len(professions)).cast("int"))
-    return named.select(
+    surnames = surnames or L.ETHNIC_NAMES
+    jobs = M.literal_array(professions or L.PROFESSIONS)
+    lists = F.create_map(*[x for race, names in surnames.items()
+                           for x in (F.lit(race), M.literal_array(names))])
+
+    def at(values: Column) -> Column:
+        return F.get(values, (F.col("ord") % F.size(values)).cast("int"))
+
+    others = F.filter(M.literal_array(list(surnames)), lambda r: r != F.col("race"))
+    varied = people.where(F.col("race").isin(list(surnames))).select(
+        "*", F.explode(others).alias("variation_race"))
+    job = at(jobs)
+    return varied.select(
         F.lit("intersectional").alias("attribute_type"), "gender", "race", "variation_race",
         job.alias("profession"),
-        _sentence(template, F.concat_ws(" ", "name", "_own"), job).alias("original"),
-        _sentence(template, F.concat_ws(" ", "name", "_other"), job).alias("variation"))
+        _sentence(template, F.concat_ws(" ", "name", at(lists[F.col("race")])), job)
+        .alias("original"),
+        _sentence(template, F.concat_ws(" ", "name", at(lists[F.col("variation_race")])), job)
+        .alias("variation"))

@@ -13,7 +13,7 @@ from evenhand.options import DEFAULT_OPTIONS, DetectOptions
 
 def preprocess(df: DataFrame, options: DetectOptions = DEFAULT_OPTIONS,
                text_col: str = "text") -> DataFrame:
-    """Clean, anonymise and cut the text column, in that order."""
+    """Clean, anonymise and, if a length is given, cut the text column, in that order."""
     out = T.clean_text(F.col(text_col))
     if options.anonymize:
         out = T.anonymize(out)

@@ -18,7 +18,7 @@ class DetectOptions:
     threshold: float = 0.1
     whole_word_exclusions: bool = False
     anonymize: bool = True
-    max_text_length: int | None = 2048
+    max_text_length: int | None = None
     min_group_size: int = 100
     significance_level: float = 0.05
     model_name: str = ""
@@ -39,7 +39,7 @@ class MonitorOptions:
     watermark: str = "10 minutes"
     alert_rate: float = 0.2
     alert_interval_seconds: int = 300
-    max_messages_per_trigger: int = 100
+    max_messages_per_trigger: int | None = None
     summary_ttl: str = "24 hours"
 
 

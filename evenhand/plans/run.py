@@ -40,7 +40,7 @@ class Run:
 def detect(texts: DataFrame, lexicons: Lexicons = DEFAULT_LEXICONS,
            options: DetectOptions = DEFAULT_OPTIONS, by: tuple = (),
            include_demographic: bool = True, include_linguistic: bool = True,
-           include_counterfactual: bool = True, counterfactual_texts: int | None = 100,
+           include_counterfactual: bool = True, counterfactual_texts: int | None = None,
            persist: bool = True) -> Run:
     """Preprocess, identify languages, detect, aggregate.
 
@@ -68,7 +68,8 @@ def detect(texts: DataFrame, lexicons: Lexicons = DEFAULT_LEXICONS,
     if include_linguistic and "linguistic" in options.checks:
         run.linguistic = C.linguistic_analysis(prepared, lexicons, by=by)
     if include_counterfactual:
-        run.counterfactual = X.counterfactual_differences(prepared, texts=counterfactual_texts)
+        run.counterfactual = X.counterfactual_differences(
+            prepared, texts=counterfactual_texts, by=by)
     run.recommendations = C.recommendations(
         metrics, run.linguistic.get("sentiment_disparities"), by)
     return run

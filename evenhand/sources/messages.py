@@ -11,6 +11,15 @@ from evenhand import schemas
 from evenhand.options import DEFAULT_MONITOR, MonitorOptions
 
 
+def kafka_options(monitor: MonitorOptions = DEFAULT_MONITOR) -> dict:
+    """Reader options of a Kafka stream: from the latest offset; what a trigger takes in is
+    only limited if asked for."""
+    options = {"startingOffsets": "latest"}
+    if monitor.max_messages_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = monitor.max_messages_per_trigger
+    return options
+
+
 def read_message_stream(spark: SparkSession, fmt: str = "kafka",
                         monitor: MonitorOptions = DEFAULT_MONITOR, **options) -> DataFrame:
     """JSON messages as a stream with a ``value`` string column.
@@ -20,8 +29,8 @@ def read_message_stream(spark: SparkSession, fmt: str = "kafka",
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
-        reader = (reader.option("startingOffsets", "latest")
-                  .option("maxOffsetsPerTrigger", monitor.max_messages_per_trigger))
+        for name, value in kafka_options(monitor).items():
+            reader = reader.option(name, value)
     path = options.pop("path", None)
     reader = reader.options(**options)
     raw = reader.load(path) if path else reader.load()
