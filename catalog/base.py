@@ -7,7 +7,6 @@ chosen by ``doc_id``.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +54,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    """The documents; ``spark.evenhand.spread`` in the session's settings deals them out to so many
+    partitions, as bench and tests do, whose tables are one split each."""
+    parts = spark.conf.get("spark.evenhand.spread", None)
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"),
+                  int(parts) if parts else None)
+
+
+def gamma_tail_sql(x: str, dof: str) -> str:
+    """P(X >= x) of a chi-square variable in SQL: one less the positive series of the lower
+    incomplete gamma function, its terms taken in logarithms."""
+    a, half = f"({dof}) / 2e0", f"({x}) / 2e0"
+    return (f"CASE WHEN {x} IS NULL THEN NULL WHEN {x} <= 0 THEN 1e0 ELSE greatest(0e0, 1e0 - "
+            f"list_sum(list_transform(range(0, 2000 + 4 * ({half})::BIGINT), lambda i: exp("
+            f"({a} + i) * ln({half}) - {half} - lgamma({a} + i + 1))))) END")
 
 
 def carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,10 +102,11 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder for a query that writes and reads back: below the shared checkpoint
-    folder of the cluster, or a local one when none is set (tests)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    folder, else below the session's warehouse, which all machines share as well."""
+    shared = (spark.conf.get("spark.checkpoint.dir", None)
+              or spark.conf.get("spark.sql.warehouse.dir", None))
     if not shared:
-        shared = tempfile.mkdtemp(prefix="evenhand-")
+        raise ValueError("set spark.checkpoint.dir or spark.sql.warehouse.dir to a shared folder")
     return f"{shared.rstrip('/')}/evenhand-{uuid.uuid4().hex}"
 
 

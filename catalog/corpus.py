@@ -97,7 +97,8 @@ def _significance(spark, sf):
 
 
 def _significance_p(spark, sf):
-    return C.significance(_demographic(spark, sf), OPTIONS)
+    return C.significance(_demographic(spark, sf), OPTIONS).select(
+        "group_type", "groups", "n", _r("h", 4), _r("p_value"), "significant")
 
 
 def _protected(spark, sf):
@@ -469,6 +470,10 @@ SQL = {
                         "round(coalesce(avg(disparity), 0e0), 9) AS disparate_impact "
                         "FROM comparisons",
     "kruskal_wallis": f"{DEMO}, {KRUSKAL} SELECT group_type, groups, n, round(h, 4) AS h FROM h",
+    "kruskal_wallis_p": f"""{DEMO}, {KRUSKAL}, p AS (SELECT *,
+        {B.gamma_tail_sql('h', 'groups - 1')} AS p_value FROM h)
+        SELECT group_type, groups, n, round(h, 4) AS h, round(p_value, 9) AS p_value,
+          coalesce(p_value < 0.05e0, false) AS significant FROM p""",
     "protected_attributes": f"""{DEMO}, {comparisons_sql()} SELECT group_type,
         sum(bias_count) AS findings, sum(severe) AS severe FROM comparisons GROUP BY group_type
         HAVING sum(bias_count) > 10 AND sum(severe) > 5""",

@@ -73,7 +73,8 @@ def _mann_whitney(spark, sf):
 
 
 def _mann_whitney_p(spark, sf):
-    return K.mann_whitney(_labelled(spark, sf), "y_true", "n_chars", 1, 0)
+    return K.mann_whitney(_labelled(spark, sf), "y_true", "n_chars", 1, 0).select(
+        "n1", "n2", "u", _r("p_value"), "significant")
 
 
 def _kruskal_events(spark, sf):
@@ -279,6 +280,17 @@ SQL = {
         SELECT count(*) FILTER (y_true = 1) AS n1, count(*) FILTER (y_true = 0) AS n2,
           sum(r) FILTER (y_true = 1) - count(*) FILTER (y_true = 1)
             * (count(*) FILTER (y_true = 1) + 1) / 2 AS u FROM ranked""",
+    "mann_whitney_p": f"""WITH {LABELLED}, ranked AS (SELECT y_true, rank() OVER (ORDER BY n_chars)
+        + (count(*) OVER (PARTITION BY n_chars) - 1) / 2 AS r,
+        count(*) OVER (PARTITION BY n_chars) AS t FROM labelled),
+        u AS (SELECT count(*) FILTER (y_true = 1) AS n1, count(*) FILTER (y_true = 0) AS n2,
+          sum(r) FILTER (y_true = 1) - count(*) FILTER (y_true = 1)
+            * (count(*) FILTER (y_true = 1) + 1) / 2 AS u,
+          sum(t::DOUBLE * t - 1) AS ties FROM ranked),
+        z AS (SELECT *, (greatest(u, n1 * n2 - u) - n1 * n2 / 2 - 0.5e0) / sqrt(n1 * n2 / 12e0
+          * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1e0)))) AS z FROM u),
+        p AS (SELECT *, {B.gamma_tail_sql('(z * z)', '1')} AS p_value FROM z)
+        SELECT n1, n2, u, round(p_value, 9) AS p_value, p_value < 0.05e0 AS significant FROM p""",
     "kruskal_wallis_events": _kruskal_sql("events", "event_type", "value"),
     "bias_amplification": f"""WITH t AS (SELECT role, CASE WHEN
         {' OR '.join(f"contains(lower(text), '{w}')" for w in [*INSULTS, 'le ', 'the '])}

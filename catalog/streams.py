@@ -48,7 +48,7 @@ def _text_csv(spark, sf):
     (B.documents(spark, sf).select("doc_id", "lang", F.when(F.col("doc_id") % 5 > 0, F.col("text"))
                                    .alias("text"))
      .write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path))
-    return TS.read_text_csv(spark, path).select(
+    return TS.read_text_csv(spark, path, multi_line=True).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("digest"))
 
 

@@ -12,37 +12,51 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Up to this many cells the exact rank-sum distribution is counted out.
-EXACT_CELLS = 20_000
-EXACT_SIDE = 8
+METHODS = ("asymptotic", "exact")
 
 
 def chi_square_tail(x: float, dof: int) -> float:
-    """P(X >= x) for a chi-square variable with an integer number of degrees of freedom."""
+    """P(X >= x) for a chi-square variable: the upper incomplete gamma function, by its series
+    below the mean and by a continued fraction above, both scaled in logarithms."""
     if x <= 0 or dof < 1:
         return 1.0
-    half = x / 2.0
-    if dof % 2 == 0:
-        term = total = math.exp(-half)
-        for i in range(1, dof // 2):
-            term *= half / i
+    a, half = dof / 2.0, x / 2.0
+    scale = a * math.log(half) - half - math.lgamma(a)
+    if half < a + 1:
+        term = total = 1.0 / a
+        n = a
+        while abs(term) > abs(total) * 1e-16:
+            n += 1
+            term *= half / n
             total += term
-        return min(1.0, total)
-    total = math.erfc(math.sqrt(half))
-    term = math.exp(-half) * math.sqrt(half) / math.gamma(1.5)
-    for i in range(1, (dof + 1) // 2):
-        total += term
-        term *= half / (i + 0.5)
-    return min(1.0, total)
-
-
-def rank_sum_p(n1: int, n2: int, u: float, ties: float) -> float:
-    """Two-sided p of the U statistic: counted exactly when one side has at most eight
-    values and there are no ties, else the normal tail with tie and continuity correction."""
+        return min(1.0, max(0.0, 1.0 - total * math.exp(scale)))
+    # Lentz's method for 1 / (half + 1 - a - 1 (1 - a) / (half + 3 - a - ...))
+    tiny = 1e-300
+    b = half + 1 - a
+    c, d = 1 / tiny, 1 / (b or tiny)
+    h = d
+    for i in range(1, 100_000):
+        step = -i * (i - a)
+        b += 2
+        d = 1 / (step * d + b or tiny)
+        c = b + step / c or tiny
+        h *= d * c
+        if abs(d * c - 1) < 1e-15:
+            break
+    return min(1.0, max(0.0, math.exp(scale) * h))
+
+
+def rank_sum_p(n1: int, n2: int, u: float, ties: float, method: str = "asymptotic") -> float:
+    """Two-sided p of the U statistic: the normal tail with tie and continuity correction, or
+    counted out exactly, which needs values without ties and time as n1 * n2."""
+    if method not in METHODS:
+        raise ValueError(f"method is one of {METHODS}, not {method!r}")
     if n1 < 2 or n2 < 2:
         return 1.0
     u = max(u, n1 * n2 - u)
-    if ties == 0 and min(n1, n2) <= EXACT_SIDE and n1 * n2 <= EXACT_CELLS:
+    if method == "exact":
+        if ties:
+            raise ValueError("the exact distribution is that of values without ties")
         counts = _u_counts(n1, n2)
         tail = sum(counts[int(math.ceil(u)):])
         return min(1.0, 2.0 * tail / sum(counts))
@@ -75,8 +89,11 @@ def chi_square_tail_udf(x: pd.Series, dof: pd.Series) -> pd.Series:
         for a, b in zip(x, dof, strict=True)], dtype="float64")
 
 
-@F.pandas_udf(T.DoubleType())
-def rank_sum_p_udf(n1: pd.Series, n2: pd.Series, u: pd.Series, ties: pd.Series) -> pd.Series:
-    return pd.Series([
-        rank_sum_p(int(a), int(b), float(c), float(d))
-        for a, b, c, d in zip(n1, n2, u, ties, strict=True)], dtype="float64")
+def rank_sum_p_udf(method: str = "asymptotic"):
+    @F.pandas_udf(T.DoubleType())
+    def p(n1: pd.Series, n2: pd.Series, u: pd.Series, ties: pd.Series) -> pd.Series:
+        return pd.Series([
+            rank_sum_p(int(a), int(b), float(c), float(d), method)
+            for a, b, c, d in zip(n1, n2, u, ties, strict=True)], dtype="float64")
+
+    return p

@@ -159,9 +159,13 @@ def text_features(df: DataFrame, lexicons: Lexicons = DEFAULT_LEXICONS, text_col
         return F.size(M.among(F.col("_found"), terms))
 
     every = M.literal_structs(("dialect", "markers"), lexicons.dialect_markers.items())
-    dialects = F.transform(
-        F.filter(every, lambda d: F.arrays_overlap(d["markers"], F.col("_found"))),
-        lambda d: d["dialect"])
+
+    def overlapping(terms: Column) -> Column:
+        return F.transform(F.filter(every, lambda d: F.arrays_overlap(d["markers"], terms)),
+                           lambda d: d["dialect"])
+
+    # Named: inside the lambda over dialects the optimizer would put the scan itself.
+    dialects = F.transform(F.array(F.col("_found")), overlapping)[0]
     polarity = F.transform(
         F.array(F.struct(hits(lexicons.positive_words).alias("p"),
                          hits(lexicons.negative_words).alias("n"))),

@@ -38,7 +38,8 @@ def _group_rates(df: DataFrame, y_pred: str, sensitive: str) -> DataFrame:
 def _binary(column: str) -> Column:
     value = F.col(column)
     return F.when(value.isin(0, 1), value).otherwise(
-        F.raise_error(F.concat(F.lit(f"{column} must be 0 or 1, found "), value.cast("string"))))
+        F.raise_error(F.concat(F.lit(f"{column} must be 0 or 1, found "),
+                               F.coalesce(value.cast("string"), F.lit("null")))))
 
 
 def equalized_odds_difference(df: DataFrame, y_true: str, y_pred: str,

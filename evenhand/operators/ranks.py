@@ -12,11 +12,14 @@ from pyspark.sql import functions as F
 
 from evenhand.functions.tails import chi_square_tail_udf, rank_sum_p_udf
 
-RANGES = 256
+
+def _ranges(df: DataFrame, ranges: int | None) -> int:
+    """As many ranges as the session shuffles into, unless given."""
+    return ranges or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def rank_sums(df: DataFrame, group: str, score: str, by: tuple = (),
-              ranges: int = RANGES) -> DataFrame:
+              ranges: int | None = None) -> DataFrame:
     """Per (by, group): rows ``n``, rank sum ``rank_sum`` and its part of the tie term."""
     return _rank_sums(score_counts(df, group, score, by), group, score, by, ranges)
 
@@ -28,7 +31,8 @@ def score_counts(df: DataFrame, group: str, score: str, by: tuple = ()) -> DataF
 
 
 def _rank_sums(counts: DataFrame, group: str, score: str, by: tuple,
-               ranges: int = RANGES) -> DataFrame:
+               ranges: int | None = None) -> DataFrame:
+    ranges = _ranges(counts, ranges)
     cuts = counts.agg(F.percentile_approx(
         score, [i / ranges for i in range(1, ranges)], F.lit(ranges * 40)).alias("c")).scalar()
     # Never null, or the joins below would push "is not null" under the shared aggregate.
@@ -82,10 +86,10 @@ def kruskal_wallis(df: DataFrame, group: str, score: str, by: tuple = (),
 
 
 def mann_whitney(df: DataFrame, group: str, score: str, first, second,
-                 alpha: float = 0.05) -> DataFrame:
+                 alpha: float = 0.05, method: str = "asymptotic") -> DataFrame:
     """Two-sided rank-sum test between two values of ``group``; one row.
 
-    Fewer than two rows on a side give p = 1 and not significant.
+    ``method`` is that of ``rank_sum_p`` and the same for all sizes.  Fewer than two rows on a side give p = 1 and not significant.
     """
     two = df.where(F.col(group).isin(first, second))
     sums = rank_sums(two, group, score)
@@ -98,6 +102,6 @@ def mann_whitney(df: DataFrame, group: str, score: str, first, second,
                    F.coalesce(F.sum("ties"), F.lit(0.0)).alias("ties"))
     u = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2
     out = one.select("n1", "n2", u.alias("u"), "ties")
-    out = out.withColumn("p_value", rank_sum_p_udf("n1", "n2", "u", "ties")).drop("ties")
+    out = out.withColumn("p_value", rank_sum_p_udf(method)("n1", "n2", "u", "ties")).drop("ties")
     return out.withColumn("significant", (F.col("p_value") < alpha)
                           & (F.col("n1") >= 2) & (F.col("n2") >= 2))

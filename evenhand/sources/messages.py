@@ -74,11 +74,22 @@ def write_alerts(alerts: DataFrame, checkpoint: str, fmt: str = "kafka",
                  callbacks: list[Callable[[DataFrame], None]] | None = None,
                  trigger: dict | None = None, **options):
     """Start the query that sends alerts to their sink and then calls each callback with the
-    batch of alerts, as a DataFrame."""
+    batch of alerts, as a DataFrame.
+
+    A batch that is tried again doesn't repeat its alerts: in a file sink each batch has a
+    folder of its own, which is overwritten; other sinks get ``batch_id`` in each message.
+    """
+    path = options.pop("path", None)
+
     def send(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            as_messages(batch).write.format(fmt).mode("append").options(**options).save()
+            if path:
+                (as_messages(batch).write.format(fmt).mode("overwrite").options(**options)
+                 .save(f"{path}/batch_id={batch_id}"))
+            else:
+                (as_messages(batch.withColumn("batch_id", F.lit(batch_id))).write.format(fmt)
+                 .mode("append").options(**options).save())
             for callback in callbacks or []:
                 callback(batch)
         finally:

@@ -14,16 +14,10 @@ def _trimmed(column):
     return F.regexp_replace(column, f"^{SPACE_CHAR}+|{SPACE_CHAR}+$", "")
 
 
-def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
-    """Rows dealt out to all cores when the scan yields fewer splits than there are cores.
-
-    A few files with one row group each would otherwise keep most cores idle.  A scan of a
-    large table has splits enough and is returned as it is, so nothing is shuffled there.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores * per_core)
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows dealt out to ``partitions``, for scans of few files with one row group each; by
+    default the table as it is."""
+    return df if partitions is None else df.repartition(partitions)
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -34,10 +28,13 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
                         _trimmed(F.col("value")).alias("text"))
 
 
-def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file with a header and a ``text`` column; rows without text are dropped."""
-    df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-          .csv(path))
+def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A CSV file with a header and a ``text`` column; rows without text are dropped.
+
+    Values with line breaks need ``multi_line``, which makes each file one task.
+    """
+    df = (spark.read.option("header", True).option("multiLine", multi_line)
+          .option("escape", '"').csv(path))
     if "text" not in df.columns:
         raise ValueError("CSV file must have a 'text' column")
     return df.dropna(subset=["text"])
@@ -45,9 +42,9 @@ def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def as_texts(df: DataFrame, text_col: str = "text", key_col: str | None = None,
              keep: tuple = ()) -> DataFrame:
-    """Any table or stream with a text column as (doc_id, text, ...).  Without a key the
-    text's hash is the key, which makes equal texts share it."""
-    key = F.col(key_col) if key_col else F.xxhash64(F.col(text_col))
+    """Any table or stream with a text column as (doc_id, text, ...).  Without a key every row
+    gets an id of its own, equal texts as well; write the table out to keep the ids."""
+    key = F.col(key_col) if key_col else F.monotonically_increasing_id()
     return df.select(key.alias("doc_id"), F.col(text_col).cast("string").alias("text"), *keep)
 
 

@@ -13,6 +13,7 @@ def spark():
 
     session = (SparkSession.builder.master("local[4]").appName("tests")
                .config("spark.sql.shuffle.partitions", "4")
+               .config("spark.evenhand.spread", "8")
                .config("spark.driver.memory", "4g")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
