@@ -1,4 +1,4 @@
-"""What the operators share: checkpoints, column names that clash with none, bounded samples."""
+"""What the operators share: stored tables, batches, column names that clash with none, bounded samples."""
 
 from __future__ import annotations
 
@@ -24,22 +24,28 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` with its lineage cut, kept in the shared folder; Spark removes it when it isn't used any more."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def stored(df: DataFrame) -> DataFrame:
-    """`df` written as a table in the shared folder and read again: smaller than a checkpoint, and read by column.
+    """`df` with its lineage cut: written as a table in the shared folder and read again, by column.
 
-    It stays until the session's part of the shared folder is cleared.
+    Unlike a checkpoint it is compressed, and the plan that reads it knows nothing of the one
+    that wrote it. It stays until the shared folder is cleared.
     """
     folder = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return df.sparkSession.read.parquet(folder)
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """`df`; its session hands Python tasks `rows` rows at a time, unless it sets another number than Spark does.
+
+    Texts are long: 10,000 of them, in Java, Arrow and Python at once, take much of an executor.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, str(rows))
+    return df
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that `df` doesn't have, made from `name`."""
     taken = {c.lower() for c in df.columns}

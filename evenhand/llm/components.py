@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenhand.llm.common import checkpointed
+from evenhand.llm.common import stored
 
 
 def local_components(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:
@@ -29,12 +29,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Links have no direction; repeated ones and loops do no harm, links with a null end are
     left out, an empty table gives an empty one. Each step halves the depth of the trees, so
     that the number of steps grows with the logarithm of the longest chain; every step is
-    checkpointed. Minima are combined before they are shuffled, and no step gathers the
+    stored. Minima are combined before they are shuffled, and no step gathers the
     neighbours of a node: a node with very many links is a skewed join, which adaptive
     execution splits. What a step sends to the driver is two numbers.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(f"{a} IS NOT NULL AND {b} IS NOT NULL AND u > v").distinct()
-    edges, before = checkpointed(edges), None
+    edges, before = stored(edges), None
     while True:
         n = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if n[0] == 0 or n == before:
@@ -48,4 +48,4 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # small star: what is below a node is linked to the least of it
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").unionByName(low.select("u", F.col("m").alias("v")))
-        edges = checkpointed(small.distinct())
+        edges = stored(small.distinct())

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenhand.llm.common import fresh
+from evenhand.llm.common import fresh, small_batches
 
 # The word pattern of the contract; the multiplier is any large odd number.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -117,6 +117,7 @@ def with_hits(df: DataFrame, benchmark: DataFrame, out: str, text: str = "text",
     equal items all count; with an empty benchmark nothing is hit. Repeated rows each get
     their own result. block_words bounds the words of items broadcast at a time.
     """
+    df = small_batches(df)
     items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("text")).filter("item IS NOT NULL AND text IS NOT NULL")
     total = items.agg(F.sum(F.size(F.split("text", r"\s+")).cast("long"))).first()[0] or 0
     n_blocks = max(1, math.ceil(total / block_words))

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evenhand.llm.common import small_batches
+
 # Element names of HTML and common function words of four languages.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -206,4 +208,4 @@ def extract(pages: DataFrame, page: str = "html", out: str = "text", rules: Rule
     Row by row, without a shuffle. Null and empty pages give an empty text, text without any
     tag is taken as main text, repeated rows stay, an empty table gives an empty one.
     """
-    return pages.withColumn(out, extracted(F.col(page), rules))
+    return small_batches(pages).withColumn(out, extracted(F.col(page), rules))

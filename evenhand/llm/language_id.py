@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenhand.llm.common import bounded_sample
+from evenhand.llm.common import bounded_sample, small_batches
 
 UNDETERMINED = "und"
 PREDICTED = "lang_pred string, score double, margin double, rejected boolean"
@@ -29,16 +29,18 @@ class Settings:
 
     block: characters compressed at once, so that a long text doesn't train itself; level: of zstandard;
     scale: bytes of difference that count as a factor of e in the score; margin: share of the
-    smallest size below which a choice is rejected.
+    smallest size below which a choice is rejected; few: characters of distinct words below
+    which a text's distinct words are read together and one by one.
     """
 
     rows: int = 400
     piece: int = 1000
-    dictionary: int = 100_000
-    block: int = 2000
-    level: int = 3
+    dictionary: int = 50_000
+    block: int = 1000
+    level: int = 6
     scale: float = 3.0
     margin: float = 0.01
+    few: int = 200
 
 
 def letters(text: str) -> str:
@@ -78,8 +80,9 @@ class Model:
         if not words or not self.names:
             return UNDETERMINED, 0.0, 0.0, True
         blocks = [words[i : i + self.settings.block].encode() for i in range(0, len(words), self.settings.block)]
-        if len(blocks[0]) < 100:  # a short text often packs into equally many bytes: its words in turn are further readings
-            blocks += [w.encode() for w in words.split()]
+        kinds = dict.fromkeys(words.split())
+        if sum(map(len, kinds)) < self.settings.few:  # few words, or the same again and again, pack into equally many bytes: each is a further reading
+            blocks = [f" {' '.join(kinds)} ".encode(), *(f" {w} ".encode() for w in kinds)]
         sizes = np.array([sum(len(pack(b)) for b in blocks) for pack in self.packers])
         best = int(sizes.argmin())
         rest = np.delete(sizes, best)
@@ -107,5 +110,5 @@ def identify(df: DataFrame, contents: dict[str, bytes], key: str = "doc_id", tex
     with score 0, rejected. Equal sizes go to the language that comes first by name. Repeated
     rows each get a result, an empty table an empty one; other columns take no part.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = small_batches(df).select(F.col(key).alias("key"), F.col(text).alias("text"))
     return rows.select(F.col("key").alias(key), predicted(df.sparkSession, F.col("text"), contents, settings).alias("found")).select(key, "found.*")

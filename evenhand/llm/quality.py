@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenhand.llm.common import SHARES, labelled_sample, share
+from evenhand.llm.common import SHARES, labelled_sample, share, small_batches
 
 _UPPER, _LOWER, _DIGIT = slice(65, 91), slice(97, 123), slice(48, 58)
 _PLAIN = np.zeros(256, bool)
@@ -123,11 +123,14 @@ def fit_arrays(positive: np.ndarray, unlabelled: np.ndarray, settings: Settings
     p, u = of(positive), of(unlabelled)
     decay = s.decay / min(len(p), len(u))
 
-    def against(w: np.ndarray) -> np.ndarray:
-        return -p.T @ _sigmoid(-p @ w) / len(p) + u.T @ _sigmoid(u @ w) / len(u) + decay * w
+    def prior_from(pa: np.ndarray, ua: np.ndarray, pb: np.ndarray, ub: np.ndarray) -> float:
+        """By a classifier of one half of the texts that ranks the other."""
+        w = _descend(lambda w: -pa.T @ _sigmoid(-pa @ w) / len(pa) + ua.T @ _sigmoid(ua @ w) / len(ua) + decay * w, pa.shape[1], s)
+        return estimated_prior(pb @ w, ub @ w, s)
 
-    first = _descend(against, p.shape[1], s)
-    prior = estimated_prior(p @ first, u @ first, s)
+    halves = [x if len(x) > 1 else np.vstack([x, x]) for x in (p, u)]
+    (pa, ua), (pb, ub) = ([x[k::2] for x in halves] for k in (0, 1))
+    prior = (prior_from(pa, ua, pb, ub) + prior_from(pb, ub, pa, ua)) / 2
 
     def risk(w: np.ndarray) -> np.ndarray:
         fp, fu = p @ w, u @ w
@@ -152,7 +155,7 @@ def fit(df: DataFrame, positives: DataFrame, key: str = "doc_id", text: str = "t
     features come to the driver. Null keys can't be positives; null texts don't teach.
     """
     s = settings or Settings()
-    rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).filter("text IS NOT NULL")
+    rows = small_batches(df).select(F.col(key).alias("doc_id"), F.col(text).alias("text")).filter("text IS NOT NULL")
     trusted = labelled_sample(rows, positives.select(F.col(key).alias("doc_id"), F.lit(1).alias("label")), "label", s.sample)
     n = rows.count()
     spread = rows.filter(share("doc_id") < min(SHARES, int(SHARES * 2 * s.sample / max(1, n)))).orderBy(share("doc_id"), "doc_id").limit(s.sample)
@@ -178,11 +181,11 @@ def classify(df: DataFrame, model: Model | None, key: str = "doc_id", text: str
     Null and empty texts get the score of a text without characters. Repeated rows each get a
     result, an empty table an empty one; other columns take no part.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = small_batches(df).select(F.col(key).alias("key"), F.col(text).alias("text"))
     found = rows.select(F.col("key").alias(key), scored(df.sparkSession, F.col("text"), model).alias("score"))
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def filtered(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """`df` without the rows that score below 0.5; all columns stay."""
-    return df.filter(scored(df.sparkSession, F.col(text), model) >= 0.5)
+    return small_batches(df).filter(scored(df.sparkSession, F.col(text), model) >= 0.5)

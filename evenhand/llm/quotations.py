@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from evenhand.llm.common import checkpointed
+from evenhand.llm.common import stored
 
 BLOCK = 1024  # turns, or threads, that are looked at together
 
@@ -66,12 +66,12 @@ def _originals(quoted: DataFrame, own: DataFrame) -> DataFrame:
 def _threads(answers: DataFrame) -> DataFrame:
     """conv, turn, thread (the first turn reached by going from answer to original) and depth, of answers; the way doubles at each step."""
     at = answers.groupBy("conv", "turn").agg(F.max("original").alias("thread")).withColumn("depth", F.lit(1).cast("long"))
-    at = checkpointed(at)
+    at = stored(at)
     while True:
         up = at.select("conv", F.col("turn").alias("thread"), F.col("thread").alias("_thread"), F.col("depth").alias("_depth"))
         if at.join(up, ["conv", "thread"], "left_semi").isEmpty():
             return at
-        at = checkpointed(at.join(up, ["conv", "thread"], "left").select("conv", "turn", F.coalesce("_thread", "thread").alias("thread"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")))
+        at = stored(at.join(up, ["conv", "thread"], "left").select("conv", "turn", F.coalesce("_thread", "thread").alias("thread"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")))
 
 
 def _positions(rows: DataFrame) -> DataFrame:
@@ -110,7 +110,7 @@ def linked(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str =
     originals = _originals(quoted, own)
     # a repeated row's lines count once
     lines = quoted.groupBy("conv", "turn", "id", "level", "h1", "h2", "size").agg(F.lit(1).alias("one")).drop("one")
-    matched = checkpointed(lines.join(originals, ["conv", "h1", "h2", "turn"]))
+    matched = stored(lines.join(originals, ["conv", "h1", "h2", "turn"]))
     counts = matched.groupBy("conv", "turn", "id").agg(F.countDistinct("h1", "h2").alias("n_linked"))
     votes = matched.groupBy("conv", "turn", "id", "level", "original").agg(F.sum("size").alias("size"))
     answers = votes.groupBy("conv", "turn", "id").agg(F.max(F.struct(-F.col("level"), "size", "original"))["original"].alias("original"))

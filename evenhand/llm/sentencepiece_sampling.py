@@ -24,10 +24,12 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evenhand.llm.common import small_batches
+
 MARK = "▁"  # stands for a space in pieces
 BYTE_COST = 2.0  # how much less likely a byte piece is than the rarest piece, as a natural logarithm
-CHUNK = 1 << 16  # words drawn at once
-CACHED = 150_000  # words whose lattices a task keeps
+CHUNK = 1 << 15  # words drawn at once
+CACHED = 40_000  # words whose lattices a task keeps
 
 
 @dataclass(frozen=True)
@@ -90,7 +92,7 @@ class Lattices:
         self.words: dict[str, int] = {}
         self.spelled: list[tuple[int, ...]] = []
         self.spelling: dict[int, int] = {}
-        self.base, self.first, self.back, self.piece = (np.zeros(0, np.int64) for _ in range(4))
+        self.base, self.first, self.back, self.piece = (np.zeros(0, np.int32) for _ in range(4))
         self.share = np.zeros(0)
 
     def add(self, words: list[str]) -> None:
@@ -145,18 +147,18 @@ class Lattices:
             starts, many = heads[a:b] - low, counts[a:b]
             logs = ways[back[low:high]] + weight[low:high]
             top = np.maximum.reduceat(logs, starts)
-            parts = np.exp(logs - np.repeat(top, many))
-            total = np.add.reduceat(parts, starts)
-            sums = np.cumsum(parts)
-            share[low:high] = (sums - np.repeat(sums[starts] - parts[starts], many)) / np.repeat(total, many)
+            sums = np.exp(logs - np.repeat(top, many))
+            for k in range(1, int(many.max())):  # a node at a time, so that no other word changes a last digit
+                at = starts[many > k] + k
+                sums[at] += sums[at - 1]
+            total = sums[starts + many - 1]
+            share[low:high] = sums / np.repeat(total, many)
             ways[end[heads[a:b]]] = top + np.log(total)
         share[heads + counts - 1] = 1.0
         self.words.update(zip(words, range(len(self.words), len(self.words) + len(words)), strict=True))
-        self.first = np.concatenate((self.first, first + size))
-        self.back = np.concatenate((self.back, back + old))
-        self.piece = np.concatenate((self.piece, piece))
-        self.share = np.concatenate((self.share, share))
-        self.base = np.concatenate((self.base, base + old))
+        longer = lambda old, new: np.concatenate((old, new.astype(old.dtype)))
+        self.first, self.back, self.base = longer(self.first, first + size), longer(self.back, back + old), longer(self.base, base + old)
+        self.piece, self.share = longer(self.piece, piece), longer(self.share, share)
 
     def draw(self, words: list[str], lengths: np.ndarray, places: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all words one after another, and how many each has; places: where the words start in their texts."""
@@ -167,20 +169,20 @@ class Lattices:
         if new:
             self.add(new)
         get = self.words.__getitem__
-        base = self.base[np.fromiter(map(get, words), np.int64, len(words))]
+        base = self.base[np.fromiter(map(get, words), np.int64, len(words))].astype(np.int64)
         node, who = base + lengths + 1, np.arange(len(words))
         drawn: list[tuple[np.ndarray, np.ndarray]] = []
         counts = np.zeros(len(words), np.int64)
         while len(who):
             u = uniform(keys[who], places[who] + node - base[who])
-            edge = self.first[node]
+            edge = self.first[node].astype(np.int64)
             late = np.flatnonzero(self.share[edge] <= u)
             while len(late):
                 edge[late] += 1
                 late = late[self.share[edge[late]] <= u[late]]
             drawn.append((who, self.piece[edge]))
             counts[who] += 1
-            node = self.back[edge]
+            node = self.back[edge].astype(np.int64)
             on = node != base[who]
             node, who = node[on], who[on]
         out, last = np.zeros(int(counts.sum()), np.int64), np.cumsum(counts) - 1
@@ -288,4 +290,4 @@ def tokenized(df: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text:
     before it; a null key seeds like the text "null" would not, but always alike. Repeated
     rows get equal ids, as keys and texts decide them; an empty table gives an empty one.
     """
-    return df.withColumn(out, encoded(df.sparkSession, F.col(key), F.col(text), vocabulary, alpha))
+    return small_batches(df).withColumn(out, encoded(df.sparkSession, F.col(key), F.col(text), vocabulary, alpha))

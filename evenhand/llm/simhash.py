@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenhand.llm.common import checkpointed, fresh
+from evenhand.llm.common import fresh, small_batches, stored
 from evenhand.llm.components import components, local_components
 
 BITS = 64
@@ -138,10 +138,10 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", radius: int =
     fingerprint 0, linked like any other. Repeated rows are members each; an empty table gives
     an empty one; other columns take no part.
     """
-    rows = checkpointed(df.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("text_hash"), fingerprinted(F.col(text), n).alias("fp")))
+    rows = stored(small_batches(df).select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("text_hash"), fingerprinted(F.col(text), n).alias("fp")))
     prints = rows.groupBy("fp").agg(F.min("key").alias("first"))
     linked = components(near_links(prints, radius=radius))
-    named = checkpointed(prints.join(linked, prints.fp == linked.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("component")))
+    named = stored(prints.join(linked, prints.fp == linked.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("component")))
     firsts = named.groupBy("component").agg(F.min("first").alias("component_id"))
     return rows.join(named.join(firsts, "component").select("fp", "component", "component_id"), "fp").select(F.col("key").alias(key), "text_hash", "fp", "component", "component_id")
 
@@ -151,7 +151,7 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", **optio
 
     All columns stay. Null keys come last within a group.
     """
-    members = checkpointed(groups(df, key, text, **options).groupBy(key, "text_hash", "component").count())
+    members = stored(groups(df, key, text, **options).groupBy(key, "text_hash", "component").count())
     order = F.struct(F.col(key).isNull(), key, "text_hash")
     first = members.groupBy("component").agg(F.min(order).alias("chosen"))
     marked = members.join(first, "component").select(F.col(key).alias("_key"), F.col("text_hash").alias("_hash"), (order == F.col("chosen")).alias("stays"), "count")

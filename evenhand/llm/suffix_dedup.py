@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenhand.llm.common import fresh, stored
+from evenhand.llm.common import fresh, small_batches, stored
 
 LENGTH = 200
 GRAM = 64
@@ -291,7 +291,7 @@ def with_removed(df: DataFrame, out: str, key: str = "doc_id", text: str = "text
     """
     if keep not in ("none", "first"):
         raise ValueError(f"keep is none or first, not {keep}")
-    texts = df.select(F.col(key).cast("long").alias("d"), F.col(text).alias("text"))
+    texts = small_batches(df).select(F.col(key).cast("long").alias("d"), F.col(text).alias("text"))
     found = texts.mapInPandas(_anchored(length, gram), "a long, h long, d long, at long")
 
     order = F.struct("d", "at")

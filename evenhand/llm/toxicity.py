@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenhand.llm.common import labelled_sample
+from evenhand.llm.common import labelled_sample, small_batches
 
 SCORED = "severity double, grade int, toxic_chance double"
 _word = re.compile(r"[^\W\d_]+")
@@ -32,10 +32,10 @@ class Settings:
     vocabulary: int = 1024
     beginnings: tuple[int, ...] = (4, 5)
     grades: int = 4
-    steps: int = 400
-    rate: float = 0.05
-    decay: float = 1e-3
-    least: int = 3  # texts that a feature must occur in
+    steps: int = 500
+    rate: float = 0.1
+    decay: float = 3e-5
+    least: float = 18.0  # log-likelihood that toxic texts have a feature more often; chance gives a rare word less
 
 
 @dataclass
@@ -62,12 +62,6 @@ def counted(text: str | None, beginnings: tuple[int, ...]) -> Counter[str]:
     return out
 
 
-def evidence(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
-    """By how much more often features occur in toxic texts than in clean ones, as log-likelihood; 0 for others."""
-    p, q = (toxic + 0.5) / (n_toxic + 1), (clean + 0.5) / (n_clean + 1)
-    return np.where(p > q, toxic * np.log(p / q), 0.0)
-
-
 def _occurring(beginnings: tuple[int, ...]):
     def occurring(batches):
         counts: dict[int, Counter[str]] = {0: Counter(), 1: Counter()}
@@ -116,7 +110,7 @@ def fit(df: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_
     they are; the vocabulary's counts and the sample's few vocabulary words go to the driver.
     """
     s = settings or Settings()
-    rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).filter("text IS NOT NULL")
+    rows = small_batches(df).select(F.col(key).alias("doc_id"), F.col(text).alias("text")).filter("text IS NOT NULL")
     marks = labels.select(F.col(key).alias("doc_id"), F.col(label).cast("int").alias("label")).filter("label IN (0, 1)")
     sample = labelled_sample(rows, marks, "label", s.sample)
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
@@ -124,9 +118,12 @@ def fit(df: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_
         return None
     counts = sample.mapInPandas(_occurring(s.beginnings), "feature string, label int, n long")
     counts = counts.groupBy("feature").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("clean"))
-    p, q = (F.col("toxic") + 0.5) / (sizes[1] + 1), (F.col("clean") + 0.5) / (sizes[0] + 1)
-    gain = F.col("toxic") * F.log(p / q)
-    best = counts.filter((F.col("toxic") >= s.least) & (p > 2 * q)).orderBy(gain.desc(), "feature").limit(s.vocabulary).collect()
+    share = sizes[1] / (sizes[0] + sizes[1])
+    n = F.col("toxic") + F.col("clean")
+    part = lambda seen, due: F.when(seen > 0, seen * F.log(seen / due)).otherwise(0.0)
+    gain = part(F.col("toxic"), n * share) + part(F.col("clean"), n * (1 - share))
+    best = counts.withColumn("gain", gain).filter((F.col("toxic") > n * share) & (F.col("gain") >= s.least))
+    best = best.orderBy(F.desc("gain"), "feature").limit(s.vocabulary).collect()
     vocabulary = {r["feature"]: k for k, r in enumerate(best)}
     if not vocabulary:
         return None
@@ -172,6 +169,6 @@ def grade(df: DataFrame, model: Model | None, key: str = "doc_id", text: str = "
     each get a result, an empty table an empty one; without a model (no label to learn from)
     all severities are 0; other columns take no part.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = small_batches(df).select(F.col(key).alias("key"), F.col(text).alias("text"))
     found = rows.select(F.col("key").alias(key), scored(F.col("text"), model).alias("x")).select(key, "x.*")
     return found.withColumn("toxic", F.col("toxic_chance") >= 0.5)
