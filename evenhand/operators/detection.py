@@ -9,6 +9,7 @@ overload a task.  Only the key and the findings leave the projection, never the
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -177,10 +178,7 @@ def exclusion_findings(lexicons: Lexicons, options: DetectOptions) -> Column:
     """Exclusionary wording about a mentioned group, always high; no word boundary unless
     asked for."""
     low = F.col(LOW)
-    tree = M.prefix_tree_pattern(_group_terms(lexicons))
-    # One scan for any template with any term; most texts stop here.
-    anything = "|".join(
-        _template_pattern(t).replace("{group}", tree) for t in lexicons.exclusion_templates)
+    anything = _any_template(low, lexicons.exclusion_templates, _group_terms(lexicons))
     templates = M.literal_structs(("shown", "pattern"), [
         (t, _template_pattern(t)) for t in lexicons.exclusion_templates])
 
@@ -199,7 +197,31 @@ def exclusion_findings(lexicons: Lexicons, options: DetectOptions) -> Column:
 
     found = _each(F.col(GROUPS), lambda g: _each(
         F.array_intersect(g["terms"], F.col(FOUND)), lambda term: hits(g, term)))
-    return F.when((F.size(GROUPS) > 0) & low.rlike(anything), found).otherwise(_none())
+    return F.when((F.size(GROUPS) > 0) & anything, found).otherwise(_none())
+
+
+def _any_template(low: Column, templates: list[str], terms: list[str]) -> Column:
+    """Whether the text has any template with any term; most texts stop here.
+
+    A template that begins with a word is searched by it, all such in one scan.  One that
+    begins with the term would try the terms at every place: its words are looked for first,
+    as plain strings, and its terms by their first characters.
+    """
+    tree = M.prefix_tree_pattern(terms)
+    leading, others = [], []
+    for template in templates:
+        pattern = _template_pattern(template).replace("{group}", tree)
+        words = re.sub(r"\{group\}|\\s\+", " ", template)
+        plain = re.fullmatch(r"[a-z ]+", words) is not None
+        if plain and template.startswith("{group}"):
+            starts = "".join(sorted({re.escape(t[0]) for t in terms}))
+            has_words = reduce(lambda a, b: a & b, [low.contains(w) for w in words.split()])
+            others.append(has_words & low.rlike(f"(?=[{starts}])(?:{pattern})"))
+        else:
+            leading.append(pattern)
+    if leading:
+        others.insert(0, low.rlike("|".join(leading)))
+    return reduce(lambda a, b: a | b, others)
 
 
 def _template_pattern(template: str) -> str:
