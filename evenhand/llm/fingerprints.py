@@ -23,7 +23,7 @@ BINS = 256
 CHANCE = 1 / 256
 EMPTY = ""  # fingerprint of a text without words
 RANKS = (1 << 56) - 1
-NEAR = 8  # probes tried first, as they nearly always find a full bin
+PROBES = (0, 4, 16, 64, BINS)  # borders of the rounds of probes; a round is only made if none before found a full bin
 
 
 def _named(value: Column, body) -> Column:
@@ -55,7 +55,7 @@ def codes(text: Column, shingle: int = SHINGLE) -> Column:
             spot = lambda j: (h + j * step).bitwiseAND(F.lit(BINS - 1)).cast("int")
             return F.get(F.filter(F.transform(F.lit(list(range(low, high))), lambda j: F.get(bins, spot(j))), full), 0)
 
-        donor = lambda i: _named(F.xxhash64(i).bitwiseAND(F.lit((1 << 32) - 1)), lambda h: F.coalesce(probed(h, 0, NEAR), probed(h, NEAR, BINS)))
+        donor = lambda i: _named(F.xxhash64(i).bitwiseAND(F.lit((1 << 32) - 1)), lambda h: F.coalesce(*[probed(h, a, b) for a, b in zip(PROBES, PROBES[1:], strict=False)]))
         return F.transform(bins, lambda x, i: F.when(full(x), x).otherwise(donor(i)).bitwiseAND(F.lit(255)) - 128).cast("array<tinyint>")
 
     def of(s: Column) -> Column:
@@ -91,8 +91,8 @@ def fingerprinted(df: DataFrame, text: str = "text", out: str = "fingerprint") -
     return df.withColumn(out, packed(codes(F.col(text))))
 
 
-def with_next(df: DataFrame, key: str, tie: Column, columns: dict[str, str]) -> DataFrame:
-    """`df` with the values that the row next by `key` has in some columns (column -> new name); after the last comes the first.
+def with_next(df: DataFrame, key: str, tie: Column, derived: dict[str, Column], columns: dict[str, str]) -> DataFrame:
+    """`df` with `derived` columns and the values that the row next by `key` has in some columns (column -> new name); after the last comes the first.
 
     Null keys come first, equal keys in the order of `tie`. Rows are dealt into ranges of the
     key, as even as quantiles make them, and follow one another within a range; a range's last
@@ -113,13 +113,17 @@ def with_next(df: DataFrame, key: str, tie: Column, columns: dict[str, str]) ->
     rows = df.withColumns({part: F.coalesce(F.when(F.col(key).isNull(), F.lit(-1)).otherwise(number), F.lit(-1)), tied: tie})
     used = sorted(r[0] for r in rows.select(part).distinct().collect())
     if not used:
-        return df.withColumns({new: F.col(old) for old, new in columns.items()})
+        return df.withColumns(derived).withColumns({new: F.col(old) for old, new in columns.items()})
+    # the first rows of ranges, found by key alone; their number is that of the ranges, so they may be broadcast
+    least = F.struct(F.col(key).isNotNull(), key, tied)
+    starts = rows.groupBy(F.col(part).alias("_part")).agg(F.min(least).alias("_least"))
+    first = rows.join(F.broadcast(starts), (F.col(part) == F.col("_part")) & least.eqNullSafe(F.col("_least"))).dropDuplicates([part])
+    rows = rows.withColumns(derived)
     order = Window.partitionBy(part).orderBy(F.col(key).asc_nulls_first(), tied)
     follow = {new: F.lead(old).over(order) for old, new in columns.items()}
     rows = rows.withColumns(follow | {last: F.lead(F.lit(False), 1, True).over(order)})
-    first = rows.withColumn("_first", F.row_number().over(order)).filter("_first = 1")
     before = F.create_map(*[F.lit(x) for k, p in enumerate(used) for x in (p, used[k - 1])])
-    first = first.select(before[F.col(part)].alias("_before"), *[F.col(old).alias(f"_first_{k}") for k, old in enumerate(columns)])
+    first = first.withColumns(derived).select(before[F.col(part)].alias("_before"), *[F.col(old).alias(f"_first_{k}") for k, old in enumerate(columns)])
     rows = rows.join(first, F.col(part) == F.col("_before"), "left")
     rows = rows.withColumns({new: F.when(F.col(last), F.col(f"_first_{k}")).otherwise(F.col(new)) for k, new in enumerate(columns.values())})
     return rows.drop(part, tied, last, "_before", *[f"_first_{k}" for k in range(len(columns))])
@@ -133,8 +137,7 @@ def against_edits(df: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     with_next for null, equal and single keys; other columns take no part.
     """
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("codes", codes(F.col("text")))
-    rows = with_next(rows, "key", F.xxhash64("text"), {"text": "next_text", "codes": "next_codes"})
+    rows = with_next(rows, "key", F.xxhash64("text"), {"codes": codes(F.col("text"))}, {"text": "next_text", "codes": "next_codes"})
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - half), F.substr("next_text", F.lit(1), half))
