@@ -7,6 +7,7 @@ compares rows with each other.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -101,11 +102,23 @@ def intersectional_means(df: DataFrame, dims: list[str], score: str) -> DataFram
 
 # Vectors per block; two blocks and their product are what one task holds.
 BLOCK_ROWS = 2048
+DIRECTIONS = 2
+
+
+def _along(vector: Column, n: int) -> Column:
+    """Component of a vector along the n-th fixed direction: signs that follow a
+    hash of the place (all positive for the first), over the root of their number."""
+    def signed(x: Column, i: Column) -> Column:
+        if n == 0:
+            return x
+        return F.when(F.xxhash64(i, F.lit(n)) % 2 == 0, x).otherwise(-x)
+
+    total = F.aggregate(F.transform(vector, signed), F.lit(0.0), lambda a, x: a + x)
+    return total / F.sqrt(F.size(vector))
 
 
 def individual_fairness(df: DataFrame, vector: str, y_pred: str, threshold: float = 0.9,
-                        tolerance: float = 0.1, block_rows: int = BLOCK_ROWS,
-                        blocks: int | None = None) -> DataFrame:
+                        tolerance: float = 0.1, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One less the share of similar pairs whose predictions differ by more than
     ``tolerance``; similar means cosine at or above ``threshold``; no such pair gives 1.
 
@@ -113,50 +126,61 @@ def individual_fairness(df: DataFrame, vector: str, y_pred: str, threshold: floa
 
     * Rows with the same vector and prediction become one row with a weight first, so many
       copies of one vector cost one comparison.
-    * The distinct rows are cut into blocks along their distance to a fixed point.  Unit
-      vectors with cosine >= c lie within sqrt(2 - 2c) of each other, so by the triangle
-      inequality their distances to the point differ by no more, and a pair of blocks
-      further apart is never formed.
-    * Each remaining pair of blocks is one matrix product.
+    * Unit vectors with cosine >= c lie within sqrt(2 - 2c) of each other, so their
+      components along any fixed direction differ by no more.  Cells of that width along
+      two directions form a grid; a row stands in its own cell and is sent as a guest to its
+      own and the neighbouring cells that come before it, and so meets every similar row in
+      one cell only.
+    * Rows and guests of a cell are dealt by hash into blocks of at most about
+      ``block_rows``; each pair of blocks is one matrix product in one task.  Where nearly
+      all rows are similar the work stays quadratic, but it is spread.
     """
     distinct = (df.where(F.col(vector).isNotNull() & F.col(y_pred).isNotNull())
                 .groupBy(F.transform(vector, lambda x: x.cast("double")).alias("v"),
                          F.col(y_pred).cast("double").alias("y"))
                 .agg(F.count(F.lit(1)).alias("w")))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    # Distance of the unit vector to the point (1, 1, ..., 1) / sqrt(d).
-    along = F.aggregate("v", F.lit(0.0), lambda a, x: a + x) / (
-        F.col("norm") * F.sqrt(F.size("v")))
-    placed = distinct.withColumn("norm", norm).where("norm > 0").withColumn(
-        "r", F.sqrt(F.greatest(F.lit(0.0), F.lit(2.0) - F.lit(2.0) * along)))
-
-    if blocks is None:
-        rows = placed.count()
-        blocks = max(1, math.ceil(rows / block_rows))
-    cuts = placed.agg(F.percentile_approx(
-        "r", [i / blocks for i in range(1, blocks)] or [1.0], F.lit(max(10_000, blocks * 40)))
-        .alias("c")).scalar()
-    ranged = placed.withColumn("_cuts", cuts).withColumn(
-        "b", F.size(F.filter("_cuts", lambda c: c < F.col("r")))
-        if blocks > 1 else F.lit(0)).drop("_cuts", "norm")
-
-    # Which block pairs can hold a similar pair: from the range of r in each block.
-    extent = ranged.groupBy("b").agg(F.min("r").alias("lo"), F.max("r").alias("hi"))
     reach = math.sqrt(max(0.0, 2.0 - 2.0 * threshold)) + 1e-9
-    left = extent.select(F.col("b").alias("i"), F.col("hi").alias("hi_i"))
-    right = extent.select(F.col("b").alias("j"), F.col("lo").alias("lo_j"))
-    block_pairs = left.join(
-        right, (F.col("j") >= F.col("i")) & (F.col("lo_j") - F.col("hi_i") <= F.lit(reach)))
-    sides = block_pairs.select(
-        "i", "j", F.explode(F.when(F.col("i") == F.col("j"), F.array(F.col("i")))
-                            .otherwise(F.array("i", "j"))).alias("b"))
-    members = ranged.join(sides, "b").select("i", "j", "b", "v", "y", "w")
-
-    def count_pairs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        similar, differing = _pair_counts(rows, int(key[0]), int(key[1]), threshold, tolerance)
+    cells = [F.floor(_along(F.col("v"), n) / F.col("norm") / F.lit(reach)).alias(f"c{n}")
+             for n in range(DIRECTIONS)]
+    names = [f"c{n}" for n in range(DIRECTIONS)]
+    placed = distinct.withColumn("norm", norm).where("norm > 0").select(
+        "v", "y", "w", F.xxhash64("v", "y").alias("h"), *cells)
+
+    steps = [s for s in itertools.product((-1, 0, 1), repeat=DIRECTIONS) if s <= (0,) * DIRECTIONS]
+    nearby = F.array(*[F.struct(*[(F.col(c) + F.lit(d)).alias(c)
+                                  for c, d in zip(names, step, strict=True)]) for step in steps])
+    own = placed.select(*names, "v", "y", "w", "h", F.lit(True).alias("home"))
+    guests = placed.select(F.inline(nearby), "v", "y", "w", "h", F.lit(False).alias("home"),
+                           *[F.col(c).alias(f"from_{c}") for c in names])
+    own = own.select("*", *[F.col(c).alias(f"from_{c}") for c in names])
+
+    def blocks(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy(*names).agg(
+            F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
+
+    sizes = blocks(own, "rows").join(blocks(guests, "visits"), names)
+
+    def dealt(side: DataFrame, mine: str, other: str, me: str, you: str) -> DataFrame:
+        met = side.join(sizes, names)
+        block = F.pmod("h", F.col(mine)).cast("int").alias(me)
+        return met.select(*names, "v", "y", "w", "h", "home", *[f"from_{c}" for c in names], block,
+                          F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(you))
+
+    members = dealt(own, "rows", "visits", "i", "j").unionByName(
+        dealt(guests, "visits", "rows", "j", "i"))
+
+    def count_pairs(rows: pd.DataFrame) -> pd.DataFrame:
+        similar, differing = _pair_counts(rows, names, threshold, tolerance)
         return pd.DataFrame({"similar": [similar], "differing": [differing]})
 
-    parts = members.groupBy("i", "j").applyInPandas(count_pairs, "similar long, differing long")
+    parts = members.groupBy(*names, "i", "j").applyInPandas(
+        count_pairs, "similar long, differing long")
+    # Copies of one row are similar to each other and agree.
+    copies = placed.agg(F.sum(F.expr("w * (w - 1) div 2")).alias("similar")).select(
+        "similar", F.lit(0).cast("long").alias("differing"))
+    if threshold <= 1.0:
+        parts = parts.unionByName(copies)
     total = F.coalesce(F.sum("similar"), F.lit(0))
     differing = F.coalesce(F.sum("differing"), F.lit(0))
     return parts.agg(
@@ -165,30 +189,34 @@ def individual_fairness(df: DataFrame, vector: str, y_pred: str, threshold: floa
         .alias("individual_fairness"))
 
 
-def _pair_counts(rows: pd.DataFrame, i: int, j: int, threshold: float,
+def _pair_counts(rows: pd.DataFrame, names: list[str], threshold: float,
                  tolerance: float) -> tuple[int, int]:
-    """Weighted number of similar pairs between two blocks, and how many of them differ."""
-    def side(block):
-        part = rows[rows["b"] == block]
+    """Weighted number of similar pairs between the rows of a cell and its guests, and how many
+    of them differ.  Of two rows of one cell the one with the lower (hash, vector) is the row."""
+    at_home = rows["home"].to_numpy()
+    if at_home.all() or not at_home.any():
+        return 0, 0
+
+    def side(mask):
+        part = rows[mask]
         v = np.stack(part["v"].to_numpy()).astype("float64")
+        inside = np.all([part[f"from_{c}"] == part[c] for c in names], axis=0)
+        order = [(h, tuple(x), y) for h, x, y in zip(part["h"], v.tolist(), part["y"], strict=True)]
         return (v / np.linalg.norm(v, axis=1, keepdims=True), part["y"].to_numpy(),
-                part["w"].to_numpy().astype("int64"))
+                part["w"].to_numpy().astype("int64"), inside, order)
 
-    va, ya, wa = side(i)
-    vb, yb, wb = (va, ya, wa) if i == j else side(j)
+    va, ya, wa, _, order_a = side(at_home)
+    vb, yb, wb, inside, order_b = side(~at_home)
+    rank = {key: n for n, key in enumerate(sorted(set(order_a) | set(order_b)))}
+    ra, rb = (np.array([rank[k] for k in keys]) for keys in (order_a, order_b))
     similar = differing = 0
     for start in range(0, len(va), 1024):
         stop = start + 1024
         close = va[start:stop] @ vb.T >= threshold
-        if i == j:
-            # Each unordered pair of distinct rows once.
-            close &= np.arange(len(vb))[None, :] > np.arange(start, start + close.shape[0])[:, None]
+        # Each unordered pair of distinct rows once: guests from this cell only above the row.
+        close &= ~inside[None, :] | (rb[None, :] > ra[start:stop, None])
         a, b = np.nonzero(close)
         weight = wa[start + a] * wb[b]
         similar += int(weight.sum())
         differing += int(weight[np.abs(ya[start + a] - yb[b]) > tolerance].sum())
-    if i == j and threshold <= 1.0:
-        # Copies of one row are similar to each other and agree.
-        similar += int((wa * (wa - 1) // 2).sum())
     return similar, differing
-

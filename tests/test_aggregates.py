@@ -136,8 +136,9 @@ def test_amplification(spark):
     assert E.bias_amplification(both, "side", "flag").first()["amplification"] == 1.0
 
 
-@pytest.mark.parametrize("blocks", [1, 5])
-def test_individual_fairness_matches_all_pairs(spark, blocks):
+@pytest.mark.parametrize("block_rows", [2048, 7])
+@pytest.mark.parametrize("threshold", [0.9, 0.3])
+def test_individual_fairness_matches_all_pairs(spark, block_rows, threshold):
     import numpy as np
 
     rng = np.random.default_rng(7)
@@ -148,17 +149,32 @@ def test_individual_fairness_matches_all_pairs(spark, blocks):
     similar = differing = 0
     for i in range(len(unit)):
         for j in range(i + 1, len(unit)):
-            if unit[i] @ unit[j] >= 0.9 - 1e-12:
+            if unit[i] @ unit[j] >= threshold - 1e-12:
                 similar += 1
                 differing += abs(y[i] - y[j]) > 0.1
     df = spark.createDataFrame([(v.tolist(), float(p)) for v, p in zip(vectors, y, strict=True)],
                                "v array<double>, y double")
-    row = E.individual_fairness(df, "v", "y", 0.9, blocks=blocks).first()
+    row = E.individual_fairness(df, "v", "y", threshold, block_rows=block_rows).first()
     assert (row["similar_pairs"], row["differing_pairs"]) == (similar, differing)
     none = E.individual_fairness(df.limit(1), "v", "y").first()
     assert none["individual_fairness"] == 1.0
 
 
+def test_individual_fairness_of_vectors_with_equal_sums(spark):
+    import itertools
+
+    vectors = [[float(x) for x in v] for v in itertools.product((0, 1), repeat=8) if sum(v) == 4]
+    df = spark.createDataFrame([(v, float(n % 2)) for n, v in enumerate(vectors)] * 3,
+                               "v array<double>, y double")
+    row = E.individual_fairness(df, "v", "y", 0.74, block_rows=9).first()
+    want = [0, 0]
+    for (n, a), (m, b) in itertools.combinations(enumerate(vectors), 2):
+        if sum(x * y for x, y in zip(a, b, strict=True)) >= 3:
+            want[0] += 9
+            want[1] += 9 * (n % 2 != m % 2)
+    assert (row["similar_pairs"], row["differing_pairs"]) == (want[0] + 3 * len(vectors), want[1])
+
+
 def test_intersectional(spark):
     df = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 3.0), ("b", "x", 5.0)],
                                "d1 string, d2 string, s double")
