@@ -15,6 +15,20 @@ MAX_TEXT_LENGTH = 10000
 MAX_DUPLICATE_RATIO = 0.1
 RATE_TOLERANCE = 0.001
 
+# The wording of errors, warnings and advice.
+NO_TEXTS = "No text data provided"
+NO_VALID = "No valid text data found"
+SMALL_SAMPLE = f"Sample size (%d) is below recommended minimum ({MIN_SAMPLE_SIZE})"
+LONG_TEXTS = f"Some texts exceed maximum length ({MAX_TEXT_LENGTH})"
+DUPLICATES = "High duplicate ratio detected: %.1f%%"
+NO_SAMPLES = "No samples were analyzed"
+TOO_MANY_BIASED = "Biased samples count exceeds total samples"
+RATE_DIFFERS = "Bias rate calculation inconsistency detected"
+BAD_DURATION = "Invalid detection duration"
+ADVISE_DUPLICATES = "Consider removing duplicate texts to improve analysis quality"
+ADVISE_SAMPLE = f"Increase sample size to at least {MIN_SAMPLE_SIZE} for reliable results"
+ADVISE_LENGTH = "Consider truncating very long texts for better processing performance"
+
 
 def is_valid(text: Column) -> Column:
     """Not null and not blank."""
@@ -74,16 +88,15 @@ def validate_texts(df: DataFrame, text_col: str = "text") -> DataFrame:
     ratio = F.when(found, F.lit(1.0) - F.col("_distinct") / F.col("valid_texts"))
     out = stats.withColumn("duplicate_ratio", ratio).drop("_distinct")
     errors = _messages(
-        F.when(F.col("total_texts") == 0, F.lit("No text data provided")),
-        F.when((F.col("total_texts") > 0) & ~found, F.lit("No valid text data found")))
+        F.when(F.col("total_texts") == 0, F.lit(NO_TEXTS)),
+        F.when((F.col("total_texts") > 0) & ~found, F.lit(NO_VALID)))
     warnings = _messages(
         F.when(found & (F.col("valid_texts") < MIN_SAMPLE_SIZE), F.format_string(
-            f"Sample size (%d) is below recommended minimum ({MIN_SAMPLE_SIZE})",
-            F.col("valid_texts"))),
+            SMALL_SAMPLE, F.col("valid_texts"))),
         F.when(F.col("max_length") > MAX_TEXT_LENGTH,
-               F.lit(f"Some texts exceed maximum length ({MAX_TEXT_LENGTH})")),
+               F.lit(LONG_TEXTS)),
         F.when(F.col("duplicate_ratio") > MAX_DUPLICATE_RATIO, F.format_string(
-            "High duplicate ratio detected: %.1f%%", F.col("duplicate_ratio") * 100)))
+            DUPLICATES, F.col("duplicate_ratio") * 100)))
     return out.select("*", found.alias("is_valid"), errors.alias("errors"),
                       warnings.alias("warnings"))
 
@@ -107,12 +120,12 @@ def validate_runs(runs: DataFrame, findings: DataFrame,
     empty = total == 0
     expected = biased / F.when(total > 0, total)
     errors = _messages(
-        F.when(empty, F.lit("No samples were analyzed")),
-        F.when(~empty & (biased > total), F.lit("Biased samples count exceeds total samples")))
+        F.when(empty, F.lit(NO_SAMPLES)),
+        F.when(~empty & (biased > total), F.lit(TOO_MANY_BIASED)))
     warnings = _messages(
         F.when(~empty & (F.abs(F.col("biased_sample_rate") - expected) > RATE_TOLERANCE),
-               F.lit("Bias rate calculation inconsistency detected")),
-        F.when(~empty & (F.col("duration_s") <= 0), F.lit("Invalid detection duration")))
+               F.lit(RATE_DIFFERS)),
+        F.when(~empty & (F.col("duration_s") <= 0), F.lit(BAD_DURATION)))
     size = F.when(total >= 1000, 1.0).when(total >= 100, 0.8).otherwise(0.5)
     diversity = F.coalesce(F.col("_types"), F.lit(0)) / F.lit(len(L.BIAS_TYPES))
     tested = F.when(F.col("significant"), 1.0).when(~F.col("significant"), 0.7).otherwise(0.5)
@@ -156,12 +169,9 @@ def quality_report(df: DataFrame, text_col: str = "text", key_col: str = "doc_id
         "ascii": percent("ascii_ratio"), "digits": percent("digit_ratio"),
         "punctuation": percent("punct_ratio")})
     advice = lines(stats, "recommendations", {
-        "duplicates": F.when(F.col("duplicate_ratio") > MAX_DUPLICATE_RATIO, F.lit(
-            "Consider removing duplicate texts to improve analysis quality")),
-        "sample_size": F.when(F.col("valid_texts") < MIN_SAMPLE_SIZE, F.lit(
-            f"Increase sample size to at least {MIN_SAMPLE_SIZE} for reliable results")),
-        "length": F.when(F.col("max_length") > MAX_TEXT_LENGTH, F.lit(
-            "Consider truncating very long texts for better processing performance"))})
+        "duplicates": F.when(F.col("duplicate_ratio") > MAX_DUPLICATE_RATIO, F.lit(ADVISE_DUPLICATES)),
+        "sample_size": F.when(F.col("valid_texts") < MIN_SAMPLE_SIZE, F.lit(ADVISE_SAMPLE)),
+        "length": F.when(F.col("max_length") > MAX_TEXT_LENGTH, F.lit(ADVISE_LENGTH))})
 
     first = (df.where(is_valid(F.col(text_col))).select(key_col, text_col)
              .orderBy(key_col).limit(samples))
