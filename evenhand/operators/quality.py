@@ -55,8 +55,10 @@ def _distinct(text_col: str) -> Column:
 
 def character_distribution(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Shares of ASCII, digit, punctuation and space characters over all valid texts."""
-    text = F.col(text_col)
+    return df.where(is_valid(F.col(text_col))).agg(*_shares(F.col(text_col)))
+
 
+def _shares(text: Column) -> list[Column]:
     def count(char_class: str) -> Column:
         # Removing what is not in the class costs one replacement per run of characters.
         return F.sum(F.length(text) - F.length(F.regexp_replace(text, f"[{char_class}]+", "")))
@@ -69,21 +71,26 @@ def character_distribution(df: DataFrame, text_col: str = "text") -> DataFrame:
         "punct_ratio": rf"^\p{{L}}\p{{N}}{space}",
         "space_ratio": space,
     }
-    return df.where(is_valid(text)).agg(*[
-        F.when(total > 0, count(c) / total).alias(name) for name, c in classes.items()])
+    return [F.when(total > 0, count(c) / total).alias(name) for name, c in classes.items()]
 
 
 def validate_texts(df: DataFrame, text_col: str = "text") -> DataFrame:
     """One row: counts and lengths of the valid texts, duplicate ratio, errors, warnings."""
+    return _judged(df, text_col)
+
+
+def _judged(df: DataFrame, text_col: str, more: tuple = ()) -> DataFrame:
+    """``validate_texts`` with ``more`` aggregates of ``_text``, the valid texts: one scan."""
     text = F.col(text_col)
     valid = is_valid(text)
     length = F.when(valid, F.length(text))
-    stats = df.select(text_col, length.alias("_len"), valid.alias("_valid")).agg(
+    stats = df.select(F.when(valid, text).alias("_text"), length.alias("_len"),
+                      valid.alias("_valid")).agg(
         F.count(F.lit(1)).alias("total_texts"),
         F.count_if("_valid").alias("valid_texts"),
         F.avg("_len").alias("avg_length"), F.min("_len").alias("min_length"),
         F.max("_len").alias("max_length"),
-        F.count_distinct(F.when(F.col("_valid"), F.unhex(F.sha2(text, 256)))).alias("_distinct"))
+        _distinct("_text").alias("_distinct"), *more)
     found = F.col("valid_texts") > 0
     ratio = F.when(found, F.lit(1.0) - F.col("_distinct") / F.col("valid_texts"))
     out = stats.withColumn("duplicate_ratio", ratio).drop("_distinct")
@@ -138,40 +145,42 @@ def validate_runs(runs: DataFrame, findings: DataFrame,
 def quality_report(df: DataFrame, text_col: str = "text", key_col: str = "doc_id",
                    samples: int = 5) -> DataFrame:
     """Validation, character shares, the first texts in key order and advice as one long
-    table (section, ord, key, value)."""
-    stats = validate_texts(df, text_col)
-    shares = character_distribution(df, text_col)
+    table (section, ord, key, value): one scan for the counts and one for the first texts."""
+    stats = _judged(df, text_col, tuple(_shares(F.col("_text"))))
 
     def percent(column):
         return F.format_string("%.1f%%", F.coalesce(F.col(column), F.lit(0.0)) * 100)
 
-    def lines(frame: DataFrame, section: str, entries: dict[str, Column]) -> DataFrame:
-        rows = F.array(*[
-            F.struct(F.lit(section).alias("section"), F.lit(n).alias("ord"),
-                     F.lit(key).alias("key"), value.cast("string").alias("value"))
-            for n, (key, value) in enumerate(entries.items(), 1)])
-        return frame.select(F.inline(rows)).where(F.col("value").isNotNull())
-
-    def listed(frame: DataFrame, section: str, column: str) -> DataFrame:
-        return frame.select(F.posexplode_outer(column).alias("n", "value")).where(
-            F.col("n").isNotNull()).select(
-            F.lit(section).alias("section"), (F.col("n") + 1).alias("ord"),
-            F.lit("message").alias("key"), "value")
-
-    overview = lines(stats, "overview", {
-        "total_texts": F.col("total_texts"), "valid_texts": F.col("valid_texts"),
-        "status": F.when(F.col("is_valid"), "PASSED").otherwise("FAILED")})
-    lengths = lines(stats, "statistics", {
-        "average_length": F.format_string("%.1f", F.col("avg_length")),
-        "min_length": F.col("min_length"), "max_length": F.col("max_length"),
-        "duplicate_ratio": F.when(F.col("is_valid"), percent("duplicate_ratio"))})
-    characters = lines(shares, "characters", {
-        "ascii": percent("ascii_ratio"), "digits": percent("digit_ratio"),
-        "punctuation": percent("punct_ratio")})
-    advice = lines(stats, "recommendations", {
-        "duplicates": F.when(F.col("duplicate_ratio") > MAX_DUPLICATE_RATIO, F.lit(ADVISE_DUPLICATES)),
-        "sample_size": F.when(F.col("valid_texts") < MIN_SAMPLE_SIZE, F.lit(ADVISE_SAMPLE)),
-        "length": F.when(F.col("max_length") > MAX_TEXT_LENGTH, F.lit(ADVISE_LENGTH))})
+    def line(section: str, n, key: str, value: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), (F.lit(n) if isinstance(n, int) else n)
+                        .alias("ord"), F.lit(key).alias("key"), value.cast("string").alias("value"))
+
+    def lines(section: str, entries: dict[str, Column]) -> Column:
+        return F.array(*[line(section, n, key, value)
+                         for n, (key, value) in enumerate(entries.items(), 1)])
+
+    def listed(section: str, column: str) -> Column:
+        return F.transform(column, lambda v, i: line(section, i + 1, "message", v))
+
+    counted = F.concat(
+        lines("overview", {
+            "total_texts": F.col("total_texts"), "valid_texts": F.col("valid_texts"),
+            "status": F.when(F.col("is_valid"), "PASSED").otherwise("FAILED")}),
+        lines("statistics", {
+            "average_length": F.format_string("%.1f", F.col("avg_length")),
+            "min_length": F.col("min_length"), "max_length": F.col("max_length"),
+            "duplicate_ratio": F.when(F.col("is_valid"), percent("duplicate_ratio"))}),
+        lines("characters", {
+            "ascii": percent("ascii_ratio"), "digits": percent("digit_ratio"),
+            "punctuation": percent("punct_ratio")}),
+        listed("errors", "errors"), listed("warnings", "warnings"),
+        lines("recommendations", {
+            "duplicates": F.when(F.col("duplicate_ratio") > MAX_DUPLICATE_RATIO,
+                                 F.lit(ADVISE_DUPLICATES)),
+            "sample_size": F.when(F.col("valid_texts") < MIN_SAMPLE_SIZE, F.lit(ADVISE_SAMPLE)),
+            "length": F.when(F.col("max_length") > MAX_TEXT_LENGTH, F.lit(ADVISE_LENGTH))}))
+    # The outer form and a filter behind it, see the README on generators.
+    report = stats.select(F.inline_outer(counted)).where(F.col("value").isNotNull())
 
     first = (df.where(is_valid(F.col(text_col))).select(key_col, text_col)
              .orderBy(key_col).limit(samples))
@@ -190,12 +199,7 @@ def quality_report(df: DataFrame, text_col: str = "text", key_col: str = "doc_id
         F.struct(F.lit("keywords").alias("key"), F.col("keywords").alias("value")),
     ))).select(F.lit("samples").alias("section"), F.col("n").alias("ord"), "key", "value")
 
-    parts = [lengths, characters, listed(stats, "errors", "errors"),
-             listed(stats, "warnings", "warnings"), sample_rows, advice]
-    out = overview
-    for part in parts:
-        out = out.unionByName(part)
-    return out
+    return report.unionByName(sample_rows)
 
 
 def render_report(report: DataFrame) -> DataFrame:
