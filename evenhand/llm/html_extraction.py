@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -43,10 +44,11 @@ STOP = frozenset(
     "una por con para su al lo como más pero sus ya o este sí porque esta entre cuando muy sin sobre".split()
 )
 
+# Attributes end before the next "<", so that a page with an odd quote isn't read again and again.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|math|object|canvas)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|math|object|canvas)\b(?:[^<>\"']|\"[^<\"]*\"|'[^<']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attributes>(?:[^<>\"']|\"[^<\"]*\"|'[^<']*')*)>"
     r"|<[!?/a-z][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
     re.I | re.S,
@@ -83,6 +85,7 @@ def blocks(page: str) -> list[Block]:
     """Blocks of a page with text, in order; zone numbers the content element that a block is in, 0 for none."""
     found: list[Block] = []
     stack: list[tuple[str, bool, int]] = []  # open elements: name, whether outside the main text, zone
+    opened: Counter[str] = Counter()
     zones, links = 0, 0
     now: Block | None = None
     for token in TOKEN.finditer(page):
@@ -106,17 +109,21 @@ def blocks(page: str) -> list[Block]:
         elif name in BLOCK:
             now = None
             if token["close"]:
-                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-                if at is not None:
-                    del stack[at:]
+                if opened[name]:  # else it closes nothing
+                    while True:
+                        last = stack.pop()[0]
+                        opened[last] -= 1
+                        if last == name:
+                            break
                     links = 0
                 continue
             if name in VOID:
                 continue
             if stack and stack[-1][0] in ("p", *HEADING) or stack and stack[-1][0] == name and name in ("li", "dt", "dd", "td", "th", "tr", "option"):
-                stack.pop()
+                opened[stack.pop()[0]] -= 1
             if name == "body":
                 stack.clear()
+                opened.clear()
             bad, zone = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
             marks = set()
             if token["attributes"]:
@@ -131,6 +138,7 @@ def blocks(page: str) -> list[Block]:
             if token["attributes"].endswith("/") and name not in ("p", "div"):
                 continue
             stack.append((name, bad, zone))
+            opened[name] += 1
     for block in found:
         block.text = " ".join("".join(block.pieces).split())
     return [b for b in found if b.text]

@@ -26,6 +26,7 @@ def test_odd_pages():
     assert main_text("<article><p>cut off &am") == "cut off &am"
     assert main_text("<article><p>one</p><p>two <a href='").split("\n")[0] == "one"
     assert main_text("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
+    assert main_text("<article><p>" + "<a title='x>y</a> " * 20_000).startswith("y y")
     assert len(main_text("<article><p>" + "word " * 200_000)) == 200_000 * 5 - 1
 
 
