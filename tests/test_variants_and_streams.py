@@ -31,17 +31,46 @@ def test_race_and_religion_swap(texts):
 
 
 def test_names(texts):
-    got = variants(texts("Anna met Bob and Carl"), "name")
-    assert len(got) == 16 and all("Carl" in v for _, v in got)
+    got = variants(texts("Anna met Bob and Carl, then Anna left"), "name")
+    assert len(got) == 24  # three distinct names, eight lists
+    assert sum("Anna" not in v for _, v in got) == 8
 
 
-def test_counterfactuals_are_distinct_and_capped(texts):
-    rows = X.counterfactuals(texts("He met Anna, a white Christian", "")).collect()
+def test_counterfactuals_are_distinct_and_whole(texts):
+    df = texts("He met Anna, a white Christian", "")
+    rows = X.counterfactuals(df).collect()
     for key in (0, 1):
         mine = [r["variant"] for r in rows if r["doc_id"] == key]
-        assert len(mine) == len(set(mine)) <= 20
-    everything = X.counterfactuals(texts("x"), per_text=None).count()
-    assert everything > 20
+        assert len(mine) == len(set(mine)) > 100
+    assert {r["method"] for r in rows if r["doc_id"] == 0} == set(X._BUILDERS)
+    assert X.counterfactuals(df, per_text=20).count() == 40
+
+
+def test_all_variants_are_compared(texts):
+    text = "He is lazy, said Anna, a white Christian"
+    variants_ = [r["variant"] for r in X.counterfactuals(texts(text)).collect()]
+    scores = [r[0] for r in texts(*variants_).select(X.skew_score(F.lower("text"))).collect()]
+    row = X.counterfactual_differences(texts(text, source="a"), by=("source",)).first()
+    assert row["variant_score"] == pytest.approx(sum(scores) / len(scores))
+    assert row["source"] == "a"
+
+
+def test_nothing_is_cut_by_default(texts):
+    run = detect(texts("x " * 2000 + "the man is lazy"), persist=False)
+    assert run.metrics.first()["finding_count"] > 0
+    assert "maxOffsetsPerTrigger" not in MS.kafka_options()
+    assert MS.kafka_options(MonitorOptions(max_messages_per_trigger=5))["maxOffsetsPerTrigger"] == 5
+
+
+def test_equal_texts_have_keys_of_their_own(texts, tmp_path, spark):
+    df = TS.as_texts(texts(*["the man is lazy"] * 3).select("text"))
+    assert df.select("doc_id").distinct().count() == 3
+    df.write.parquet(str(tmp_path / "t"))
+    kept = spark.read.parquet(str(tmp_path / "t"))
+    run = detect(kept, persist=False)
+    assert run.metrics.first()["biased_samples"] == 3
+    n = run.findings.count()
+    assert RS.flat_findings(run.findings, kept).count() == n
 
 
 def test_differences(texts):
@@ -67,7 +96,7 @@ def test_lines_and_csv(spark, tmp_path):
     assert sorted(r["text"] for r in TS.read_text_lines(spark, str(tmp_path / "a.txt")).collect()) \
         == ["one", "two"]
     (tmp_path / "b.csv").write_text('id,text\n1,"a, ""b""\nc"\n2,\n')
-    rows = TS.read_text_csv(spark, str(tmp_path / "b.csv")).collect()
+    rows = TS.read_text_csv(spark, str(tmp_path / "b.csv"), multi_line=True).collect()
     assert [r["text"] for r in rows] == ['a, "b"\nc']
     (tmp_path / "c.csv").write_text("id\n1\n")
     with pytest.raises(ValueError, match="text"):
