@@ -30,3 +30,21 @@ def test_query_equals_sql(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_python_workers_need_no_path(tmp_path):
+    """A query with Python workers, started from another folder."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    code = (f"import sys; sys.path.append({str(root)!r})\n"
+            "import __spark_entry__ as entry\n"
+            "from pyspark.sql import SparkSession\n"
+            "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+            ".config('spark.sql.shuffle.partitions', '2').getOrCreate()\n"
+            f"print(entry.queries()['individual_fairness'](spark, {SF!r}).count())\n")
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True,
+                          text=True, timeout=300)
+    assert done.stdout.strip().endswith("1"), done.stderr[-2000:]
