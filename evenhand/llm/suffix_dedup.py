@@ -330,13 +330,19 @@ def with_removed(df: DataFrame, out: str, key: str = "doc_id", text: str = "text
         hit = hit.filter(~place.eqNullSafe(F.col("first")))
     hit = hit.groupBy("a", "h").agg(F.array_sort(F.collect_set("o")).alias("o"))
     cover = small.unionByName(hit.select("a", "h", F.flatten(F.transform("o", lambda o: F.array(o, o + 1))).alias("cover")))
-    partial = open_.join(cover, ["a", "h"], "inner" if keep == "none" else "left")
-    if keep == "first":  # of equal segments all but the first go as a whole
-        partial = partial.join(distinct.select("a", "h", "first"), ["a", "h"]).withColumn("cover", F.when(order.eqNullSafe(F.col("first")), F.col("cover")).otherwise(F.array(F.lit(0), windows.cast("int"))))
-    pairs = F.transform(F.sequence(F.lit(0), F.size("cover") - 2, F.lit(2)), lambda k: F.struct(F.get("cover", k).alias("low"), F.get("cover", k + 1).alias("high")))
-    partial = partial.filter(F.size("cover") > 0).select("a", "h", "d", "at", F.explode(pairs).alias("c")).select("d", span(F.col("c.low"), F.col("c.high")).alias("span"))
-
-    spans = whole.unionByName(partial).groupBy(F.xxhash64("d").alias("_spot_of_spans")).agg(F.collect_list("span").alias(whose))
+    if keep == "none":
+        partial = open_.join(cover, ["a", "h"])
+    else:
+        # every occurrence goes as a whole but the first of equal segments, whose cover replaces that: a row
+        # for each distinct segment meets the occurrences in an aggregate, so frequent ones need no join
+        firsts = distinct.join(cover, ["a", "h"], "left").select("a", "h", "first.d", "first.at", F.coalesce("cover", F.array().cast("array<int>")).alias("cover"))
+        partial = open_.withColumn("cover", F.lit(None).cast("array<int>")).unionByName(firsts).groupBy("a", "h", "d", "at").agg(F.max("cover").alias("cover"))
+        partial = partial.withColumn("cover", F.coalesce("cover", F.array(F.lit(0), windows.cast("int"))))
+    ends = F.when(F.size("cover") > 0, F.sequence(F.lit(0), F.size("cover") - 2, F.lit(2))).otherwise(F.array().cast("array<int>"))
+    partial = partial.select("d", F.transform(ends, lambda k: span(F.get("cover", k), F.get("cover", k + 1))).alias("some"))
+    whole = whole.select("d", F.array("span").alias("some"))
+
+    spans = whole.unionByName(partial).groupBy(F.xxhash64("d").alias("_spot_of_spans")).agg(F.flatten(F.collect_list("some")).alias(whose))
     joined = rows.join(spans, F.col(mark) == F.col("_spot_of_spans"), "left")
     return joined.withColumn(out, _removed(F.col(text), F.col(whose))).drop(mark, whose, "_spot_of_spans")
 
