@@ -151,7 +151,12 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", **optio
 
     All columns stay. Null keys come last within a group.
     """
-    members = stored(groups(df, key, text, **options).groupBy(key, "text_hash", "component").count())
+    return first_of_groups(df, groups(df, key, text, **options), key, text)
+
+
+def first_of_groups(df: DataFrame, grouped: DataFrame, key: str, text: str) -> DataFrame:
+    """`df` with one row of each component; `grouped` has key, text_hash and component of each row."""
+    members = stored(grouped.groupBy(key, "text_hash", "component").count())
     order = F.struct(F.col(key).isNull(), key, "text_hash")
     first = members.groupBy("component").agg(F.min(order).alias("chosen"))
     marked = members.join(first, "component").select(F.col(key).alias("_key"), F.col("text_hash").alias("_hash"), (order == F.col("chosen")).alias("stays"), "count")

@@ -1,0 +1,78 @@
+import random
+
+import numpy as np
+import pytest
+
+import corpus_pipeline as P
+from evenhand.llm import near_copies, simhash
+from evenhand.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+
+
+def grams(text, n=5):
+    words = "".join(c.lower() if c < "\x80" else c for c in text or "").split()
+    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def brute(rows, similarity=0.8):
+    """The least key that each key reaches over pairs of the similarity."""
+    sets, group = {k: grams(t) for k, t in rows.items()}, {k: k for k in rows}
+    keys = sorted(rows)
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            x, y = sets[a], sets[b]
+            if group[a] != group[b] and (not x and not y or len(x & y) >= similarity * len(x | y)):
+                low, high = sorted((group[a], group[b]))
+                group = {k: low if g == high else g for k, g in group.items()}
+    return group
+
+
+def edited(r, words, share):
+    return [r.choice("abcdefgh") * 3 if r.random() < share else w for w in words]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    r, out = random.Random(3), []
+    for _ in range(40):
+        base = [f"w{r.randrange(3000)}" for _ in range(r.choice([3, 5, 9, 40, 200, 900]))]
+        out.append(base)
+        for _ in range(r.randrange(6)):
+            out.append(edited(r, base, r.choice([0, 0.005, 0.01, 0.02, 0.03, 0.05])) + ["end"] * r.randrange(3))
+    dense = [f"d{r.randrange(3000)}" for _ in range(300)]
+    out += [edited(r, dense, 0.02) for _ in range(80)]
+    r.shuffle(out)
+    return dict(enumerate([*(" ".join(x) for x in out), None, "", " \n", "One TWO", "one two"]))
+
+
+@pytest.mark.parametrize("part", [near_copies.PART, 3000])  # 3000: large groups are dealt into parts
+def test_groups_equal_brute_force(spark, rows, part):
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near_copies.groups(df, part=part).collect()}
+    want = brute(rows)
+    assert found == want and len(set(want.values())) < len(rows) - 80
+    kept = near_copies.deduplicated(df)
+    assert kept.columns == df.columns and {r["doc_id"] for r in kept.collect()} == set(want.values())
+
+
+def test_similar_pairs_at_the_threshold():
+    sets = [np.arange(k, k + 9, dtype=np.uint64) for k in (0, 1, 2, 4, 100)]  # neighbours: 8 of 10
+    assert near_copies.similar_pairs(sets, 0.8).tolist() == [0, 0, 0, 3, 4]
+    assert near_copies.similar_pairs([], 0.8).tolist() == []
+
+
+def test_stage_links_copies_beyond_three_bits(spark):
+    docs = table(spark, SF, "documents")
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    want = brute(rows)
+    far = [k for k, g in want.items() if (simhash.fingerprint(rows[k]) ^ simhash.fingerprint(rows[g])).bit_count() > 3]
+    assert far
+    assert {r["doc_id"] for r in P.without_near_copies(spark, docs, SF).collect()} == set(want.values())
+
+
+def test_odd_tables(spark):
+    df = spark.createDataFrame([(None, "a b"), (None, "a b"), (2, "A  b"), (2, "A  b"), (None, "x"), (7, None)], "doc_id long, text string")
+    assert sorted((str(r["doc_id"]), str(r["component_id"])) for r in near_copies.groups(df).collect()) == [("2", "2"), ("2", "2"), ("7", "7"), ("None", "2"), ("None", "2"), ("None", "None")]
+    assert near_copies.deduplicated(df).count() == 3
+    assert near_copies.groups(df.filter("false")).collect() == [] == near_copies.deduplicated(df.filter("false")).collect()
