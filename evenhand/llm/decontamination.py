@@ -52,7 +52,7 @@ class Windows:
     by_length: dict[int, tuple[np.ndarray, list[dict[bytes, list[str]]]]] = field(default_factory=dict)
 
     @classmethod
-    def of(cls, items: list[tuple[str, list[str]]], n: int) -> Windows:
+    def of(cls, items: list[tuple[str | None, list[str]]], n: int) -> Windows:
         made = cls()
         gathered: dict[int, dict[int, dict[bytes, set[str]]]] = {}
         for item, words in items:
@@ -61,7 +61,9 @@ class Windows:
             ids = np.array([made.vocabulary.setdefault(w, len(made.vocabulary) + 1) for w in words], np.uint64)
             length = min(n, len(words))
             for k, h in enumerate(window_hashes(ids, length).tolist()):
-                gathered.setdefault(length, {}).setdefault(h, {}).setdefault(ids[k : k + length].tobytes(), set()).add(item)
+                named = gathered.setdefault(length, {}).setdefault(h, {}).setdefault(ids[k : k + length].tobytes(), set())
+                if item is not None:
+                    named.add(item)
         for length, hashes in gathered.items():
             order = sorted(hashes)
             made.by_length[length] = np.array(order, np.uint64), [{w: sorted(x) for w, x in hashes[h].items()} for h in order]
@@ -109,16 +111,19 @@ def _search(block, n: int):
     return F.pandas_udf(search, FOUND)
 
 
-def with_hits(df: DataFrame, benchmark: DataFrame, out: str, text: str = "text", item: str = "item_id", item_text: str = "text", n: int = 10, block_words: int = 2_000_000) -> DataFrame:
+def with_hits(df: DataFrame, benchmark: DataFrame, out: str, text: str = "text", item: str = "item_id", item_text: str = "text", n: int = 10, block_words: int = 2_000_000, unnamed: bool = False) -> DataFrame:
     """`df` with a struct column `out`: n_words, n_hit, items (ids as sorted strings), words and chars (runs of hit words as word and character offsets, start and end alternating).
 
     An item of fewer than n words, but not none, is one window. Null and empty texts have no
-    words and no hits; items with null text have no windows, rows with a null id none either;
+    words and no hits; items with null text have no windows, rows with a null id have some
+    only if `unnamed`, and then count for all but the ids;
     equal items all count; with an empty benchmark nothing is hit. Repeated rows each get
     their own result. block_words bounds the words of items broadcast at a time.
     """
     df = small_batches(df)
-    items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("text")).filter("item IS NOT NULL AND text IS NOT NULL")
+    items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("text")).filter("text IS NOT NULL")
+    if not unnamed:
+        items = items.filter("item IS NOT NULL")
     total = items.agg(F.sum(F.size(F.split("text", r"\s+")).cast("long"))).first()[0] or 0
     n_blocks = max(1, math.ceil(total / block_words))
     before = F.lit(None).cast(f"struct<{', '.join(x.replace(' ', ':', 1) for x in FOUND.split(', '))}>")
@@ -140,8 +145,10 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, text: str = "text", remov
     """`df` without contaminated rows (remove="documents") or with the hit words cut out of `text` ("spans").
 
     A cut runs from the first to the last character of a run of hit words; what stands before
-    and after is joined as it is. All columns stay. See with_hits for nulls and ties.
+    and after is joined as it is. All columns stay. Items with a null id count unless
+    unnamed=False. See with_hits for other nulls and ties.
     """
+    options = {"unnamed": True} | options
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove is documents or spans, not {remove}")
     hits = fresh(df, "hits")

@@ -60,3 +60,13 @@ def test_empty_tables(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert [tuple(r)[:4] for r in D.contamination(df, none).collect()] == [(1, 2, 0, [])]
     assert D.contamination(df.filter("false"), none).collect() == []
+
+
+def test_items_without_an_id(spark):
+    items = spark.createDataFrame([(None, "leaked words of a test"), (1, "named item"), (None, None)], "item_id long, text string")
+    df = spark.createDataFrame([(1, "x Leaked words of a test y"), (2, "clean"), (3, "a named item, leaked words of a test")], "doc_id long, text string")
+    assert [r["doc_id"] for r in D.decontaminate(df, items).collect()] == [2]
+    for block_words in (2_000_000, 2):
+        found = {r["doc_id"]: (r["n_hit"], r["items"]) for r in D.contamination(df, items, unnamed=True, block_words=block_words).collect()}
+        assert found == {1: (5, []), 2: (0, []), 3: (7, ["1"])}
+    assert {r["doc_id"]: r["n_hit"] for r in D.contamination(df, items).collect()} == {1: 0, 2: 0, 3: 2}  # as the SQL of op6
