@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenhand.llm import decontamination, near_copies, quality, sentencepiece_sampling, suffix_dedup
+from evenhand.llm import decontamination, quality, sentencepiece_sampling, simhash, suffix_dedup
 from evenhand.llm.common import remainder, stored, table
 
 #: The model file whose pieces are sampled, a public vocabulary.
@@ -19,29 +19,48 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the positive-unlabelled classifier accepts; labels of held-out documents teach nothing."""
+    """Documents that the positive-unlabelled classifier accepts; labels of held-out documents teach nothing.
+
+    Null and empty texts are scored like any other, repeated rows each; documents without a doc_id
+    teach nothing; an empty table gives an empty one.
+    """
     teaching = remainder("doc_id", 3) != 1
     positives = table(spark, sf_dir, "labels").filter(teaching & (F.col("quality") == 1))
     return quality.filtered(docs, quality.fit(docs.filter(teaching), positives)).select(*COLUMNS)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose 5-word shingles have Jaccard similarity 0.8 or more, that of the least doc_id."""
-    return near_copies.deduplicated(docs).select(*COLUMNS)
+    """One document of each group that SimHash links (3-word shingles, at most 3 bits apart), that of the least doc_id.
+
+    Null and empty texts have fingerprint 0 and are one group, rows with a null doc_id come last
+    in a group, equal rows leave one; an empty table gives an empty one.
+    """
+    return simhash.deduplicated(docs, n=3, radius=3).select(*COLUMNS)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without later copies of strings of 200 bytes; n_chars is that of what is left."""
+    """All documents, without later copies of strings of 200 bytes; n_chars is that of what is left.
+
+    Of equal passages that of the least doc_id stays, nulls first; null texts stay null, and rows
+    with equal doc_id and text count as one and all stay; an empty table gives an empty one.
+    """
     return suffix_dedup.deduplicated(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a word window of a benchmark item."""
+    """Documents without a word window of a benchmark item, items without an id included.
+
+    Null and empty texts hold no window and stay, repeated rows each; an empty table gives an empty one.
+    """
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with sampled pieces; text is what they decode to, which is the text they come from."""
+    """Documents with sampled pieces; text is what they decode to, which is the text they come from.
+
+    A null text has null pieces and stays null, an empty one has the piece of the space before it;
+    doc_id and text decide the pieces, so equal rows have equal ones; an empty table gives an empty one.
+    """
     vocabulary = sentencepiece_sampling.Vocabulary.load(PIECES)
     pieces = sentencepiece_sampling.tokenized(docs.select(*COLUMNS), vocabulary)
     text = sentencepiece_sampling.decoded(spark, F.col("pieces"), vocabulary)
