@@ -139,14 +139,14 @@ def _gender_sql() -> str:
         for source, to in L.SWAP_TITLES[target].items():
             text = _replace_word(text, source, to.replace("'", "''"))
         selects.append(f"SELECT doc_id, text, 'gender' AS method, '{target}' AS target, "
-                       f"{text} AS variant FROM carrier")
+                       f"'' AS word, {text} AS variant FROM carrier")
     return " UNION ALL ".join(selects)
 
 
 def _names_sql() -> str:
     lists = {f"{g}_names": n for g, n in L.GENDER_NAMES.items()} | L.ETHNIC_NAMES
     rows = sql_values((t, B.raw(sql_list(n))) for t, n in lists.items())
-    return f"""SELECT doc_id, text, 'name' AS method, l.target AS target,
+    return f"""SELECT doc_id, text, 'name' AS method, l.target AS target, name AS word,
       replace(text, name, names[(doc_id % len(names)) + 1]) AS variant
       FROM (SELECT doc_id, text, unnest(list_distinct(regexp_extract_all(
           regexp_replace(text, '({NW})', '\\1\\1', 'g'),
@@ -165,7 +165,7 @@ def _race_sql() -> str:
                 text = (f"regexp_replace({text}, '(?i)(^|{NW})(?:{'|'.join(terms)})({NW}|$)', "
                         f"'\\1{target}\\2', 'g')")
             selects.append(f"SELECT doc_id, text, 'race' AS method, '{race}>{target}' AS target, "
-                           f"{text} AS variant FROM carrier")
+                           f"'' AS word, {text} AS variant FROM carrier")
     return " UNION ALL ".join(selects)
 
 
@@ -174,7 +174,7 @@ def _religion_sql() -> str:
             for a, terms in L.RELIGION_SWAP_TERMS.items() for n, term in enumerate(terms)
             for b, others in L.RELIGION_SWAP_TERMS.items() if a != b]
     rows = [(t, x, y, x.capitalize(), y.capitalize()) for t, x, y in rows]
-    return f"""SELECT doc_id, text, 'religion' AS method, t.target AS target,
+    return f"""SELECT doc_id, text, 'religion' AS method, t.target AS target, term AS word,
       replace(replace(text, term, other), cap, other_cap) AS variant
       FROM carrier, {sql_values(rows)} t(target, term, other, cap, other_cap)
       WHERE contains(lower(text), lower(term))"""
@@ -182,13 +182,13 @@ def _religion_sql() -> str:
 
 def _template_sql() -> str:
     male, jobs = sql_list(L.GENDER_NAMES["male"]), sql_list(L.PROFESSIONS)
-    return f"""SELECT doc_id, text, 'template' AS method, a.v AS target,
+    return f"""SELECT *, variant AS word FROM (SELECT doc_id, text, 'template' AS method, a.v AS target,
       replace(replace(replace(replace(t.body, '{{attribute}}', a.v), '{{adjective}}', j.v),
         '{{name}}', ({male})[(doc_id % 20) + 1]), '{{profession}}', ({jobs})[(doc_id % 12) + 1])
         AS variant
       FROM carrier, {_TEMPLATE_ROWS} t(template, body),
         (SELECT unnest({sql_list(L.TEMPLATE_ATTRIBUTES)}) AS v) a,
-        (SELECT unnest({sql_list(X.ALL_ADJECTIVES)}) AS v) j"""
+        (SELECT unnest({sql_list(X.ALL_ADJECTIVES)}) AS v) j)"""
 
 
 _PARTS = {"gender": _gender_sql(), "name": _names_sql(), "race": _race_sql(),
@@ -196,8 +196,8 @@ _PARTS = {"gender": _gender_sql(), "name": _names_sql(), "race": _race_sql(),
 
 
 def _variants_cte(methods) -> str:
-    union = " UNION ALL ".join(f"({_PARTS[m]})" for m in methods)
-    return (f"WITH {CARRIER}, variants AS (SELECT doc_id, method, target, variant FROM ({union}) "
+    union = " UNION ALL BY NAME ".join(f"({_PARTS[m]})" for m in methods)
+    return (f"WITH {CARRIER}, variants AS (SELECT doc_id, method, target, word, variant FROM ({union}) "
             "WHERE variant <> text)")
 
 
@@ -214,9 +214,9 @@ def _skew_sql(text: str) -> str:
 
 _RANKED = f"""{_variants_cte(_PARTS)},
     firsts AS (SELECT *, row_number() OVER (PARTITION BY doc_id, variant
-      ORDER BY method, target) AS copy FROM variants),
+      ORDER BY method, target, word) AS copy FROM variants),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id
-      ORDER BY method, target, variant) AS variant_rank FROM firsts WHERE copy = 1)"""
+      ORDER BY method, target, word) AS variant_rank FROM firsts WHERE copy = 1)"""
 
 _DIFFERENCES = f"""{_RANKED},
     scores AS (SELECT doc_id, avg({_skew_sql('variant')}) AS variant_score FROM ranked

@@ -1,7 +1,10 @@
 """Counterfactual variants of texts and test sentences.
 
-All variants of a text are built, deduplicated, ordered and cut inside its row, so the
-operators need no shuffle.  Where a name or profession is picked, the pick is a hash of the
+A variant is first described in its text's row: which method replaces what by what.  Descriptions
+are a few words each, so a row stays about as large as its text however many variants there are;
+the variant's text is built behind the generator that makes a row of each description.  Equal
+variants are dropped by their hash: for that each is built in the row, hashed and forgotten.  No
+operator needs a shuffle.  Where a name or profession is picked, the pick is a hash of the
 key (``hash_pick``); any function of (key, salt, size) can be passed instead.
 """
 
@@ -16,7 +19,10 @@ from evenhand import lexicons as L
 from evenhand.functions import matching as M
 from evenhand.functions import text as T
 
-VARIANT = "array<struct<method: string, target: string, variant: string>>"
+# A variant's description: `word` is what the method replaces (or the whole sentence of a filled
+# template) and orders the variants of a method and target.
+DESCRIBED = ("array<struct<method: string, target: string, word: string, to: string, "
+             "capital: string, to_capital: string>>")
 SIGNIFICANT = 0.1
 ALL_ADJECTIVES = [a for kind in L.TEMPLATE_ADJECTIVES.values() for a in kind]
 
@@ -28,17 +34,17 @@ def hash_pick(key: Column, salt: str | Column, size: int) -> Column:
 
 
 def _none() -> Column:
-    return F.expr(f"CAST(array() AS {VARIANT})")
+    return F.expr(f"CAST(array() AS {DESCRIBED})")
 
 
-def _variant(method: str, target: str | Column, variant: Column) -> Column:
+def _described(method: str, target: str | Column, word: Column | None = None,
+               to: Column | None = None, capital: Column | None = None,
+               to_capital: Column | None = None) -> Column:
     target = F.lit(target) if isinstance(target, str) else target
-    return F.struct(F.lit(method).alias("method"), target.alias("target"),
-                    variant.alias("variant"))
-
-
-def _changed(variants: Column, text: Column) -> Column:
-    return F.filter(variants, lambda v: v["variant"] != text)
+    word = F.lit("") if word is None else word
+    rest = [("to", to), ("capital", capital), ("to_capital", to_capital)]
+    return F.struct(F.lit(method).alias("method"), target.alias("target"), word.alias("word"), *[
+        (F.lit(None).cast("string") if c is None else c).alias(n) for n, c in rest])
 
 
 def _pick_from(values: list[str], index: Column) -> Column:
@@ -48,26 +54,28 @@ def _pick_from(values: list[str], index: Column) -> Column:
 # -- substitutions ----------------------------------------------------------
 
 
+def _gender_word(term: str) -> str:
+    edge = T.NOT_BEFORE_WORD if term[-1].isalnum() else ""
+    return T.NOT_AFTER_WORD + M.escape(term) + edge
+
+
 def gender_variants(text: Column) -> Column:
     """Male pronouns and titles replaced by those of each other gender, as whole words, in
     lower and capitalised form."""
-    def word(term: str) -> str:
-        edge = T.NOT_BEFORE_WORD if term[-1].isalnum() else ""
-        return T.NOT_AFTER_WORD + M.escape(term) + edge
-
-    def swapped(target: str) -> Column:
-        table = {}
-        for source, to in L.SWAP_PRONOUNS[target].items():
-            table[source], table[source.capitalize()] = to, to.capitalize()
-        table.update(L.SWAP_TITLES[target])
-        return reduce(lambda out, item: F.regexp_replace(out, word(item[0]), item[1]),
-                      table.items(), text)
-
     sources = {s for t in L.SWAP_PRONOUNS.values() for s in t}
     sources |= {s.capitalize() for s in sources} | {s for t in L.SWAP_TITLES.values() for s in t}
-    present = "|".join(word(s) for s in sorted(sources))
-    every = F.array(*[_variant("gender", t, swapped(t)) for t in L.SWAP_PRONOUNS])
-    return F.when(text.rlike(present), _changed(every, text)).otherwise(_none())
+    present = "|".join(_gender_word(s) for s in sorted(sources))
+    every = F.array(*[_described("gender", t) for t in L.SWAP_PRONOUNS])
+    return F.when(text.rlike(present), every).otherwise(_none())
+
+
+def _gender_text(text: Column, target: str) -> Column:
+    table = {}
+    for source, to in L.SWAP_PRONOUNS[target].items():
+        table[source], table[source.capitalize()] = to, to.capitalize()
+    table.update(L.SWAP_TITLES[target])
+    return reduce(lambda out, item: F.regexp_replace(out, _gender_word(item[0]), item[1]),
+                  table.items(), text)
 
 
 def name_variants(text: Column, key: Column, pick=hash_pick) -> Column:
@@ -76,23 +84,30 @@ def name_variants(text: Column, key: Column, pick=hash_pick) -> Column:
     lists = {f"{g}_names": names for g, names in L.GENDER_NAMES.items()} | L.ETHNIC_NAMES
     found = F.array_distinct(F.regexp_extract_all(
         text, F.lit(f"{T.NOT_AFTER_WORD}[A-Z][a-z]+{T.NOT_BEFORE_WORD}"), F.lit(0)))
-    every = F.flatten(F.transform(found, lambda name: F.array(*[
-        _variant("name", target, F.replace(
-            text, name, _pick_from(names, pick(key, target, len(names)))))
-        for target, names in lists.items()])))
-    return _changed(every, text)
+    picked = F.array(*[F.struct(
+        F.lit(target).alias("target"),
+        _pick_from(names, pick(key, target, len(names))).alias("name"))
+        for target, names in lists.items()])
+    # The picks depend on the key alone: made once a row.
+    every = F.flatten(F.transform(F.array(picked), lambda names: F.flatten(F.transform(
+        found, lambda word: F.transform(names, lambda x: _described(
+            "name", x["target"], word, x["name"]))))))
+    return F.filter(every, lambda v: v["word"] != v["to"])
+
+
+def _race_pattern(race: str) -> str:
+    terms = "|".join(map(M.escape, L.RACE_SWAP_TERMS[race]))
+    return f"(?i){T.NOT_AFTER_WORD}(?:{terms}){T.NOT_BEFORE_WORD}"
 
 
 def race_variants(text: Column) -> Column:
     """Race terms, in any case, replaced by the label of each other race."""
     parts = []
-    for race, terms in L.RACE_SWAP_TERMS.items():
-        pattern = (f"(?i){T.NOT_AFTER_WORD}(?:{'|'.join(map(M.escape, terms))})"
-                   f"{T.NOT_BEFORE_WORD}")
+    for race in L.RACE_SWAP_TERMS:
         others = F.array(*[
-            _variant("race", f"{race}>{target}", F.regexp_replace(text, pattern, target))
+            _described("race", f"{race}>{target}", to=F.lit(target), capital=F.lit(race))
             for target in L.RACE_SWAP_TERMS if target != race])
-        parts.append(F.when(text.rlike(pattern), _changed(others, text)).otherwise(_none()))
+        parts.append(F.when(text.rlike(_race_pattern(race)), others).otherwise(_none()))
     return F.concat(*parts)
 
 
@@ -111,11 +126,11 @@ def religion_variants(text: Column, low: Column) -> Column:
 
     def swap(hits: Column) -> Column:
         matching = F.filter(table, lambda p: F.array_contains(hits, p["low"]))
-        return F.transform(matching, lambda p: _variant("religion", p["target"], F.replace(
-            F.replace(text, p["term"], p["to"]), p["capital"], p["to_capital"])))
+        return F.transform(matching, lambda p: _described(
+            "religion", p["target"], p["term"], p["to"], p["capital"], p["to_capital"]))
 
     # Matched once per text, then named.
-    return _changed(F.flatten(F.transform(F.array(found), swap)), text)
+    return F.flatten(F.transform(F.array(found), swap))
 
 
 def template_variants(key: Column, templates=None, attributes=None, adjectives=None,
@@ -135,7 +150,7 @@ def template_variants(key: Column, templates=None, attributes=None, adjectives=N
                          F.lit("{profession}"), job)
 
     table = M.literal_structs(("salt", "target", "sentence"), rows)
-    return F.transform(table, lambda r: _variant("template", r["target"], filled(r)))
+    return F.transform(table, lambda r: _described("template", r["target"], filled(r)))
 
 
 def _fill(template: str, attribute: str, adjective: str) -> str:
@@ -154,54 +169,83 @@ _BUILDERS = {
 DIRECT = ("gender", "name", "race", "religion")
 
 
-def _with_variants(df: DataFrame, methods, text_col: str, key_col: str, pick) -> DataFrame:
-    text, key = F.col(text_col), F.col(key_col)
-    arrays = [_BUILDERS[m](text, F.lower(text), key, pick) for m in methods]
-    return df.withColumn("_variants", F.concat(*arrays))
+def built(text: Column, v: Column, methods=tuple(_BUILDERS)) -> Column:
+    """The variant of ``text`` that the description ``v`` stands for."""
+    forms = {
+        "name": lambda: F.replace(text, v["word"], v["to"]),
+        "religion": lambda: F.replace(F.replace(text, v["word"], v["to"]), v["capital"],
+                                      v["to_capital"]),
+        "template": lambda: v["word"],
+        "gender": lambda: F.coalesce(*[F.when(v["target"] == t, _gender_text(text, t))
+                                       for t in L.SWAP_PRONOUNS]),
+        "race": lambda: F.coalesce(*[F.when(v["capital"] == race, F.regexp_replace(
+            text, F.lit(_race_pattern(race)), v["to"])) for race in L.RACE_SWAP_TERMS]),
+    }
+    return F.coalesce(*[F.when(v["method"] == m, forms[m]()) for m in methods])
+
+
+def _descriptions(text: Column, key: Column, methods, pick) -> Column:
+    return F.concat(*[_BUILDERS[m](text, F.lower(text), key, pick) for m in methods])
 
 
-def _exploded(df: DataFrame, text_col: str) -> DataFrame:
-    keep = [c for c in df.columns if c not in (text_col, "_variants")]
-    return df.select(*keep, F.inline_outer("_variants")).where(F.col("variant").isNotNull())
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once and then forgotten."""
+    return F.transform(F.array(value), body)[0]
 
 
 def substitutions(df: DataFrame, methods=DIRECT, text_col: str = "text",
                   key_col: str = "doc_id", pick=hash_pick) -> DataFrame:
     """One row per variant of the given methods: method, target, variant."""
-    return _exploded(_with_variants(df, methods, text_col, key_col, pick), text_col)
-
-
-def _distinct_variants(df: DataFrame, per_text: int | None, text_col: str, key_col: str,
-                       pick, methods) -> DataFrame:
-    """``_variants`` deduplicated by text and ordered by (method, target, variant); a limit
-    keeps the first of them.
-
-    Sorting by a hash of the variant brings equal ones together at the cost of a sort.
+    text, keep = F.col(text_col), [c for c in df.columns if c != text_col]
+    rows = df.select(*keep, text.alias("_text"), F.explode_outer(
+        _descriptions(text, F.col(key_col), methods, pick)).alias("_v"))
+    # A generator again, so that a variant is built once and not for a filter as well.
+    v = F.col("_v")
+    changed = F.filter(F.array(built(F.col("_text"), v, methods)),
+                       lambda x: (v["method"] == "name") | (x != F.col("_text")))
+    return rows.select(*keep, v["method"].alias("method"), v["target"].alias("target"),
+                       F.explode_outer(changed).alias("variant")).where("variant IS NOT NULL")
+
+
+def _distinct(df: DataFrame, per_text: int | None, text_col: str, key_col: str, pick, methods,
+              score=None) -> DataFrame:
+    """``df`` with ``_kept``: the descriptions of distinct changed variants, ordered by (method,
+    target, word), of equal ones the first; a limit keeps the first of them.  With ``score`` each
+    also has that function of its variant as ``score``.
     """
-    every = _with_variants(df, methods, text_col, key_col, pick)
-    hashed = F.transform("_variants", lambda v: F.struct(
-        F.xxhash64(v["variant"]).alias("h"), v["variant"].alias("variant"),
-        v["method"].alias("method"), v["target"].alias("target")))
-    ordered = every.withColumn("_sorted", F.array_sort(hashed))
+    text = F.col(text_col)
+    score = score or (lambda variant: F.lit(0.0))
+    fields = ("method", "target", "word", "to", "capital", "to_capital")
+
+    def known(v: Column) -> Column:
+        return _let(built(text, v, methods), lambda x: F.struct(
+            F.xxhash64(x).alias("h"), *[v[f].alias(f) for f in fields],
+            (x != text).alias("changed"), score(x).alias("score")))
+
+    described = _descriptions(text, F.col(key_col), methods, pick)
+    hashed = F.filter(F.transform(described, known), lambda v: v["changed"])
+    by_hash = df.withColumn("_sorted", F.array_sort(hashed))
     first = F.filter("_sorted", lambda v, i: (i == 0) | (
-        v["variant"] != F.get("_sorted", i - 1)["variant"]))
+        v["h"] != F.get("_sorted", i - 1)["h"]))
     kept = F.array_sort(F.transform(first, lambda v: F.struct(
-        v["method"].alias("method"), v["target"].alias("target"),
-        v["variant"].alias("variant"))))
+        *[v[f].alias(f) for f in fields], v["score"].alias("score"))))
     kept = kept if per_text is None else F.slice(kept, 1, per_text)
-    return ordered.withColumn("_variants", kept).drop("_sorted")
+    return by_hash.withColumn("_kept", kept).drop("_sorted")
 
 
 def counterfactuals(df: DataFrame, per_text: int | None = None, text_col: str = "text",
                     key_col: str = "doc_id", pick=hash_pick,
                     methods=tuple(_BUILDERS)) -> DataFrame:
-    """Distinct variants of each text by (method, target, variant); all, or the first
+    """Distinct variants of each text by (method, target, replaced word); all, or the first
     ``per_text``."""
-    out = _distinct_variants(df, per_text, text_col, key_col, pick, methods)
-    keep = [c for c in out.columns if c not in (text_col, "_variants")]
-    listed = out.select(*keep, F.posexplode_outer("_variants").alias("_n", "_v"))
+    out = _distinct(df, per_text, text_col, key_col, pick, methods)
+    keep = [c for c in df.columns if c != text_col]
+    listed = out.select(*keep, F.col(text_col).alias("_text"),
+                        F.posexplode_outer("_kept").alias("_n", "_v"))
     return listed.where(F.col("_n").isNotNull()).select(
-        *keep, (F.col("_n") + 1).alias("variant_rank"), "_v.*")
+        *keep, (F.col("_n") + 1).alias("variant_rank"), F.col("_v.method").alias("method"),
+        F.col("_v.target").alias("target"),
+        built(F.col("_text"), F.col("_v"), methods).alias("variant"))
 
 
 # -- scores -----------------------------------------------------------------
@@ -231,11 +275,11 @@ def counterfactual_differences(df: DataFrame, per_text: int | None = None,
     source = df.select(*by, key_col, text_col)
     if texts is not None:
         source = source.orderBy(key_col).limit(texts)
-    varied = _distinct_variants(source, per_text, text_col, key_col, pick, methods)
-    used = F.col("_variants") if compared is None else F.slice("_variants", 1, compared)
-    scores = F.transform(F.transform(used, lambda v: F.lower(v["variant"])), skew_score)
+    varied = _distinct(source, per_text, text_col, key_col, pick, methods,
+                       lambda x: _let(F.lower(x), skew_score))
+    used = F.col("_kept") if compared is None else F.slice("_kept", 1, compared)
     scored = varied.select(*by, key_col, skew_score(F.lower(text_col)).alias("own_score"),
-                           scores.alias("_scores"))
+                           F.transform(used, lambda v: v["score"]).alias("_scores"))
     mean = F.aggregate("_scores", F.lit(0.0), lambda a, s: a + s) / F.size("_scores")
     row = F.transform(F.array(mean), lambda m: F.struct(
         F.col("own_score").alias("own_score"), m.alias("variant_score"),
