@@ -1,8 +1,9 @@
 """Sources, sinks and monitor queries.
 
-Messages are the documents with a derived time (20 seconds apart); every 17th lacks its
-timestamp.  Counters and alerts run over hourly windows of ``events``, where an ``error``
-is a finding whose score is derived from ``value``.
+Messages are the documents with a derived time (20 seconds apart), and besides them a copy of every
+17th without its timestamp.  Counters and alerts run over hourly windows of ``events``, where an
+``error`` is a finding whose score is derived from ``value``; an event counts as rejected where a copy of
+its message has no text.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from evenhand.options import MonitorOptions
 from evenhand.sources import messages as MS
 from evenhand.sources import results as RS
 from evenhand.sources import texts as TS
+from evenhand.streaming import live as V
 from evenhand.streaming import monitor as R
 
 HOURLY = MonitorOptions(window="1 hour")
@@ -44,9 +46,12 @@ def _text_lines(spark, sf):
 
 
 def _text_csv(spark, sf):
+    """All documents, and besides them a row without text for every fifth."""
     path = B.scratch_dir(spark)
-    (B.documents(spark, sf).select("doc_id", "lang", F.when(F.col("doc_id") % 5 > 0, F.col("text"))
-                                   .alias("text"))
+    rows = B.documents(spark, sf).select("doc_id", "lang", "text")
+    blank = rows.where("doc_id % 5 = 0").select(
+        (-1 - F.col("doc_id")).alias("doc_id"), "lang", F.lit(None).cast("string").alias("text"))
+    (rows.unionByName(blank)
      .write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path))
     return TS.read_text_csv(spark, path, multi_line=True).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("digest"))
@@ -95,13 +100,21 @@ def _csv_export(spark, sf):
 # -- messages ---------------------------------------------------------------
 
 
-def _messages(spark, sf):
+def _as_json(rows, key="doc_id", stamped=True):
     at = F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 20)
-    return B.carrier(spark, sf).select(F.to_json(F.struct(
-        "text",
-        F.when(F.col("doc_id") % 17 != 0, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"))
-        .alias("timestamp"),
-        F.col("doc_id").cast("string").alias("message_id"), "source")).alias("value"))
+    stamp = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss") if stamped else F.lit(None).cast("string")
+    return rows.select(F.to_json(F.struct(
+        "text", stamp.alias("timestamp"), F.expr(key).cast("string").alias("message_id"), "source"))
+        .alias("value"))
+
+
+def _copied(spark, sf):
+    return B.carrier(spark, sf).where("doc_id % 17 = 0")
+
+
+def _messages(spark, sf):
+    return _as_json(B.carrier(spark, sf)).unionAll(
+        _as_json(_copied(spark, sf), "-1 - doc_id", stamped=False))
 
 
 def _split(spark, sf):
@@ -168,8 +181,11 @@ def _annotated_events(spark, sf):
 
 
 def _event_summaries(spark, sf):
-    return R.window_summary(_annotated_events(spark, sf), HOURLY).withColumn(
-        "processing_duration", F.col("processed_count") / 10)
+    """Summaries; a window took as long as its events were apart."""
+    events = _annotated_events(spark, sf)
+    spans = events.groupBy(F.window("ts", HOURLY.window)["start"].alias("window_start"), "model_name").agg(
+        (F.max(F.unix_seconds("ts")) - F.min(F.unix_seconds("ts"))).cast("double").alias("processing_duration"))
+    return R.window_summary(events, HOURLY).join(spans, ["window_start", "model_name"])
 
 
 def _candidates(spark, sf):
@@ -182,16 +198,9 @@ def _alert_candidates(spark, sf):
 
 
 def _build_alert(spark, sf):
-    annotated = _annotated_events(spark, sf)
-    texts = B.table(spark, sf, "events").select(
-        F.col("event_id").alias("doc_id"), F.concat_ws(" ", "event_type", F.repeat("props", 30))
-        .alias("text"))
-    alerts = R.build_alert(_candidates(spark, sf), D.explode_findings(annotated), texts, HOURLY)
-    return alerts.select(
+    return _alerts_of_events(spark, sf).select(
         "alert_id", _stamp("timestamp"), "model_name", _r("bias_rate"), _r("bias_score"),
-        "critical_instances_count", F.size("sample_instances").alias("samples"),
-        F.array_join(F.transform("sample_instances", lambda s: F.concat_ws(
-            "/", s["severity"], F.md5(s["text_sample"]))), ",").alias("sampled"))
+        "critical_instances_count", F.size("sample_instances").alias("samples"), _sampled())
 
 
 def _sent(spark, sf):
@@ -214,21 +223,154 @@ def _stream_rate_limit(spark, sf):
         "model_name", _stamp("ts"))
 
 
+ALERT = ("alert_id string, timestamp timestamp, alert_type string, severity string, bias_rate double, "
+         "bias_score double, critical_instances_count long, model_name string, sample_instances "
+         "array<struct<bias_type: string, severity: string, confidence: double, text_sample: string>>")
+
+
+def _sampled():
+    return F.array_join(F.transform("sample_instances", lambda s: F.concat_ws(
+        "/", s["severity"], F.md5(s["text_sample"]))), ",").alias("sampled")
+
+
+def _alerts_of_events(spark, sf):
+    texts = B.table(spark, sf, "events").select(
+        F.col("event_id").alias("doc_id"), F.concat_ws(" ", "event_type", F.repeat("props", 30))
+        .alias("text"))
+    return R.build_alert(_candidates(spark, sf), D.explode_findings(_annotated_events(spark, sf)),
+                         texts, HOURLY)
+
+
 def _stream_alerts(spark, sf):
-    """Alerts sent through ``foreachBatch`` to a sink and to a callback that stores them."""
+    """Alert records sent through ``foreachBatch`` to a sink and to a callback that stores them."""
     path = B.scratch_dir(spark)
-    _candidates(spark, sf).select("model_name", "ts").write.parquet(f"{path}/in")
-    alerts = spark.readStream.schema("model_name string, ts timestamp").parquet(f"{path}/in")
+    _alerts_of_events(spark, sf).write.parquet(f"{path}/in")
+    alerts = spark.readStream.schema(ALERT).parquet(f"{path}/in")
     query = MS.write_alerts(
         alerts, f"{path}/checkpoint", "text",
         [lambda batch: batch.write.mode("append").parquet(f"{path}/seen")],
         R.micro_batches(drain=True), path=f"{path}/out")
     query.awaitTermination()
-    sent = spark.read.text(f"{path}/out").select(
-        F.from_json("value", "model_name string, ts timestamp").alias("a")).select("a.*")
-    seen = spark.read.parquet(f"{path}/seen")
-    return sent.groupBy("model_name").agg(F.count(F.lit(1)).alias("sent")).join(
-        seen.groupBy("model_name").agg(F.count(F.lit(1)).alias("seen")), "model_name")
+    sent = spark.read.text(f"{path}/out").select(F.from_json("value", ALERT).alias("a")).select("a.*")
+    seen = spark.read.schema(ALERT).parquet(f"{path}/seen").select("alert_id", F.lit(1).alias("seen"))
+    return sent.join(seen, "alert_id", "left").select(
+        "alert_id", _stamp("timestamp"), "model_name", _r("bias_rate"), _r("bias_score"),
+        "critical_instances_count", _sampled(), F.coalesce("seen", F.lit(0)).alias("seen"))
+
+
+# -- the monitor as streams ---------------------------------------------------
+
+LIVE = MonitorOptions(window="1 hour", alert_interval_seconds=LIMIT)
+
+
+def _drained(spark, path, monitor=LIVE, callbacks=None):
+    """What has come into ``path``/in goes through the monitor's stream and into its tables."""
+    raw = MS.read_message_stream(spark, "text", path=f"{path}/in")
+    V.write_monitor(V.window_stream(raw, monitor), f"{path}/checkpoint", f"{path}/out", callbacks,
+                    R.micro_batches(drain=True)).awaitTermination()
+
+
+def _live_alerts(spark, sf):
+    """Raw messages to stored alert records in one stream."""
+    path = B.scratch_dir(spark)
+    _messages(spark, sf).write.text(f"{path}/in")
+    _drained(V.stateful_session(spark), path)
+    return V.stored_part(spark, f"{path}/out", "alerts").select(
+        "alert_id", _stamp("timestamp"), "model_name", _r("bias_rate"), _r("bias_score"),
+        "critical_instances_count", _sampled())
+
+
+def _live_accounting(spark, sf):
+    """Every message is in a window, late or invalid.
+
+    Copies of every 17th message come in when the stream has taken in all others, and a last
+    message a month later closes all windows but its own.
+    """
+    path, own = B.scratch_dir(spark), V.stateful_session(spark)
+    _messages(spark, sf).write.text(f"{path}/in")
+    _drained(own, path)
+    _as_json(_copied(spark, sf), "'again ' || doc_id").write.mode("append").text(f"{path}/in")
+    _drained(own, path)
+    last = B.carrier(spark, sf).agg((F.max("doc_id") + 180 * 24 * 31).alias("doc_id")).select(
+        "doc_id", F.lit("the end").alias("text"), F.lit("end").alias("source"))
+    _as_json(last).write.mode("append").text(f"{path}/in")
+    _drained(own, path)
+    _, invalid = MS.split_valid(MS.parse_messages(spark.read.text(f"{path}/in")))
+    windows = V.stored_part(spark, f"{path}/out", "windows")
+    parts = [windows.select("model_name", F.lit("window").alias("part"), F.col("processed_count").alias("n")),
+             V.stored_part(spark, f"{path}/out", "late").select("model_name", F.lit("late"), F.lit(1)),
+             invalid.select("source", F.lit("invalid"), F.lit(1))]
+    every = parts[0].unionAll(parts[1]).unionAll(parts[2])
+    return every.groupBy("model_name", "part").agg(F.sum("n").cast("long").alias("messages"))
+
+
+SUMMARIZED = ("window_start timestamp, ts timestamp, model_name string, processed_count long, finding_count "
+              "long, biased_samples long, high long, critical long, processing_duration double")
+
+
+def _live_counters(spark, sf):
+    """Counters over a stream of summaries that stops after an half of them and goes on."""
+    path, own = B.scratch_dir(spark), V.stateful_session(spark)
+    summaries = _event_summaries(spark, sf).select([f.split()[0] for f in SUMMARIZED.split(", ")])
+    middle = F.timestamp_seconds((F.min(F.unix_seconds("ts")) + F.max(F.unix_seconds("ts"))) / 2)
+    early = F.col("ts") < summaries.agg(middle.alias("t")).scalar()
+    for half in (early, ~early):
+        summaries.where(half).write.mode("append").parquet(f"{path}/in")
+        rows = own.readStream.schema(SUMMARIZED).parquet(f"{path}/in")
+        V.write_counters(V.counter_stream(rows), f"{path}/checkpoint", f"{path}/out",
+                         R.micro_batches(drain=True)).awaitTermination()
+    return V.latest_counters(spark, f"{path}/out").select(
+        "model_name", _stamp("ts"), *[f"total_{c}" for c in SUMMARY], "bias_detected_count",
+        _r("bias_detection_rate"), _r("avg_processing_time"))
+
+
+def _live_processing(spark, sf):
+    """Processing metrics of the stream's windows with the measured durations of their batches;
+    ``measured`` says that a mean lies between the shortest and the longest of them."""
+    path, own = B.scratch_dir(spark), V.stateful_session(spark)
+    _messages(spark, sf).write.text(f"{path}/in")
+    listener = V.ProgressTable(own, f"{path}/progress")
+    own.streams.addListener(listener)
+    try:
+        _drained(own, path)
+        listener.settle()
+    finally:
+        own.streams.removeListener(listener)
+    progress = spark.read.parquet(f"{path}/progress")
+    windows = V.with_durations(V.stored_part(spark, f"{path}/out", "windows"), progress)
+    mean = F.col("avg_processing_time")
+    known = windows.groupBy("model_name").agg(F.min("processing_duration").alias("low"),
+                                              F.max("processing_duration").alias("high"))
+    return R.processing_metrics(windows).join(known, "model_name").select(
+        "model_name", _stamp("ts"), "processed_count", "bias_detected_count",
+        _r("bias_detection_rate"),
+        ((mean > 0) & (mean >= F.col("low") - 1e-9) & (mean <= F.col("high") + 1e-9)).alias("measured"))
+
+
+def _live_batches(spark, sf):
+    """All messages in batches of 100 a model, what is left of a model after two seconds."""
+    import time
+
+    path, own = B.scratch_dir(spark), V.stateful_session(spark)
+    messages = B.documents(spark, sf).select(F.col("source").alias("model_name"),
+                                             F.col("doc_id").cast("string").alias("message_id"))
+    messages.write.parquet(f"{path}/in")
+    stream = own.readStream.schema("model_name string, message_id string").parquet(f"{path}/in")
+    total = messages.count()
+    query = (V.message_batches(stream, 100, 2).writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", f"{path}/checkpoint").trigger(processingTime="1 second")
+             .start(f"{path}/out"))
+    flushed, until = 0, time.time() + 600
+    try:
+        while flushed < total and time.time() < until and query.exception() is None:
+            query.awaitTermination(2)
+            if query.lastProgress and query.lastProgress["batchId"] > 0:
+                flushed = spark.read.schema(V.BATCHED).parquet(f"{path}/out").count()
+    finally:
+        query.stop()
+    batches = spark.read.schema(V.BATCHED).parquet(f"{path}/out").groupBy(
+        "model_name", "batch_no", "flush").agg(F.count(F.lit(1)).alias("n"))
+    return batches.groupBy("model_name", "flush", "n").agg(F.count(F.lit(1)).alias("batches"))
 
 
 def _running(spark, sf):
@@ -247,7 +389,15 @@ def _processing(spark, sf):
 
 
 def _rejects(spark, sf):
-    return _annotated_events(spark, sf).where(F.col("doc_id") % 17 == 0).select("model_name", "ts")
+    """All events as messages, and besides them copies without text, which are rejected."""
+    rows = B.table(spark, sf, "events").select(
+        F.col("props").alias("text"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+        F.col("event_id").alias("message_id"),
+        F.concat(F.lit("m"), F.col("user_id") % 5).alias("source"))
+    copies = rows.where(F.col("message_id") % 17 == 0).withColumn("text", F.lit(None).cast("string"))
+    _, rejected = MS.split_valid(MS.parse_messages(MS.as_messages(rows.unionByName(copies))))
+    return rejected.select(F.col("source").alias("model_name"), "ts")
 
 
 def _status(spark, sf):
@@ -287,6 +437,11 @@ QUERIES = {
     "rate_limit": _rate_limit,
     "stream_rate_limit": _stream_rate_limit,
     "stream_alerts": _stream_alerts,
+    "live_alerts": _live_alerts,
+    "live_accounting": _live_accounting,
+    "live_counters": _live_counters,
+    "live_processing_metrics": _live_processing,
+    "live_batches": _live_batches,
     "running_totals": _running,
     "processing_metrics": _processing,
     "monitor_status": _status,
@@ -310,8 +465,7 @@ _LEVEL_COUNTS = ", ".join(f"count(f.doc_id) FILTER (f.severity = '{s}') AS {s}"
 
 
 def _summary_sql(where: str = "") -> str:
-    return f"""{_FINDINGS}, messages AS (SELECT doc_id, source AS model_name, {_AT} AS ts FROM low
-        WHERE doc_id % 17 <> 0),
+    return f"""{_FINDINGS}, messages AS (SELECT doc_id, source AS model_name, {_AT} AS ts FROM low),
       s AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS w, model_name,
         count(DISTINCT m.doc_id) AS processed_count, count(f.doc_id) AS finding_count,
         count(DISTINCT f.doc_id) AS biased_samples, avg(bias_score) AS score,
@@ -336,7 +490,8 @@ EVENTS = f"""ev AS (SELECT event_id AS doc_id, ts, 'm' || (user_id % 5) AS model
       count(fe.doc_id) AS biased_samples, count(fe.doc_id) / count(*) AS rate,
       coalesce(avg(fe.score), 0e0) AS score,
       count(*) FILTER (fe.severity = 'high') AS high,
-      count(*) FILTER (fe.severity = 'critical') AS critical
+      count(*) FILTER (fe.severity = 'critical') AS critical,
+      epoch(max(date_trunc('second', ev.ts))) - epoch(min(date_trunc('second', ev.ts))) AS span
       FROM ev LEFT JOIN fe USING (doc_id) GROUP BY ALL),
     ca AS (SELECT * FROM sm WHERE high + critical > 0 AND rate > 0.2)"""
 
@@ -351,16 +506,31 @@ def _fmt(column: str, name: str | None = None) -> str:
 
 _PROCESSED = """pm AS (SELECT model_name, ts, sum(processed_count) OVER a AS processed_count,
       sum(high + critical) OVER a AS bias_detected_count,
-      avg(processed_count / 10) OVER (PARTITION BY model_name ORDER BY ts
+      avg(span) OVER (PARTITION BY model_name ORDER BY ts
         ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS avg_processing_time
     FROM sm WINDOW a AS (PARTITION BY model_name ORDER BY ts
       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
 
+# Closed windows of the messages, those that ask for an alert, and those that the limit lets pass.
+_LIVE = f"""messages AS (SELECT doc_id, source AS model_name, {_AT} AS ts,
+        time_bucket(INTERVAL '1 hour', {_AT}) AS w FROM low),
+      windowed AS (SELECT m.*, f.* EXCLUDE (doc_id) FROM messages m JOIN findings f USING (doc_id)),
+      closed AS (SELECT w, w + INTERVAL '1 hour' AS ts, m.model_name AS model_name,
+        count(DISTINCT m.doc_id) AS processed_count, count(DISTINCT f.doc_id) / count(DISTINCT m.doc_id) AS rate,
+        coalesce(avg(bias_score), 0e0) AS score,
+        count(*) FILTER (severity IN ('high', 'critical')) AS severe
+        FROM messages m LEFT JOIN findings f USING (doc_id) GROUP BY ALL
+        HAVING w + INTERVAL '1 hour' <= (SELECT max(ts) FROM messages) - INTERVAL '10 minutes'),
+      asked AS (SELECT * FROM closed WHERE severe > 0 AND rate > 0.2),
+      sent AS (SELECT model_name, min(ts) AS ts FROM asked GROUP BY model_name
+        UNION ALL SELECT model_name, (SELECT min(c.ts) FROM asked c WHERE c.model_name = sent.model_name
+          AND c.ts >= sent.ts + to_seconds({LIMIT})) FROM sent WHERE ts IS NOT NULL)"""
+
 SQL = {
     "read_text_lines": rf"""SELECT md5(t) AS digest, count(*) AS lines FROM (
         SELECT regexp_replace(unnest(regexp_split_to_array(text, '\r\n|\n|\r')),
           '^{TX.SPACE}+|{TX.SPACE}+$', '', 'g') AS t FROM documents) WHERE t <> '' GROUP BY t""",
-    "read_text_csv": "SELECT doc_id, md5(text) AS digest FROM documents WHERE doc_id % 5 > 0",
+    "read_text_csv": "SELECT doc_id, md5(text) AS digest FROM documents",
     "as_texts": "SELECT item_id AS doc_id, md5(text) AS digest FROM benchmark",
     "union_datasets": " UNION ALL ".join(
         f"SELECT '{t}' AS dataset_name, count(*) AS texts, sum(length(text)) AS chars FROM {t}"
@@ -369,11 +539,10 @@ SQL = {
         md5(CASE WHEN length(text) > 100 THEN substring(text, 1, 100) || '...' ELSE text END)
           AS sample, replace(terms, ',', ', ') AS biased_terms, carrier.language AS language,
         1e0 AS p_value FROM findings JOIN carrier USING (doc_id)""",
-    "split_valid": f"WITH {CARRIER} SELECT doc_id::VARCHAR AS message_id, doc_id % 17 <> 0 "
-                   "AS valid FROM carrier",
+    "split_valid": f"WITH {CARRIER} SELECT doc_id::VARCHAR AS message_id, true AS valid FROM carrier "
+                   "UNION ALL SELECT (-1 - doc_id)::VARCHAR, false FROM carrier WHERE doc_id % 17 = 0",
     "detect_stream": f"""{_FINDINGS} SELECT doc_id, check_name, severity,
-        round(bias_score, 9) AS bias_score, group_name, term, category FROM findings
-        WHERE doc_id % 17 <> 0""",
+        round(bias_score, 9) AS bias_score, group_name, term, category FROM findings""",
     "window_summary": _summary_sql(),
     "stream_window_summary": _summary_sql(_CLOSED),
     "alert_candidates": f"""WITH {EVENTS} SELECT {_fmt('w', 'window_start')}, model_name,
@@ -396,8 +565,38 @@ SQL = {
                   "WHERE ts IS NOT NULL",
     "stream_rate_limit": f"WITH RECURSIVE {EVENTS}, {_SENT} SELECT model_name, {_fmt('ts')} "
                          "FROM sent WHERE ts IS NOT NULL",
-    "stream_alerts": f"WITH {EVENTS} SELECT model_name, count(*) AS sent, count(*) AS seen "
-                     "FROM ca GROUP BY model_name",
+    "live_alerts": f"""{_FINDINGS.replace("WITH ", "WITH RECURSIVE ", 1)}, {_LIVE},
+      top AS (SELECT *, row_number() OVER (PARTITION BY w, model_name ORDER BY
+          CASE severity WHEN 'critical' THEN 0 ELSE 1 END, bias_score DESC, doc_id::VARCHAR, bias_type,
+          term NULLS FIRST, category NULLS FIRST) AS n
+        FROM windowed WHERE severity IN ('high', 'critical')),
+      cleaned AS (SELECT doc_id, {TX.preprocess_sql('text')} AS text FROM carrier),
+      listed AS (SELECT w, model_name, string_agg(severity || '/' || md5(CASE WHEN length(text) > 200
+          THEN substring(text, 1, 200) || '...' ELSE text END), ',' ORDER BY n) AS sampled
+        FROM top JOIN cleaned USING (doc_id) WHERE n <= 3 GROUP BY ALL)
+      SELECT sha256(strftime(w, '%Y-%m-%d %H:%M:%S') || '|' || model_name) AS alert_id,
+        {_fmt('ts', 'timestamp')}, model_name, round(rate, 9) AS bias_rate, round(score, 9) AS bias_score,
+        severe AS critical_instances_count, sampled
+      FROM asked JOIN listed USING (w, model_name) JOIN sent USING (model_name, ts)""",
+    "live_accounting": f"""WITH {CARRIER}, messages AS (SELECT doc_id, source, {_AT} AS ts FROM carrier),
+      parts AS (SELECT source, 'window' AS part FROM messages UNION ALL
+        SELECT source, 'invalid' FROM messages WHERE doc_id % 17 = 0 UNION ALL
+        SELECT source, CASE WHEN time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour'
+          <= (SELECT max(ts) FROM messages) - INTERVAL '10 minutes' THEN 'late' ELSE 'window' END
+        FROM messages WHERE doc_id % 17 = 0)
+      SELECT source AS model_name, part, count(*) AS messages FROM parts GROUP BY ALL""",
+    "live_counters": f"""WITH {EVENTS}, {_PROCESSED}, t AS (SELECT model_name, max(ts) AS ts,
+        {', '.join(f'sum({c}) AS total_{c}' for c in SUMMARY)} FROM sm GROUP BY model_name)
+      SELECT model_name, {_fmt('ts')}, {', '.join(f'total_{c}' for c in SUMMARY)}, bias_detected_count,
+        round(bias_detected_count / processed_count, 9) AS bias_detection_rate,
+        round(avg_processing_time, 9) AS avg_processing_time FROM t JOIN pm USING (model_name, ts)""",
+    "live_processing_metrics": f"""{_FINDINGS.replace("WITH ", "WITH RECURSIVE ", 1)}, {_LIVE} SELECT model_name, {_fmt('ts')},
+        sum(processed_count) OVER a AS processed_count, sum(severe) OVER a AS bias_detected_count,
+        round(sum(severe) OVER a / sum(processed_count) OVER a, 9) AS bias_detection_rate, true AS measured
+      FROM closed WINDOW a AS (PARTITION BY model_name ORDER BY closed.ts ROWS UNBOUNDED PRECEDING)""",
+    "live_batches": """WITH n AS (SELECT source AS model_name, count(*) AS n FROM documents GROUP BY 1)
+      SELECT model_name, 'count' AS flush, 100 AS n, n // 100 AS batches FROM n WHERE n >= 100 UNION ALL
+      SELECT model_name, 'time', n % 100, 1 FROM n WHERE n % 100 > 0""",
     "running_totals": f"""WITH {EVENTS} SELECT model_name, {_fmt('ts')},
         {', '.join(f'sum({c}) OVER a AS total_{c}' for c in SUMMARY)} FROM sm
         WINDOW a AS (PARTITION BY model_name ORDER BY sm.ts ROWS UNBOUNDED PRECEDING)""",
@@ -410,7 +609,7 @@ SQL = {
           ORDER BY ts DESC) = 1),
         al AS (SELECT model_name, count(ts) AS alert_count, max(ts) AS last_alert_time FROM sent
           GROUP BY model_name),
-        er AS (SELECT model_name, count(*) AS error_count FROM ev WHERE doc_id % 17 = 0
+        er AS (SELECT model_name, count(*) AS error_count FROM ev WHERE doc_id % 17 = 0  -- the copies
           GROUP BY model_name)
         SELECT model_name, processed_count, bias_detected_count,
           round(bias_detected_count / processed_count, 9) AS bias_detection_rate,
@@ -445,3 +644,4 @@ def _round_trip_sql() -> str:
 
 
 SQL["results_round_trip"] = _round_trip_sql()
+SQL["stream_alerts"] = SQL["build_alert"].replace("samples, sampled FROM", "sampled, 1 AS seen FROM")

@@ -70,6 +70,22 @@ def write_batch_summaries(summaries: DataFrame, checkpoint: str, fmt: str = "kaf
     return writer.start(path) if path else writer.start()
 
 
+def once(spark: SparkSession, mark: str, call: Callable[[], None]) -> bool:
+    """Make a call unless its mark, a path in a shared folder, is there; whether it was made.
+
+    The mark is written before the call, which is therefore made at most once, and ``mark`` +
+    ``.done`` after it; a mark without that is a call that was cut off.
+    """
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(mark)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.createNewFile(path):
+        return False
+    call()
+    files.createNewFile(jvm.org.apache.hadoop.fs.Path(f"{mark}.done"))
+    return True
+
+
 def write_alerts(alerts: DataFrame, checkpoint: str, fmt: str = "kafka",
                  callbacks: list[Callable[[DataFrame], None]] | None = None,
                  trigger: dict | None = None, **options):
@@ -77,7 +93,8 @@ def write_alerts(alerts: DataFrame, checkpoint: str, fmt: str = "kafka",
     batch of alerts, as a DataFrame.
 
     A batch that is tried again doesn't repeat its alerts: in a file sink each batch has a
-    folder of its own, which is overwritten; other sinks get ``batch_id`` in each message.
+    folder of its own, which is overwritten; other sinks get ``batch_id`` in each message.  Nor
+    are callbacks called again: their marks lie below the checkpoint folder.
     """
     path = options.pop("path", None)
 
@@ -90,8 +107,9 @@ def write_alerts(alerts: DataFrame, checkpoint: str, fmt: str = "kafka",
             else:
                 (as_messages(batch.withColumn("batch_id", F.lit(batch_id))).write.format(fmt)
                  .mode("append").options(**options).save())
-            for callback in callbacks or []:
-                callback(batch)
+            for n, callback in enumerate(callbacks or []):
+                once(batch.sparkSession, f"{checkpoint}/calls/{batch_id}-{n}",
+                     lambda call=callback: call(batch))
         finally:
             batch.unpersist()
 

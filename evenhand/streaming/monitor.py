@@ -94,14 +94,21 @@ def build_alert(candidates: DataFrame, findings: DataFrame, texts: DataFrame,
                                     .alias("text_sample")), "doc_id", "left")
     listed = samples.groupBy("window_start", "model_name").agg(F.sort_array(F.collect_list(
         F.struct("n", "bias_type", "severity", "confidence", "text_sample"))).alias("s"))
-    return candidates.join(listed, ["window_start", "model_name"], "left").select(
+    sampled = candidates.join(listed, ["window_start", "model_name"], "left")
+    return alert_record(sampled.withColumn("sample_instances", F.transform(
+        "s", lambda x: x.dropFields("n"))))
+
+
+def alert_record(windows: DataFrame) -> DataFrame:
+    """Window summaries with ``sample_instances`` as alert records."""
+    return windows.select(
         F.sha2(F.concat_ws("|", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"),
                            "model_name"), 256).alias("alert_id"),
         F.col("ts").alias("timestamp"), F.lit("bias_detected").alias("alert_type"),
         F.lit("high").alias("severity"), F.col("biased_sample_rate").alias("bias_rate"),
         F.col("overall_bias_score").alias("bias_score"),
         (F.col("high") + F.col("critical")).alias("critical_instances_count"), "model_name",
-        F.transform("s", lambda x: x.dropFields("n")).alias("sample_instances"))
+        "sample_instances")
 
 
 # -- rate limit -------------------------------------------------------------
