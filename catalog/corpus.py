@@ -110,21 +110,15 @@ def _worst(spark, sf):
         "group_type", "group_name", _r("disparity"))
 
 
+def _long(parts, by=BY):
+    return C.long_table(parts, by).select(*by, "part", "item", "measure", _r("value", 6))
+
+
 def _demographic_analysis(spark, sf):
-    """Parity, impact and disparity measures of every source in one long table."""
-    parts = C.demographic_analysis(
+    """All seven demographic measures of every source in one long table."""
+    return _long(C.demographic_analysis(
         D.detect_findings(B.carrier(spark, sf), ("demographic",)), _totals(spark, sf, BY),
-        OPTIONS, BY)
-    parity = parts["parity_metrics"].select(
-        "source", F.concat("group_type", F.lit("_parity_violation")).alias("metric"),
-        F.col("parity_violation").alias("value"))
-    impact = parts["disparate_impact"].select(
-        "source", F.lit("disparate_impact").alias("metric"),
-        F.col("disparate_impact").alias("value"))
-    worst = parts["worst_disparity"].select(
-        "source", F.concat_ws("/", F.lit("worst_disparity"), "group_type", "group_name")
-        .alias("metric"), F.col("disparity").alias("value"))
-    return parity.unionByName(impact).unionByName(worst).select("source", "metric", _r("value"))
+        OPTIONS, BY))
 
 
 def _dialects(spark, sf):
@@ -157,20 +151,8 @@ def _disparities(spark, sf):
 
 
 def _linguistic_analysis(spark, sf):
-    """Dialect shares, formality and sentiment gaps per source in one long table."""
-    corpus = B.carrier(spark, sf)
-    features = C.text_features(corpus, by=BY)
-    parts = C.linguistic_analysis(corpus, by=BY, features=features)
-    dialect = parts["dialect_distribution"].select(
-        "source", F.concat(F.lit("dialect/"), "dialect").alias("metric"),
-        F.col("share").alias("value"))
-    formality = parts["formality_distribution"].select(
-        "source", F.lit("formality").alias("metric"), F.col("average_formality").alias("value"))
-    gap = parts["sentiment_disparities"].select(
-        "source", F.concat(F.lit("sentiment/"), "kind").alias("metric"),
-        F.col("disparity").alias("value"))
-    return dialect.unionByName(formality).unionByName(gap).select(
-        "source", "metric", _r("value"))
+    """All seven linguistic measures of every source in one long table."""
+    return _long(C.linguistic_analysis(B.carrier(spark, sf), by=BY))
 
 
 RUN_COLUMNS = ["total_samples", "finding_count", "biased_samples"]
@@ -284,9 +266,37 @@ def _detect_run(spark, sf):
     return metrics.join(advice, "source", "left")
 
 
+def _run(spark, sf):
+    from catalog.variants import modulo_pick
+    from evenhand.plans.run import detect
+
+    return detect(B.carrier(spark, sf), options=OPTIONS, by=BY, persist=False, pick=modulo_pick)
+
+
+def _run_demographic(spark, sf):
+    """The demographic tables of a whole run, over its preprocessed texts."""
+    return _long(_run(spark, sf).demographic)
+
+
+def _run_linguistic(spark, sf):
+    """The linguistic tables of a whole run."""
+    return _long(_run(spark, sf).linguistic)
+
+
+def _run_counterfactual(spark, sf):
+    """The counterfactual table of a whole run and what it comes to per source."""
+    from evenhand.operators.counterfactual import counterfactual_analysis
+
+    return counterfactual_analysis(_run(spark, sf).counterfactual, BY).select(
+        "source", "texts", _r("average_bias_change"), "significant_changes")
+
+
 QUERIES = {
     "flagship": _flagship,
     "detect_run": _detect_run,
+    "detect_run_demographic": _run_demographic,
+    "detect_run_linguistic": _run_linguistic,
+    "detect_run_counterfactual": _run_counterfactual,
     "group_findings": _group_findings,
     "group_comparisons": _group_comparisons,
     "severity_distribution": _severity_distribution,
@@ -446,7 +456,96 @@ _FEATURES_ONLY = FEATURES.split(S.LOW_CARRIER + ",", 1)[1]
 
 _PREPARED = S.LOW_CARRIER.replace("lower(text)", f"lower({TX.preprocess_sql('text')})")
 
+_PREPARED_CARRIER = (B.CARRIER.replace("carrier AS", "unprepared AS", 1)
+                     + f", carrier AS (SELECT * REPLACE ({TX.preprocess_sql('text')} AS text) FROM unprepared)")
+
+
+def _unpivoted(part: str, item: str, measures: list[str], table: str, more: str = "") -> str:
+    """Rows of a part, nulls left out."""
+    values = ", ".join(f"('{m.split(' AS ')[-1]}', ({m.split(' AS ')[0]})::DOUBLE)" for m in measures)
+    return (f"SELECT t.source AS source, '{part}' AS part, {item} AS item, v.measure, v.value "
+            f"FROM {table} t, LATERAL (VALUES {values}) v(measure, value) {more}")
+
+
+def _long_sql(parts: list[str]) -> str:
+    return (f"SELECT source, part, item, measure, round(value, 6) AS value FROM ({' UNION ALL '.join(parts)}) "
+            "WHERE value IS NOT NULL")
+
+
+def demographic_long(findings: str) -> str:
+    """All demographic measures per source, unpivoted."""
+    group, levels = "t.group_type || '/' || t.group_name", ", ".join(
+        f"count(*) FILTER (severity = '{s}') AS {s}" for s in L.SEVERITIES)
+    kruskal = KRUSKAL.replace("SELECT group_type AS by_key", "SELECT low.source || '|' || group_type AS by_key").replace(
+        "FROM findings WHERE", "FROM findings JOIN low USING (doc_id) WHERE bias_type = 'demographic' AND")
+    return f"""{findings}, {comparisons_sql('source')}, {parity_sql('source')}, {kruskal},
+        levels AS (SELECT source, group_type, group_name, {levels} FROM findings JOIN low USING (doc_id)
+          WHERE bias_type = 'demographic' AND group_type IS NOT NULL GROUP BY ALL),
+        compared AS (SELECT c.*, {', '.join(f'l.{s}' for s in L.SEVERITIES)},
+          count(*) OVER (PARTITION BY c.source, c.group_type) AS n_groups
+          FROM comparisons c JOIN levels l ON c.source = l.source AND c.group_type = l.group_type AND c.group_name = l.group_name),
+        impact AS (SELECT source, coalesce(avg(disparity), 0e0) AS v FROM comparisons GROUP BY source),
+        tested AS (SELECT split_part(group_type, '|', 1) AS source, split_part(group_type, '|', 2) AS kind, groups, n, h,
+          {B.gamma_tail_sql('h', 'groups - 1')} AS p FROM h),
+        protected AS (SELECT source, group_type, sum(bias_count) AS findings, sum(severe) AS severe FROM comparisons
+          GROUP BY ALL HAVING sum(bias_count) > 10 AND sum(severe) > 5),
+        worst AS (SELECT * FROM comparisons WHERE disparity > 0 QUALIFY row_number() OVER (PARTITION BY source
+          ORDER BY round(disparity, 12) DESC, group_type, group_name) = 1)
+        """ + _long_sql([
+        _unpivoted("group_comparisons", group, ["bias_count", "avg_score AS avg_bias_score", "max_score AS max_bias_score",
+                                                *L.SEVERITIES, "n_groups AS groups", "disparity"], "compared"),
+        _unpivoted("severity_distribution", group, [f"nullif({s}, 0) AS {s}" for s in L.SEVERITIES], "levels"),
+        _unpivoted("parity_metrics", "t.group_type", ["groups", "parity_violation", "equalized_odds"], "parity"),
+        _unpivoted("disparate_impact", "''", ["v AS disparate_impact"], "impact"),
+        _unpivoted("significance", "t.kind", ["groups", "n", "h", "p AS p_value", "coalesce(p < 0.05e0, false) AS significant"], "tested"),
+        _unpivoted("protected_attributes", "t.group_type", ["findings", "severe"], "protected"),
+        _unpivoted("worst_disparity", group, ["disparity"], "worst")])
+
+
+def linguistic_long(carrier: str, features: str) -> str:
+    """All linguistic measures per source, unpivoted."""
+    languages = TX.language_sql("unknown", "unknown").replace("FROM documents", "FROM carrier").replace("doc_id, lang,", "doc_id, source,")
+    return f"""WITH {features}, {sentiments_sql('source')}, {languages},
+        totals AS (SELECT source, count(*) AS total FROM low GROUP BY source),
+        spoken AS (SELECT source, language, count(*) AS texts, count(*) / any_value(total) AS share
+          FROM languages JOIN totals USING (source) GROUP BY ALL),
+        dialects AS (SELECT source, dialect, count(*) AS texts, count(*) / any_value(total) AS share
+          FROM text_dialects JOIN totals USING (source) GROUP BY ALL),
+        ratios AS (SELECT source, formal / (formal + informal) AS r FROM features WHERE formal + informal > 0),
+        formality AS (SELECT source, count(*) AS texts, avg(r) AS mean, stddev_pop(r) AS spread FROM ratios GROUP BY source),
+        tokens AS (SELECT source, unnest(regexp_extract_all(text, '[^{TX.SPACE[1:]}+')) AS w FROM carrier),
+        counted AS (SELECT source, CASE WHEN length(w) > 10 THEN 'complex' ELSE 'simple' END AS class, lower(w) AS word,
+          count(*) AS n FROM tokens WHERE length(w) > 2 GROUP BY ALL),
+        vocabulary AS (SELECT *, row_number() OVER (PARTITION BY source, class ORDER BY n DESC, word) AS place
+          FROM counted QUALIFY place <= 20),
+        registers AS (SELECT source, register, coalesce(v, 0e0) AS v FROM (
+          SELECT source, 'technical' AS register, avg(technical) FILTER (technical > 0) AS v FROM features GROUP BY source
+          UNION ALL SELECT source, 'casual', avg(casual) FILTER (casual > 0) FROM features GROUP BY source))
+        """ + _long_sql([
+        _unpivoted("language_distribution", "t.language", ["texts", "share"], "spoken"),
+        _unpivoted("dialect_distribution", "t.dialect", ["texts", "share"], "dialects"),
+        _unpivoted("formality_distribution", "''", ["texts", "mean AS average_formality", "spread AS formality_variance",
+            "greatest(0e0, mean - 0.7e0) AS formal_bias", "greatest(0e0, 0.3e0 - mean) AS informal_bias"], "formality"),
+        _unpivoted("vocabulary_top", "t.class || '/' || t.word", ["n AS count", "place AS rank"], "vocabulary"),
+        _unpivoted("register_bias", "t.register", ["v AS mean_terms", "v > 2 AS flagged", "CASE WHEN v > 2 THEN 8 ELSE 0 END AS terms"], "registers"),
+        _unpivoted("sentiment_by_group", "t.kind || '/' || t.\"group\"", ["texts", "sentiment"], "sentiments"),
+        _unpivoted("sentiment_disparities", "t.kind", ["groups", "disparity"], "gaps")])
+
+
+def _run_counterfactual_sql() -> str:
+    from catalog.variants import differences_sql
+
+    return f"""{differences_sql(_PREPARED_CARRIER)} SELECT source, count(*) AS texts,
+        round(avg(difference), 9) AS average_bias_change,
+        count(*) FILTER (difference > 0.1e0) AS significant_changes
+        FROM differences JOIN carrier USING (doc_id) GROUP BY source"""
+
+
 SQL = {
+    "detect_run_demographic": demographic_long(S.findings_cte(_PREPARED)),
+    "detect_run_linguistic": linguistic_long(_PREPARED_CARRIER, FEATURES.replace(S.LOW_CARRIER, _PREPARED).replace(
+        B.CARRIER, _PREPARED_CARRIER)),
+    "detect_run_counterfactual": _run_counterfactual_sql(),
     "detect_run": f"""{S.findings_cte(_PREPARED)}, {runs_sql()},
         {_FEATURES_ONLY.replace('dialect_lists AS', 'marker_lists AS').replace('FROM low, dialect_lists', 'FROM low, marker_lists')},
         {sentiments_sql('source')}, messages AS ({_MESSAGES})
@@ -480,16 +579,7 @@ SQL = {
     "worst_disparity": f"""{DEMO}, {comparisons_sql()} SELECT group_type, group_name,
         round(disparity, 9) AS disparity FROM comparisons WHERE disparity > 0
         ORDER BY round(comparisons.disparity, 12) DESC, group_type, group_name LIMIT 1""",
-    "demographic_analysis": f"""{DEMO}, {comparisons_sql('source')}, {parity_sql('source')}
-        SELECT source, metric, round(value, 9) AS value FROM (
-        SELECT source, group_type || '_parity_violation' AS metric, parity_violation AS value
-          FROM parity
-        UNION ALL SELECT source, 'disparate_impact', coalesce(avg(disparity), 0e0)
-          FROM comparisons GROUP BY source
-        UNION ALL SELECT source, 'worst_disparity/' || group_type || '/' || group_name, disparity
-          FROM (SELECT *, row_number() OVER (PARTITION BY source
-            ORDER BY round(disparity, 12) DESC, group_type, group_name) AS n
-            FROM comparisons WHERE disparity > 0) WHERE n = 1)""",
+    "demographic_analysis": demographic_long(DEMO),
     "dialect_distribution": f"""WITH {FEATURES} SELECT dialect, count(*) AS texts,
         round(count(*) / (SELECT count(*) FROM low), 9) AS share FROM text_dialects
         GROUP BY dialect""",
@@ -517,14 +607,7 @@ SQL = {
         round(sentiment, 9) AS sentiment FROM sentiments""",
     "sentiment_disparities": f"WITH {FEATURES}, {sentiments_sql()} SELECT kind, groups, "
                              "round(disparity, 9) AS disparity FROM gaps",
-    "linguistic_analysis": f"""WITH {FEATURES}, {sentiments_sql('source')}
-        SELECT source, metric, round(value, 9) AS value FROM (
-        SELECT source, 'dialect/' || dialect AS metric, count(*) / any_value(total) AS value
-          FROM text_dialects JOIN (SELECT source, count(*) AS total FROM low GROUP BY source)
-          USING (source) GROUP BY source, dialect
-        UNION ALL SELECT source, 'formality', avg(formal / (formal + informal)) FROM features
-          WHERE formal + informal > 0 GROUP BY source
-        UNION ALL SELECT source, 'sentiment/' || kind, disparity FROM gaps)""",
+    "linguistic_analysis": linguistic_long(f"{B.CARRIER}", FEATURES),
     "run_metrics": f"{ALL}, {runs_sql()} SELECT source, {_RUN_SELECT} FROM metrics",
     "run_metrics_from_findings":
         f"{ALL}, {runs_sql()} SELECT source, {_RUN_SELECT} FROM metrics",

@@ -195,9 +195,9 @@ _PARTS = {"gender": _gender_sql(), "name": _names_sql(), "race": _race_sql(),
           "religion": _religion_sql(), "template": _template_sql()}
 
 
-def _variants_cte(methods) -> str:
+def _variants_cte(methods, carrier: str = CARRIER) -> str:
     union = " UNION ALL BY NAME ".join(f"({_PARTS[m]})" for m in methods)
-    return (f"WITH {CARRIER}, variants AS (SELECT doc_id, method, target, word, variant FROM ({union}) "
+    return (f"WITH {carrier}, variants AS (SELECT doc_id, method, target, word, variant FROM ({union}) "
             "WHERE variant <> text)")
 
 
@@ -212,19 +212,26 @@ def _skew_sql(text: str) -> str:
     return f"CASE WHEN {p} + {n} > 0 THEN abs({p} - {n}) / ({p} + {n}) ELSE 0e0 END"
 
 
-_RANKED = f"""{_variants_cte(_PARTS)},
+def ranked_sql(carrier: str = CARRIER) -> str:
+    return f"""{_variants_cte(_PARTS, carrier)},
     firsts AS (SELECT *, row_number() OVER (PARTITION BY doc_id, variant
       ORDER BY method, target, word) AS copy FROM variants),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id
       ORDER BY method, target, word) AS variant_rank FROM firsts WHERE copy = 1)"""
 
-_DIFFERENCES = f"""{_RANKED},
+
+def differences_sql(carrier: str = CARRIER) -> str:
+    """WITH list that ends in ``differences``."""
+    return f"""{ranked_sql(carrier)},
     scores AS (SELECT doc_id, avg({_skew_sql('variant')}) AS variant_score FROM ranked
       GROUP BY doc_id),
     differences AS (SELECT doc_id, own_score, variant_score,
       abs(own_score - variant_score) AS difference FROM scores JOIN (SELECT doc_id,
         {_skew_sql('text')} AS own_score FROM carrier) USING (doc_id))"""
 
+
+_RANKED, _DIFFERENCES = ranked_sql(), differences_sql()
+
 SQL = {
     "swap_gender": _swap_sql("gender"),
     "swap_names": _swap_sql("name"),

@@ -289,6 +289,32 @@ def linguistic_analysis(df: DataFrame, lexicons: Lexicons = DEFAULT_LEXICONS,
     }
 
 
+def long_table(parts: dict[str, DataFrame], by: tuple = ()) -> DataFrame:
+    """All parts of an analysis as rows of one table: ``by``, part, item, measure, value.
+
+    ``item`` is made of a part's text columns; its numbers and flags are measures, as are the
+    entries of its maps, and of a list its length.  Nulls are left out.
+    """
+    out = None
+    for part, df in parts.items():
+        names = [f for f in df.schema.fields if f.name not in by]
+        item = F.concat_ws("/", *[f.name for f in names if f.dataType.typeName() == "string"])
+        pairs = []
+        for f in names:
+            kind, column = f.dataType.typeName(), F.col(f.name)
+            if kind == "map":
+                pairs.append(F.transform(F.map_entries(column), lambda e: F.struct(
+                    e["key"].alias("measure"), e["value"].cast("double").alias("value"))))
+            elif kind != "string":
+                number = F.size(column) if kind == "array" else column.cast("double")
+                pairs.append(F.array(F.struct(F.lit(f.name).alias("measure"),
+                                              number.cast("double").alias("value"))))
+        rows = df.select(*by, F.lit(part).alias("part"), item.alias("item"),
+                         F.inline_outer(F.concat(*pairs))).where(F.col("value").isNotNull())
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # -- run level --------------------------------------------------------------
 
 

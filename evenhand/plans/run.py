@@ -41,7 +41,7 @@ def detect(texts: DataFrame, lexicons: Lexicons = DEFAULT_LEXICONS,
            options: DetectOptions = DEFAULT_OPTIONS, by: tuple = (),
            include_demographic: bool = True, include_linguistic: bool = True,
            include_counterfactual: bool = True, counterfactual_texts: int | None = None,
-           persist: bool = True) -> Run:
+           persist: bool = True, pick=X.hash_pick) -> Run:
     """Preprocess, identify languages, detect, aggregate.
 
     ``texts`` has ``doc_id`` and ``text``; ``output`` (a model's answer) is what is searched
@@ -69,7 +69,7 @@ def detect(texts: DataFrame, lexicons: Lexicons = DEFAULT_LEXICONS,
         run.linguistic = C.linguistic_analysis(prepared, lexicons, by=by)
     if include_counterfactual:
         run.counterfactual = X.counterfactual_differences(
-            prepared, texts=counterfactual_texts, by=by)
+            prepared, texts=counterfactual_texts, by=by, pick=pick)
     run.recommendations = C.recommendations(
         metrics, run.linguistic.get("sentiment_disparities"), by)
     return run
