@@ -5,8 +5,9 @@ lower case. The windows of all items form a hash set that is broadcast; a task n
 words of a text by the items' vocabulary, hashes every window of them with numpy, looks the
 hashes up and verifies each hit word by word. Texts move nowhere: there is no shuffle.
 
-The broadcast is bounded: items are dealt into blocks of about `block_words` words, and texts
-pass one block after the other, each adding its hits to those so far.
+The broadcast is bounded: items are dealt into blocks of about `block_words` words. Texts pass one
+block after the other; the hits so far are stored and a block's broadcast is freed before the
+next one is made, so that one block is in memory at a time.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenhand.llm.common import fresh, small_batches
+from evenhand.llm.common import fresh, small_batches, stored
 
 # The word pattern of the contract; the multiplier is any large odd number.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -111,27 +112,28 @@ def _search(block, n: int):
     return F.pandas_udf(search, FOUND)
 
 
-def with_hits(df: DataFrame, benchmark: DataFrame, out: str, text: str = "text", item: str = "item_id", item_text: str = "text", n: int = 10, block_words: int = 2_000_000, unnamed: bool = False) -> DataFrame:
+def with_hits(df: DataFrame, benchmark: DataFrame, out: str, text: str = "text", item: str = "item_id", item_text: str = "text", n: int = 10, block_words: int = 2_000_000) -> DataFrame:
     """`df` with a struct column `out`: n_words, n_hit, items (ids as sorted strings), words and chars (runs of hit words as word and character offsets, start and end alternating).
 
     An item of fewer than n words, but not none, is one window. Null and empty texts have no
-    words and no hits; items with null text have no windows, rows with a null id have some
-    only if `unnamed`, and then count for all but the ids;
-    equal items all count; with an empty benchmark nothing is hit. Repeated rows each get
-    their own result. block_words bounds the words of items broadcast at a time.
+    words and no hits; items with null text have no windows, those of items with a null id count for
+    all but the ids; equal items all count; with an empty benchmark nothing is hit. Repeated rows
+    each get their own result. block_words bounds the words of items broadcast at a time.
     """
     df = small_batches(df)
+    context = df.sparkSession.sparkContext
     items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("text")).filter("text IS NOT NULL")
-    if not unnamed:
-        items = items.filter("item IS NOT NULL")
-    total = items.agg(F.sum(F.size(F.split("text", r"\s+")).cast("long"))).first()[0] or 0
+    total = items.agg(F.sum(F.regexp_count(F.translate("text", "".join(map(chr, UPPER)), "".join(map(chr, UPPER.values()))), F.lit(WORD)).cast("long"))).first()[0] or 0
     n_blocks = max(1, math.ceil(total / block_words))
     before = F.lit(None).cast(f"struct<{', '.join(x.replace(' ', ':', 1) for x in FOUND.split(', '))}>")
     for k in range(n_blocks):
         rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == k).collect()
-        block = df.sparkSession.sparkContext.broadcast(Windows.of([(r["item"], words_of(r["text"])) for r in rows], n))
+        block = context.broadcast(Windows.of([(r["item"], words_of(r["text"])) for r in rows], n))
         df = df.withColumn(out, _search(block, n)(F.col(text), before))
         before = F.col(out)
+        if k < n_blocks - 1:
+            df = stored(df)
+            block.destroy()
     return df
 
 
@@ -145,10 +147,8 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, text: str = "text", remov
     """`df` without contaminated rows (remove="documents") or with the hit words cut out of `text` ("spans").
 
     A cut runs from the first to the last character of a run of hit words; what stands before
-    and after is joined as it is. All columns stay. Items with a null id count unless
-    unnamed=False. See with_hits for other nulls and ties.
+    and after is joined as it is. All columns stay. See with_hits for nulls and ties.
     """
-    options = {"unnamed": True} | options
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove is documents or spans, not {remove}")
     hits = fresh(df, "hits")

@@ -8,6 +8,8 @@ Where the two best are nearly equal the choice is marked as rejected.
 from __future__ import annotations
 
 import re
+import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +22,9 @@ from evenhand.llm.common import bounded_sample, small_batches
 
 UNDETERMINED = "und"
 PREDICTED = "lang_pred string, score double, margin double, rejected boolean"
-_gap = re.compile(r"[\W\d_]+")
+# \W and \d leave other numerals in, such as fractions and circled digits.
+_numerals = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_gap = re.compile(rf"[\W\d_{_numerals}]+")
 
 
 @dataclass
@@ -29,8 +33,8 @@ class Settings:
 
     block: characters compressed at once, so that a long text doesn't train itself; level: of zstandard;
     scale: bytes of difference that count as a factor of e in the score; margin: share of the
-    smallest size below which a choice is rejected; few: characters of distinct words below
-    which a text's distinct words are read together and one by one.
+    smallest size below which a choice is rejected. Of a piece at most dictionary // rows taken bytes go
+    into the dictionary, so that all sampled rows take part.
     """
 
     rows: int = 400
@@ -40,7 +44,6 @@ class Settings:
     level: int = 6
     scale: float = 3.0
     margin: float = 0.01
-    few: int = 200
 
 
 def letters(text: str) -> str:
@@ -80,9 +83,6 @@ class Model:
         if not words or not self.names:
             return UNDETERMINED, 0.0, 0.0, True
         blocks = [words[i : i + self.settings.block].encode() for i in range(0, len(words), self.settings.block)]
-        kinds = dict.fromkeys(words.split())
-        if sum(map(len, kinds)) < self.settings.few:  # few words, or the same again and again, pack into equally many bytes: each is a further reading
-            blocks = [f" {' '.join(kinds)} ".encode(), *(f" {w} ".encode() for w in kinds)]
         sizes = np.array([sum(len(pack(b)) for b in blocks) for pack in self.packers])
         best = int(sizes.argmin())
         rest = np.delete(sizes, best)
@@ -95,10 +95,13 @@ def predicted(spark, text: Column, contents: dict[str, bytes], settings: Setting
     """Struct of lang_pred, score, margin and rejected for a column of texts."""
     s = settings or Settings()
     shared = spark.sparkContext.broadcast(contents)  # a dictionary's bound times the languages
+    made: list[Model] = []
 
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        model = Model(shared.value, s)
-        return pd.DataFrame([model.predict(x) for x in texts], columns=["lang_pred", "score", "margin", "rejected"])
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        if not made:
+            made.append(Model(shared.value, s))
+        for texts in batches:
+            yield pd.DataFrame([made[0].predict(x) for x in texts], columns=["lang_pred", "score", "margin", "rejected"])
 
     return F.pandas_udf(predict, PREDICTED)(text)
 

@@ -22,9 +22,9 @@ def test_language_held_out(spark, documents):
 
 def test_language_odd_texts(spark, documents):
     contents = language_id.train(documents)
-    df = spark.createDataFrame([(1, None), (2, ""), (3, "12 %% !"), (4, "the of and to in is that"), (4, "the of and to in is that"), (5, "der " * 100_000)], "doc_id long, text string").selectExpr("*", "'x' AS score", "'y' AS lang")
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "12 %% !"), (6, "½ ² ① _"), (4, "the of and to in is that"), (4, "the of and to in is that"), (5, "der " * 100_000)], "doc_id long, text string").selectExpr("*", "'x' AS score", "'y' AS lang")
     got = [tuple(r)[:2] for r in language_id.identify(df, contents).collect()]
-    assert got == [(1, "und"), (2, "und"), (3, "und"), (4, "en"), (4, "en"), (5, "de")]
+    assert got == [(1, "und"), (2, "und"), (3, "und"), (6, "und"), (4, "en"), (4, "en"), (5, "de")]
     assert language_id.identify(df.filter("false"), contents).collect() == []
     assert {r["lang_pred"] for r in language_id.identify(df, {}).collect()} == {"und"}
     assert language_id.train(documents.filter("false")) == {}

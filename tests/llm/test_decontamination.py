@@ -67,6 +67,29 @@ def test_items_without_an_id(spark):
     df = spark.createDataFrame([(1, "x Leaked words of a test y"), (2, "clean"), (3, "a named item, leaked words of a test")], "doc_id long, text string")
     assert [r["doc_id"] for r in D.decontaminate(df, items).collect()] == [2]
     for block_words in (2_000_000, 2):
-        found = {r["doc_id"]: (r["n_hit"], r["items"]) for r in D.contamination(df, items, unnamed=True, block_words=block_words).collect()}
+        found = {r["doc_id"]: (r["n_hit"], r["items"]) for r in D.contamination(df, items, block_words=block_words).collect()}
         assert found == {1: (5, []), 2: (0, []), 3: (7, ["1"])}
-    assert {r["doc_id"]: r["n_hit"] for r in D.contamination(df, items).collect()} == {1: 0, 2: 0, 3: 2}  # as the SQL of op6
+
+
+def test_sql_counts_items_without_an_id(spark, tmp_path):
+    import duckdb
+
+    from evenhand.llm import queries
+
+    spark.createDataFrame([(None, "leaked words of a test"), (1, "named item"), (None, None), (2, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, "x Leaked words of a test y"), (2, "clean"), (3, "a named item, leaked words of a test"), (4, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    for name in ("benchmark", "documents"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    found = queries.op6_benchmark_decontamination(spark, str(tmp_path))
+    want = con.sql(queries.SQL["op6_benchmark_decontamination"]).project(", ".join(found.columns)).fetchall()
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
+def test_blocks_are_sized_by_words_and_freed(spark):
+    """Items without white space are as many words as they are; each pass reads stored hits, with one worker."""
+    items = spark.createDataFrame([(k, ",".join(f"w{k}x{j}" for j in range(20))) for k in range(10)], "item_id long, text string")
+    df = spark.createDataFrame([(k, " ".join(f"w{k}x{j}" for j in range(20))) for k in range(10)], "doc_id long, text string")
+    found = D.contamination(df, items, block_words=50)
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert {r["doc_id"]: (r["n_hit"], r["items"]) for r in found.collect()} == {k: (20, [str(k)]) for k in range(10)}
