@@ -4,6 +4,9 @@ A page is cut into blocks at block-level tags. The first pass decides each block
 stands (menus, footers, adverts ...), its link density, its length and its share of stop
 words. Blocks that this leaves open, short ones above all, take the label of the nearest
 decided block of the same part of the page.
+
+Stop words are those of English, German, French and Spanish. On a page whose blocks together have
+few of them, which is in another language, they decide nothing: length and links do.
 """
 
 from __future__ import annotations
@@ -44,15 +47,22 @@ STOP = frozenset(
     "una por con para su al lo como más pero sus ya o este sí porque esta entre cuando muy sin sobre".split()
 )
 
+# Hints that a paragraph or heading of an article may have too, and parts of class names that deny the others.
+MILD = frozenset("alert copyright legal login menu overlay related respond search social widget".split())
+DENIED = frozenset("has no not with without hide hides is".split())
+PROSE = frozenset("blockquote h1 h2 h3 h4 h5 h6 p pre".split())
+
 # Attributes end before the next "<", so that a page with an odd quote isn't read again and again.
+RAW = frozenset("script style noscript template textarea iframe svg math object canvas".split())
+UNCLOSED = frozenset("script style textarea".split())  # these go on to the page's end, others without a closing tag are nothing
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|math|object|canvas)\b(?:[^<>\"']|\"[^<\"]*\"|'[^<']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attributes>(?:[^<>\"']|\"[^<\"]*\"|'[^<']*')*)>"
     r"|<[!?/a-z][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
     re.I | re.S,
 )
+ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 WORD = re.compile(r"[^\W\d_]+")
@@ -76,83 +86,149 @@ class Block:
     bad: bool
     content: bool
     heading: bool
+    paragraph: bool = False
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
 
 
+def tokens(page: str):
+    """Tags and texts of a page; what a raw element holds is passed over.
+
+    Each name's closing tags are looked for once beyond the last one, so a page of many unclosed
+    elements is read once.
+    """
+    at, none_after = 0, set()
+    while at < len(page):
+        token = TOKEN.match(page, at)
+        at = token.end()
+        name = (token["name"] or "").lower()
+        if name in RAW:
+            if not token["close"] and not token["attributes"].endswith("/"):
+                end = None if name in none_after else ENDS[name].search(page, at)
+                if end:
+                    at = end.end()
+                else:
+                    none_after.add(name)
+                    if name in UNCLOSED:
+                        return
+            continue
+        yield token
+
+
+def marks_of(attributes: str) -> set[str]:
+    """The words of an element's classes, id and role; a name such as has-sidebar or no-comments says nothing."""
+    found: set[str] = set()
+    for a in MARKS.finditer(attributes):
+        for value in (a[1] or a[2] or a[3] or "").lower().split():
+            parts = PARTS.split(value)
+            if DENIED.isdisjoint(parts):
+                found.update(parts)
+    return found
+
+
 def blocks(page: str) -> list[Block]:
-    """Blocks of a page with text, in order; zone numbers the content element that a block is in, 0 for none."""
+    """Blocks of a page with text, in order; zone numbers the content element that a block is in, 0 for none.
+
+    A content element that a hint alone puts outside has a negative zone: it counts if the page has no other.
+    """
     found: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # open elements: name, whether outside the main text, zone
+    stack: list[tuple[str, str, int]] = []  # open elements: name, why outside the main text, zone
     opened: Counter[str] = Counter()
+    muted: list[str] = []  # open inline elements that are hidden or adverts, and those of the same name in them
+    muted_in = 0  # how many block elements were open then
     zones, links = 0, 0
     now: Block | None = None
-    for token in TOKEN.finditer(page):
+    for token in tokens(page):
         name = token["name"]
         if name is None:
-            if token["text"] is not None:
+            if token["text"] is not None and not muted:
                 if now is None:
-                    bad, zone = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-                    now = Block(zone, bad, zone > 0, any(x[0] in HEADING for x in stack[-3:]))
+                    bad, zone = (stack[-1][1], stack[-1][2]) if stack else ("", 0)
+                    now = Block(zone, bool(bad), zone != 0, any(x[0] in HEADING for x in stack[-3:]), bool(stack) and stack[-1][0] == "p")
                     found.append(now)
                 now.pieces.append(piece := html.unescape(token["text"]))
                 if links:
                     now.linked += len(" ".join(piece.split()))
             continue
         name = name.lower()
-        if name == "a":
-            links = 0 if token["close"] else 1
-        elif name == "br":
-            if now is not None:
-                now.pieces.append(" ")
-        elif name in BLOCK:
-            now = None
+        if name not in BLOCK:
+            if name == "a":
+                links = 0 if token["close"] else 1
+            elif name == "br":
+                if now is not None:
+                    now.pieces.append(" ")
             if token["close"]:
-                if opened[name]:  # else it closes nothing
-                    while True:
-                        last = stack.pop()[0]
-                        opened[last] -= 1
-                        if last == name:
-                            break
-                    links = 0
-                continue
-            if name in VOID:
-                continue
-            if stack and stack[-1][0] in ("p", *HEADING) or stack and stack[-1][0] == name and name in ("li", "dt", "dd", "td", "th", "tr", "option"):
-                opened[stack.pop()[0]] -= 1
-            if name == "body":
-                stack.clear()
-                opened.clear()
-            bad, zone = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-            marks = set()
-            if token["attributes"]:
-                for a in MARKS.finditer(token["attributes"]):
-                    marks.update(PARTS.split((a[1] or a[2] or a[3] or "").lower()))
-                bad = bad or bool(HIDDEN.search(token["attributes"]))
-            if name in CONTENT and not bad:
-                zones += 1
+                if muted and name == muted[-1]:
+                    muted.pop()
+            elif name not in VOID and not token["attributes"].endswith("/"):
+                if name in muted or not muted and token["attributes"] and (HIDDEN.search(token["attributes"]) or not (HINTS - MILD).isdisjoint(marks_of(token["attributes"]))):
+                    muted.append(name)
+                    muted_in = len(stack) if len(muted) == 1 else muted_in
+            continue
+        now = None
+        if token["close"]:
+            if opened[name]:  # else it closes nothing
+                while True:
+                    last = stack.pop()[0]
+                    opened[last] -= 1
+                    if last == name:
+                        break
+                links = 0
+                if len(stack) < muted_in:
+                    muted.clear()
+            continue
+        if name in VOID:
+            continue
+        if stack and stack[-1][0] in ("p", *HEADING) or stack and stack[-1][0] == name and name in ("li", "dt", "dd", "td", "th", "tr", "option"):
+            opened[stack.pop()[0]] -= 1
+        if name == "body":
+            stack.clear()
+            opened.clear()
+        if len(stack) < muted_in:
+            muted.clear()
+        bad, zone = (stack[-1][1], stack[-1][2]) if stack else ("", 0)
+        hinted = False
+        if token["attributes"] and name not in ("html", "body"):
+            marks = marks_of(token["attributes"])
+            hinted = not HINTS.isdisjoint(marks - MILD if zone and name in PROSE else marks) or "header" in marks and not zone
+        if name not in ("html", "body"):
+            if muted or token["attributes"] and HIDDEN.search(token["attributes"]) or name in OUTSIDE or name == "header" and not zone:
+                bad = "outside"
+            elif hinted and not bad:
+                bad = "hint"
+        if name in CONTENT and bad != "outside":
+            zones += 1
+            if bad == "hint" and zone <= 0:
+                zone, bad = -zones, ""
+            elif not bad:
                 zone = zones
-            elif name not in ("html", "body"):
-                bad = bad or name in OUTSIDE or not HINTS.isdisjoint(marks) or (name == "header" or "header" in marks) and not zone
-            if token["attributes"].endswith("/") and name not in ("p", "div"):
-                continue
-            stack.append((name, bad, zone))
-            opened[name] += 1
+        if token["attributes"].endswith("/") and name not in ("p", "div"):
+            continue
+        stack.append((name, bad, zone))
+        opened[name] += 1
     for block in found:
         block.text = " ".join("".join(block.pieces).split())
     return [b for b in found if b.text]
 
 
-def first_pass(block: Block, rules: Rules) -> bool | None:
-    """True for main text, False for the rest, None if neighbours have to decide."""
+def known_language(found: list[Block], rules: Rules) -> bool:
+    """Whether the blocks together, links aside, have the share of stop words that text has."""
+    words = [w for b in found if not b.bad and 2 * b.linked < len(b.text) for w in WORD.findall(b.text.lower())]
+    return sum(w in STOP for w in words) >= rules.stop_low * len(words)
+
+
+def first_pass(block: Block, rules: Rules, known: bool = True) -> bool | None:
+    """True for main text, False for the rest, None if neighbours have to decide; known: whether stop words tell anything."""
     if block.bad:
         return False
     n = len(block.text)
     if block.linked > rules.link_density * n:
-        return False
+        return None if block.content and block.paragraph else False
     if n < rules.short:
         return None
+    if not known:
+        return True
     words = WORD.findall(block.text.lower())
     density = sum(w in STOP for w in words) / max(1, len(words))
     if density >= rules.stop_high and n >= rules.long or density >= rules.stop_high and block.content:
@@ -195,9 +271,18 @@ def main_text(page: str | None, rules: Rules | None = None) -> str:
         return ""
     rules = rules or Rules()
     found = blocks(page)
-    if any(b.content and not b.bad for b in found):
-        found = [b for b in found if b.content]
-    labels = second_pass(found, [first_pass(b, rules) for b in found])
+    if any(b.zone > 0 and not b.bad for b in found):
+        found = [b for b in found if b.zone > 0]
+    else:
+        sizes = Counter()
+        for b in found:
+            if b.zone < 0 and not b.bad:
+                sizes[b.zone] += len(b.text)
+        if sizes:  # the largest of those under a hint, of equal ones the first
+            largest = max(sizes, key=lambda z: (sizes[z], z))
+            found = [b for b in found if b.zone == largest]
+    known = known_language(found, rules)
+    labels = second_pass(found, [first_pass(b, rules, known) for b in found])
     return "\n".join(b.text for b, keep in zip(found, labels, strict=True) if keep)
 
 
