@@ -9,12 +9,12 @@ have equal anchors, and consecutive windows with one anchor are one segment. Seg
 anchor that occurs once repeat nothing. Equal segments are counted before anything moves;
 where all segments of an anchor are equal, that settles them. What is left are the borders of
 copied passages: distinct segments with one anchor. Their bytes meet in one task, which sorts
-their suffixes on the first `length` bytes, and by position where these are equal. In that
-order a suffix's previous smaller position is the direct predecessor if a match of `length`
-bytes stands earlier at all, and no next smaller position has a longer one, so the
-previous-factor array cut at `length` tells later copies. Anchors with more than `group`
-distinct segments are settled by counting the 128-bit hashes of their windows, which spreads
-over all tasks. Texts are shuffled once, by document, and read there twice.
+their suffixes. The longest factor at a place that also starts earlier is the longer of its
+matches with two neighbours in suffix order, the nearest ones before and behind it that start
+earlier in the text: the previous and next smaller positions. Places whose longest previous
+factor has `length` bytes are later copies. Anchors with more than `group` distinct segments are
+settled by counting the 128-bit hashes of their windows, which spreads over all tasks. Texts
+are shuffled once, by document, and read there twice.
 """
 
 from __future__ import annotations
@@ -131,36 +131,48 @@ def _anchored(length: int, gram: int):
     return anchored
 
 
-def previous_factors(data: np.ndarray, length: int) -> np.ndarray:
-    """For each place the nearest earlier place where the same `length` bytes start, or -1; places whose window passes the end get -1.
+def previous_smaller(values: np.ndarray) -> np.ndarray:
+    """For each place the nearest one before it with a smaller value, or -1. Places jump over what is larger, all at once."""
+    found = np.arange(-1, len(values) - 1)
+    open_ = np.arange(1, len(values))
+    while len(open_):
+        open_ = open_[values[found[open_]] > values[open_]]
+        found[open_] = found[found[open_]]
+        open_ = open_[found[open_] >= 0]
+    return found
 
-    The suffix array on the first `length` bytes comes from doubling the sorted prefixes. It
-    is stable, so equal prefixes are in order of position and the previous smaller position of
-    a suffix among those that match it over `length` bytes is its predecessor.
+
+def longest_previous_factors(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each place the length of the longest string from it that also starts earlier, at most `length`, and where; 0 and -1 if there is none.
+
+    Suffixes are put in order of their first `length` symbols, by position where these are equal,
+    by doubling the prefixes that are ranked. The ranks of all prefix lengths stay, so that the match
+    of two places is put together from powers of two. The last symbol must be one of its own.
     """
-    n = len(data)
-    out = np.full(n, -1, np.int64)
-    if n <= length:
-        return out
-    padded = np.concatenate((data, np.zeros(length + 8, np.uint8)))
-    key, done = np.zeros(n + length, np.uint64), min(8, length)
-    for k in range(done):
-        key = key << np.uint64(8) | padded[k : k + n + length]
-    while True:
-        order = np.argsort(key[:n], kind="stable")
-        ordered = key[:n][order]
-        new = np.concatenate(([False], ordered[1:] != ordered[:-1]))
-        if done == length:
-            break
-        rank = np.zeros(n + length, np.uint64)
-        rank[order] = np.cumsum(new) + 1
-        step = min(done, length - done)
-        key = rank << np.uint64(32)
-        key[:n] |= rank[step : n + step]
+    n = len(symbols)
+    ranks, done = [(1, np.concatenate((symbols.astype(np.uint32) + 1, np.zeros(length, np.uint32))))], 1
+    order = np.argsort(symbols, kind="stable")
+    while done < length:
+        step, rank = min(done, length - done), ranks[-1][1]
+        key = rank[:n].astype(np.uint64) << np.uint64(32) | rank[step : n + step]
+        order = np.argsort(key, kind="stable")
+        ordered = key[order]
+        rank = np.zeros(n + length, np.uint32)
+        rank[order[1:]] = np.cumsum(ordered[1:] != ordered[:-1])
+        rank[:n] += 1
         done += step
-    out[order[1:]] = np.where(new[1:], -1, order[:-1])
-    out[n - length + 1 :] = -1
-    return out
+        ranks.append((done, rank))
+    best, source = np.zeros(n, np.int64), np.full(n, -1, np.int64)
+    for turned in (order, order[::-1]):  # previous, then next smaller positions
+        near = previous_smaller(turned)
+        i, j = turned[near >= 0], turned[near[near >= 0]]
+        match = np.zeros(len(i), np.int64)
+        for size, rank in reversed(ranks):
+            fits = match + size <= length
+            match[fits] += size * (rank[i[fits] + match[fits]] == rank[j[fits] + match[fits]])
+        longer = match > best[i]
+        best[i[longer]], source[i[longer]] = match[longer], j[longer]
+    return best, source
 
 
 def _factored(length: int, keep_first: bool):
@@ -172,21 +184,16 @@ def _factored(length: int, keep_first: bool):
         df = df.drop_duplicates(["a", "h"])  # repeated rows give a segment each
         parts = df["bytes"].tolist()
         sizes = np.array([len(p) for p in parts])
-        starts = np.cumsum(sizes) - sizes
-        before = previous_factors(np.frombuffer(b"".join(parts), np.uint8), length)
-        part = np.repeat(np.arange(len(parts)), sizes)
-        inside = np.arange(len(before)) <= (starts + sizes - length)[part]
-        # a match that crosses a border of two segments is passed over, to the one before it
-        chain = before.copy()
-        before[~inside] = -1
-        hops = np.flatnonzero(before >= 0)
-        while len(hops := hops[~inside[before[hops]]]):
-            before[hops] = chain[before[hops]]
-            hops = hops[before[hops] >= 0]
-        repeated = before >= 0
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        # a symbol of its own behind each segment: no match reaches beyond one
+        symbols = np.insert(np.frombuffer(b"".join(parts), np.uint8).astype(np.uint32), np.cumsum(sizes), np.arange(256, 256 + len(parts)))
+        factors, source = longest_previous_factors(symbols, length)
+        repeated = factors >= length
         if not keep_first:
-            repeated[before[repeated]] = True
-            repeated |= (df["n"].to_numpy() > 1)[part] & inside
+            often = np.repeat(df["n"].to_numpy() > 1, sizes + 1)
+            repeated[source[repeated]] = True
+            left = np.repeat(starts + sizes, sizes + 1) - np.arange(len(symbols))
+            repeated |= often & (left >= length)
         return pd.DataFrame({"a": df["a"], "h": df["h"], "cover": [runs(repeated[s : s + k - length + 1]) for s, k in zip(starts.tolist(), sizes.tolist(), strict=True)]})
 
     def factored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
