@@ -128,6 +128,20 @@ def _valid(spark, sf):
     return valid.withColumnRenamed("source", "model_name")
 
 
+def _deduplicated(spark, sf):
+    """A stream of the valid messages, every 17th of which comes twice; each leaves one row."""
+    path = B.scratch_dir(spark)
+    _messages(spark, sf).unionAll(_as_json(_copied(spark, sf))).write.text(f"{path}/in")
+    raw = MS.read_message_stream(spark, "text", path=f"{path}/in")
+    valid, _ = MS.split_valid(MS.parse_messages(raw))
+    query = (MS.deduplicated(valid).select("message_id", F.md5("text").alias("digest"))
+             .writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint")
+             .trigger(availableNow=True).start(f"{path}/out"))
+    query.awaitTermination()
+    return spark.read.schema("message_id string, digest string").parquet(f"{path}/out").select(
+        F.col("message_id").cast("long").alias("doc_id"), "digest")
+
+
 def _detect_stream(spark, sf):
     found = D.explode_findings(R.detect_stream(_valid(spark, sf)))
     return found.select(F.col("message_id").cast("long").alias("doc_id"), "check_name",
@@ -429,6 +443,7 @@ QUERIES = {
     "results_round_trip": _round_trip,
     "findings_csv": _csv_export,
     "split_valid": _split,
+    "deduplicated": _deduplicated,
     "detect_stream": _detect_stream,
     "window_summary": _window_summary,
     "stream_window_summary": _stream_window_summary,
@@ -541,6 +556,7 @@ SQL = {
         1e0 AS p_value FROM findings JOIN carrier USING (doc_id)""",
     "split_valid": f"WITH {CARRIER} SELECT doc_id::VARCHAR AS message_id, true AS valid FROM carrier "
                    "UNION ALL SELECT (-1 - doc_id)::VARCHAR, false FROM carrier WHERE doc_id % 17 = 0",
+    "deduplicated": f"WITH {CARRIER} SELECT doc_id, md5(text) AS digest FROM carrier",
     "detect_stream": f"""{_FINDINGS} SELECT doc_id, check_name, severity,
         round(bias_score, 9) AS bias_score, group_name, term, category FROM findings""",
     "window_summary": _summary_sql(),

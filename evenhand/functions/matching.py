@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from evenhand.functions.text import NOT_AFTER_WORD, NOT_BEFORE_WORD, WORD_CHAR
 
-# A list beyond this belongs in a table joined by word (operators.detection.word_mentions),
-# not in an expression that every task carries.
-MAX_TERMS = 5000
+# Longer lists are looked for by an automaton instead of an expression, with the same result.
+EXPRESSION_TERMS = 5000
+# The column of the lexicon rows found in a text (operators.lexicon_tables).
+HITS = "_hits"
 
 _SPECIAL = re.compile(r"([\\.^$|?*+()\[\]{}])")
 
@@ -109,14 +110,46 @@ def _checked(terms) -> list[str]:
     terms = sorted(set(terms))
     if not terms or "" in terms:
         raise ValueError("terms must be a non-empty list of non-empty strings")
-    if len(terms) > MAX_TERMS:
-        raise ValueError(f"{len(terms)} terms; lists over {MAX_TERMS} belong in a joined table")
     return terms
 
 
+def _by_automaton(low: Column, terms: list[str], whole_words: bool) -> Column:
+    from pyspark.sql import SparkSession
+
+    from evenhand.functions.automaton import automaton_terms
+
+    return automaton_terms(SparkSession.active(), low, terms, whole_words)
+
+
+class Listed:
+    """A list of a lexicon table, or one category of it: what a text has of it stands in its hits."""
+
+    def __init__(self, name: str, category: str | None = None) -> None:
+        self.name, self.category = name, category
+
+    def whole(self) -> Listed:
+        return Listed(self.name)
+
+    def hits(self) -> Column:
+        def mine(h: Column) -> Column:
+            listed = h["list"] == self.name
+            return listed if self.category is None else listed & (h["category"] == self.category)
+
+        return F.filter(F.col(HITS), mine)
+
+    def found(self) -> Column:
+        return F.array_distinct(F.transform(self.hits(), lambda h: h["term"]))
+
+    def words(self) -> Column:
+        return F.array_distinct(F.transform(F.filter(self.hits(), lambda h: h["word"]),
+                                            lambda h: h["term"]))
+
+
 def contained_terms(low: Column, terms) -> Column:
     """Distinct terms that occur anywhere in the (lower-cased) text."""
     terms = _checked(terms)
+    if len(terms) > EXPRESSION_TERMS:
+        return _by_automaton(low, terms, False)
     pattern = f"(?=[{_starts(terms)}])(?=({prefix_tree_pattern(terms)}))"
     prefixes = {
         long: short for long in terms
@@ -129,6 +162,8 @@ def contained_terms(low: Column, terms) -> Column:
 def word_terms(low: Column, terms) -> Column:
     """Distinct terms that occur as whole words in the (lower-cased) text."""
     terms = _checked(terms)
+    if len(terms) > EXPRESSION_TERMS:
+        return _by_automaton(low, terms, True)
     pattern = (f"{NOT_AFTER_WORD}(?=[{_starts(terms)}])"
                f"(?=({prefix_tree_pattern(terms)}){NOT_BEFORE_WORD})")
     prefixes = {
@@ -142,10 +177,14 @@ def word_terms(low: Column, terms) -> Column:
 
 def among(found: Column, terms) -> Column:
     """Those of ``terms`` that were found, in the order of ``terms``."""
+    if isinstance(terms, Listed):
+        return terms.found()
     return F.array_intersect(literal_array(terms), found)
 
 
 def any_of(found: Column, terms) -> Column:
+    if isinstance(terms, Listed):
+        return F.size(terms.hits()) > 0
     return F.arrays_overlap(found, literal_array(terms))
 
 
@@ -162,6 +201,6 @@ def first_word_position(low: Column, term: Column) -> Column:
     return F.regexp_instr(low, F.concat(F.lit(NOT_AFTER_WORD), term, F.lit(NOT_BEFORE_WORD)))
 
 
-__all__ = ["MAX_TERMS", "WORD_CHAR", "among", "any_of", "contained_terms", "escape",
+__all__ = ["EXPRESSION_TERMS", "HITS", "Listed", "WORD_CHAR", "among", "any_of", "contained_terms", "escape",
            "first_word_position", "literal_array", "literal_structs", "pattern_of", "prefix_tree_pattern",
            "sql_string", "word_terms"]

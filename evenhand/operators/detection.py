@@ -27,7 +27,10 @@ def _none() -> Column:
     return F.expr(f"CAST(array() AS ARRAY<{schemas.FINDING.simpleString()}>)")
 
 
-def _flat(lists) -> list[str]:
+def _flat(lists) -> list[str] | M.Listed:
+    lists = list(lists)
+    if lists and isinstance(lists[0], M.Listed):
+        return lists[0].whole()
     return [term for terms in lists for term in terms]
 
 
@@ -65,6 +68,8 @@ def _vocabulary(lexicons: Lexicons, checks) -> tuple[list[str], list[str]]:
 
 def matched(df: DataFrame, text_col: str, lexicons: Lexicons, checks) -> DataFrame:
     """Add the lower-cased text and the terms found in it; the base of all checks."""
+    if not isinstance(lexicons, Lexicons):  # a lexicon table
+        return _matched_hits(lexicons.add_hits(df, text_col), text_col)
     anywhere, words = _vocabulary(lexicons, checks)
     out = df.withColumn(LOW, F.lower(F.coalesce(F.col(text_col), F.lit(""))))
     out = out.withColumns({
@@ -76,6 +81,23 @@ def matched(df: DataFrame, text_col: str, lexicons: Lexicons, checks) -> DataFra
     return out
 
 
+def _matched_hits(df: DataFrame, text_col: str) -> DataFrame:
+    """``matched`` for texts with the rows of a lexicon table that they hold."""
+    def terms(hits: Column) -> Column:
+        return F.array_distinct(F.transform(hits, lambda h: h["term"]))
+
+    named = F.filter(F.col(M.HITS), lambda h: h["list"] == "demographic_groups")
+    groups = F.array_distinct(F.transform(F.filter(named, lambda h: h["word"]), lambda h: F.struct(
+        h["category"].alias("group_type"), h["subcategory"].alias("group_name"))))
+    return df.withColumns({
+        LOW: F.lower(F.coalesce(F.col(text_col), F.lit(""))), FOUND: terms(F.col(M.HITS)),
+        WORDS: terms(F.filter(F.col(M.HITS), lambda h: h["word"])),
+        GROUPS: F.transform(groups, lambda g: F.struct(
+            g["group_type"].alias("group_type"), g["group_name"].alias("group_name"),
+            terms(F.filter(named, lambda h: (h["category"] == g["group_type"])
+                           & (h["subcategory"] == g["group_name"]))).alias("terms")))})
+
+
 def _mentioned_groups(lexicons: Lexicons) -> Column:
     """Demographic groups with at least one term in the text as a whole word."""
     every = M.literal_structs(("group_type", "group_name", "terms"), [
@@ -90,6 +112,10 @@ def _mentioned_groups(lexicons: Lexicons) -> Column:
 
 def _tagged(categories: dict[str, list[str]]) -> Column:
     """The terms of a categorised list that were found, with their category."""
+    first = next(iter(categories.values()), None)
+    if isinstance(first, M.Listed):
+        return F.transform(first.whole().hits(), lambda h: F.struct(
+            h["category"].alias("category"), h["term"].alias("term")))
     every = M.literal_structs(("category", "term"), [
         (category, term) for category, terms in categories.items() for term in terms])
     return F.filter(every, lambda t: F.array_contains(F.col(FOUND), t["term"]))
@@ -178,7 +204,9 @@ def exclusion_findings(lexicons: Lexicons, options: DetectOptions) -> Column:
     """Exclusionary wording about a mentioned group, always high; no word boundary unless
     asked for."""
     low = F.col(LOW)
-    anything = _any_template(low, lexicons.exclusion_templates, _group_terms(lexicons))
+    anything = (_any_template(low, lexicons.exclusion_templates, _group_terms(lexicons))
+                if isinstance(lexicons, Lexicons)
+                else _any_template_words(low, lexicons.exclusion_templates))
     templates = M.literal_structs(("shown", "pattern"), [
         (t, _template_pattern(t)) for t in lexicons.exclusion_templates])
 
@@ -224,6 +252,16 @@ def _any_template(low: Column, templates: list[str], terms: list[str]) -> Column
     return reduce(lambda a, b: a | b, others)
 
 
+def _any_template_words(low: Column, templates: list[str]) -> Column:
+    """Whether the text has all plain words of any template; the first look where the terms are a table."""
+    def words(template: str) -> list[str]:
+        parts = re.sub(r"\{group\}|\\s\+", " ", template).split()
+        return [p for p in parts if re.fullmatch("[a-z]+", p)]
+
+    return reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [low.contains(w) for w in words(t)],
+                                              F.lit(True)) for t in templates])
+
+
 def _template_pattern(template: str) -> str:
     return template.replace(r"\s", T.SPACE_CHAR)
 
@@ -251,8 +289,9 @@ def gender_stereotype_findings(lexicons: Lexicons, options: DetectOptions) -> Co
     low = F.col(LOW)
 
     def of_gender(gender: str, terms: list[str]) -> Column:
-        pronouns = F.array_intersect(M.literal_array(lexicons.gender_pronouns[gender]),
-                                     F.col(WORDS))
+        listed = lexicons.gender_pronouns.get(gender, [])
+        pronouns = (listed.words() if isinstance(listed, M.Listed)
+                    else F.array_intersect(M.literal_array(listed), F.col(WORDS)))
 
         def score(term):
             at = F.position(term, low)
@@ -352,8 +391,12 @@ def inclusive_language_findings(lexicons: Lexicons, options: DetectOptions,
     """Non-inclusive terms of the text's language with the suggested alternative."""
     found = []
     for lang, suggestions in lexicons.inclusive_terms.items():
-        pairs = M.literal_structs(("term", "suggestion"), suggestions.items())
-        hits = F.filter(pairs, lambda p: F.array_contains(F.col(FOUND), p["term"]))
+        if isinstance(suggestions, M.Listed):
+            hits = F.transform(suggestions.hits(), lambda h: F.struct(
+                h["term"].alias("term"), h["extra"].alias("suggestion")))
+        else:
+            pairs = M.literal_structs(("term", "suggestion"), suggestions.items())
+            hits = F.filter(pairs, lambda p: F.array_contains(F.col(FOUND), p["term"]))
         found.append(F.when(
             (language == lang) & M.any_of(F.col(FOUND), suggestions),
             F.transform(hits, lambda p: finding(
@@ -460,8 +503,8 @@ def word_mentions(df: DataFrame, lexicon: DataFrame, key: str = "doc_id",
     """Rows of a lexicon table whose single-word ``term`` a text holds as a whole word, each
     once per text.
 
-    For lexicons too long for an expression: distinct words per text joined on the term.
-    No side is forced to be broadcast, since the table may have any size, and only the key
+    For lexicons of single words beyond any broadcast: distinct words per text joined on the term;
+    ``lexicon_tables`` also finds phrases.  No side is forced to be broadcast, since the table may have any size, and only the key
     and the words are shuffled.
     """
     words = F.explode_outer(F.array_distinct(T.words(F.col(text_col))))
