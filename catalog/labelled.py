@@ -55,6 +55,18 @@ def _individual(spark, sf):
         "similar_pairs", "differing_pairs", _r("individual_fairness"))
 
 
+def _individual_banded(spark, sf):
+    """The banded count beside the exact one; ``found`` says that it has at least 0.9 of the pairs."""
+    vectors = B.table(spark, sf, "embeddings")
+    exact = E.individual_fairness(vectors, "embedding", "label", threshold=0.3)
+    banded = E.individual_fairness_banded(vectors, "embedding", "label", threshold=0.3, bits=6)
+    share = F.col("banded") / F.col("similar_pairs")
+    both = exact.select("similar_pairs", F.lit(1).alias("one")).join(
+        banded.select(F.col("similar_pairs").alias("banded"), "expected_recall", F.lit(1).alias("one")), "one")
+    return both.select("similar_pairs", ((share >= 0.9) & (share <= 1)).alias("found"),
+                       (F.col("expected_recall") >= 0.98).alias("expected"))
+
+
 def _individual_texts(spark, sf):
     """Letter counts of every document; y = insult found."""
     low = B.documents(spark, sf).select(F.lower("text").alias("low"))
@@ -120,6 +132,17 @@ def _duplicates(spark, sf):
         "valid_texts", "distinct_texts", _r("duplicate_ratio"))
 
 
+def _sketched(spark, sf):
+    """Distinct texts from stored sketches of each source; ``near`` says that the estimate is within 2 %."""
+    path = B.scratch_dir(spark)
+    Q.text_sketches(B.documents(spark, sf), ("source",)).write.parquet(path)
+    sketched = Q.sketched_duplicate_ratio(spark.read.parquet(path))
+    exact = Q.duplicate_ratio(B.documents(spark, sf)).select("distinct_texts", F.lit(1).alias("one"))
+    both = sketched.select("valid_texts", F.col("distinct_texts").alias("estimate"), F.lit(1).alias("one")).join(exact, "one")
+    return both.select("valid_texts", "distinct_texts", (
+        F.abs(F.col("estimate") / F.col("distinct_texts") - 1) < 0.02).alias("near"))
+
+
 def _characters(spark, sf):
     return Q.character_distribution(B.documents(spark, sf)).select(
         *[_r(c) for c in ("ascii_ratio", "digit_ratio", "punct_ratio", "space_ratio")])
@@ -146,6 +169,7 @@ QUERIES = {
     "equalized_odds_difference": _odds,
     "disparate_impact_ratio": _impact,
     "individual_fairness": _individual,
+    "individual_fairness_banded": _individual_banded,
     "individual_fairness_texts": _individual_texts,
     "mann_whitney": _mann_whitney,
     "mann_whitney_p": _mann_whitney_p,
@@ -155,6 +179,7 @@ QUERIES = {
     "intersectional_means": _cube,
     "validate_texts": _validate_texts,
     "duplicate_ratio": _duplicates,
+    "sketched_duplicate_ratio": _sketched,
     "character_distribution": _characters,
     "validate_runs": _validate_runs,
     "quality_report": _quality_report,
@@ -260,6 +285,9 @@ SQL = {
     "disparate_impact_ratio": f"""WITH {LABELLED}, r AS (SELECT avg(quality) AS rate
         FROM labelled GROUP BY lang) SELECT round(min(rate) / max(rate), 9)
         AS disparate_impact_ratio FROM r""",
+    "individual_fairness_banded": """SELECT count(*) AS similar_pairs, true AS found, true AS expected
+        FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id AND list_cosine_similarity(
+          a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.3e0""",
     "individual_fairness": """WITH p AS (SELECT abs(a.label - b.label) > 0.1 AS differs
         FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id AND list_cosine_similarity(
           a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.3e0)
@@ -310,6 +338,8 @@ SQL = {
         round(avg_length, 9) AS avg_length, min_length, max_length,
         round(duplicate_ratio, 9) AS duplicate_ratio, valid_texts > 0 AS is_valid, '' AS errors,
         {_WARNINGS} AS warnings FROM stats""",
+    "sketched_duplicate_ratio": f"""SELECT count(*) AS valid_texts, count(DISTINCT text) AS distinct_texts,
+        true AS near FROM documents WHERE {_VALID}""",
     "duplicate_ratio": f"""SELECT count(*) AS valid_texts, count(DISTINCT text) AS distinct_texts,
         round(1e0 - count(DISTINCT text) / count(*), 9) AS duplicate_ratio FROM documents
         WHERE {_VALID}""",

@@ -435,7 +435,21 @@ def _recent(spark, sf):
         "model_name", _stamp("ts"), "processed_count", "finding_count")
 
 
+def _stored_summaries(spark, sf):
+    """Summaries appended by a stream to a table of dates; those of 12 hours before a noon, from its dates alone."""
+    path = B.scratch_dir(spark)
+    summaries = _event_summaries(spark, sf).select([f.split()[0] for f in SUMMARIZED.split(", ")])
+    summaries.write.parquet(f"{path}/in")
+    rows = spark.readStream.schema(SUMMARIZED).parquet(f"{path}/in")
+    MS.write_summaries(rows, f"{path}/checkpoint", f"{path}/out", R.micro_batches(drain=True)).awaitTermination()
+    noon = spark.read.parquet(f"{path}/in").agg(
+        (F.date_trunc("day", F.max("ts")) - F.expr("INTERVAL 12 HOURS")).alias("t")).first()[0]
+    return MS.recent_summaries(spark.read.parquet(f"{path}/out"), "12 hours", noon).select(
+        "model_name", _stamp("ts"), "processed_count", "finding_count")
+
+
 QUERIES = {
+    "stored_summaries": _stored_summaries,
     "read_text_lines": _text_lines,
     "read_text_csv": _text_csv,
     "as_texts": _as_texts,
@@ -644,6 +658,9 @@ SQL = {
         {_fmt("time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01')", 'period')},
         count(*) AS errors, CASE WHEN count(*) < 10 THEN 'normal' WHEN count(*) < 50
           THEN 'elevated' ELSE 'high' END AS health FROM ev WHERE biased GROUP BY 1""",
+    "stored_summaries": f"""WITH {EVENTS}, n AS (SELECT date_trunc('day', max(ts)) - INTERVAL 12 HOURS AS noon FROM sm)
+        SELECT model_name, {_fmt('sm.ts', 'ts')}, processed_count, finding_count FROM sm, n
+        WHERE sm.ts > noon - INTERVAL 12 HOURS AND sm.ts <= noon""",
     "recent_summaries": f"""WITH {EVENTS} SELECT model_name, {_fmt('ts')}, processed_count,
         finding_count FROM sm WHERE sm.ts > (SELECT max(ts) FROM sm) - INTERVAL 24 HOURS""",
 }

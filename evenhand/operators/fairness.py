@@ -220,3 +220,114 @@ def _pair_counts(rows: pd.DataFrame, names: list[str], threshold: float,
         similar += int(weight.sum())
         differing += int(weight[np.abs(ya[start + a] - yb[b]) > tolerance].sum())
     return similar, differing
+
+
+# -- individual fairness by bands of projections ------------------------------
+
+
+def bands_for(threshold: float, bits: int, recall: float) -> int:
+    """How many bands of ``bits`` signs a pair at the threshold needs to meet with the chance ``recall``."""
+    agree = (1.0 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    return 1 if agree >= 1.0 else max(1, math.ceil(math.log1p(-recall) / math.log1p(-agree)))
+
+
+def _signatures(bands: int, bits: int, seed: int):
+    def sign(vectors: pd.Series) -> pd.Series:
+        out: list = [None] * len(vectors)
+        sizes = vectors.map(len).to_numpy()
+        for size in np.unique(sizes):
+            planes = np.random.default_rng((seed, int(size))).standard_normal((int(size), bands * bits))
+            at = np.flatnonzero(sizes == size)
+            for k in range(0, len(at), 1024):
+                some = at[k:k + 1024]
+                above = np.stack(vectors.iloc[some].to_numpy()) @ planes > 0
+                codes = above.reshape(len(some), bands, bits) @ (1 << np.arange(bits, dtype=np.int64))
+                for n, row in zip(some.tolist(), codes, strict=True):
+                    out[n] = row
+        return pd.Series(out, dtype=object)
+
+    return F.pandas_udf(sign, "array<long>")
+
+
+def individual_fairness_banded(df: DataFrame, vector: str, y_pred: str, threshold: float = 0.9,
+                               tolerance: float = 0.1, bits: int = 12, recall: float = 0.98,
+                               block_rows: int = BLOCK_ROWS, seed: int = 11) -> DataFrame:
+    """``individual_fairness`` over the similar pairs that meet in a band: a lower count of pairs,
+    each of them checked exactly.
+
+    A band is the signs of ``bits`` random projections; there are as many as a pair at the threshold
+    needs to agree on one with the chance ``recall``, and more similar pairs have a higher one.  That
+    chance is the column ``expected_recall``.  Rows join on (band, signs); a pair counts in the first
+    band that it agrees on, so none counts twice.  A band's rows are dealt by hash into blocks of
+    about ``block_rows``, and each pair of blocks is one matrix product that gives two numbers.  Null
+    and zero vectors and null predictions are left out, copies are one weighted row.
+    """
+    bands = bands_for(threshold, bits, recall)
+    distinct = (df.where(F.col(vector).isNotNull() & F.col(y_pred).isNotNull())
+                .groupBy(F.transform(vector, lambda x: x.cast("double")).alias("v"),
+                         F.col(y_pred).cast("double").alias("y"))
+                .agg(F.count(F.lit(1)).alias("w")))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    placed = distinct.withColumn("norm", norm).where("norm > 0").select(
+        F.transform("v", lambda x: x / F.col("norm")).alias("v"), "y", "w",
+        F.xxhash64("v", "y").alias("h"))
+    signed = placed.withColumn("signs", _signatures(bands, bits, seed)("v"))
+    rows = signed.select("*", F.posexplode("signs").alias("band", "code"))
+    sizes = rows.groupBy("band", "code").agg(
+        F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("parts"),
+        F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    met = rows.join(sizes, ["band", "code"]).withColumn("own", F.pmod("h", "parts").cast("int"))
+    dealt = met.select("v", "y", "w", "h", "signs", "band", "code", "own", F.explode(F.sequence(
+        F.lit(0), F.col("parts") - 1)).alias("other")).withColumns(
+            {"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+
+    def count_pairs(part: pd.DataFrame) -> pd.DataFrame:
+        similar, differing = _banded_counts(part, threshold, tolerance)
+        return pd.DataFrame({"similar": [similar], "differing": [differing]})
+
+    pairs = dealt.groupBy("band", "code", "i", "j").applyInPandas(count_pairs, "similar long, differing long")
+    if threshold <= 1.0:
+        pairs = pairs.unionByName(placed.agg(F.sum(F.expr("w * (w - 1) div 2")).alias("similar")).select(
+            "similar", F.lit(0).cast("long").alias("differing")))
+    total = F.coalesce(F.sum("similar"), F.lit(0))
+    differing = F.coalesce(F.sum("differing"), F.lit(0))
+    agree = (1.0 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    return pairs.agg(
+        total.alias("similar_pairs"), differing.alias("differing_pairs"),
+        F.when(total > 0, F.lit(1.0) - differing / total).otherwise(1.0).alias("individual_fairness"),
+        F.lit(1.0 - (1.0 - agree) ** bands).alias("expected_recall"))
+
+
+def _banded_counts(part: pd.DataFrame, threshold: float, tolerance: float) -> tuple[int, int]:
+    """Weighted numbers of similar and of differing pairs of a band's two blocks that agree on no earlier band."""
+    part = part.reset_index(drop=True)
+    band, i, j = (int(part[c].iloc[0]) for c in ("band", "i", "j"))
+    own = part["own"].to_numpy()
+    left = np.flatnonzero(own == i)
+    right = left if i == j else np.flatnonzero(own == j)
+    if not len(left) or not len(right):
+        return 0, 0
+    v = part["v"].to_numpy()
+    sizes = part["v"].map(len).to_numpy()
+    signs, y, w = np.stack(part["signs"].to_numpy()), part["y"].to_numpy(), part["w"].to_numpy()
+    similar = differing = 0
+    for size in np.unique(sizes[left]):
+        one, two = left[sizes[left] == size], right[sizes[right] == size]
+        if not len(two):
+            continue
+        b = np.stack(v[two])
+        for k in range(0, len(one), 512):
+            some = one[k:k + 512]
+            close = np.stack(v[some]) @ b.T >= threshold
+            if i == j:
+                close &= two[None, :] > some[:, None]
+            x, z = np.nonzero(close)
+            x, z = some[x], two[z]
+            for start in range(0, len(x), 65536):
+                p, q = x[start:start + 65536], z[start:start + 65536]
+                first = ~(signs[p, :band] == signs[q, :band]).any(axis=1)
+                p, q = p[first], q[first]
+                weight = w[p] * w[q]
+                similar += int(weight.sum())
+                differing += int(weight[np.abs(y[p] - y[q]) > tolerance].sum())
+    return similar, differing

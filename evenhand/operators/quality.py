@@ -53,6 +53,36 @@ def _distinct(text_col: str) -> Column:
     return F.count_distinct(F.unhex(F.sha2(F.col(text_col), 256)))
 
 
+# Buckets of a sketch as a power of two: 2 ** 14 give a standard error of about 0.8 %.
+SKETCH_BITS = 14
+
+
+def text_sketches(df: DataFrame, by: tuple = (), text_col: str = "text") -> DataFrame:
+    """Per ``by`` (a run, a day) the number of valid texts and a sketch of the distinct ones, some KB.
+
+    Stored, they let later questions do without the texts: ``sketched_duplicate_ratio`` merges
+    the sketches of any runs.
+    """
+    valid = df.where(is_valid(F.col(text_col)))
+    return valid.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("valid_texts"),
+        F.hll_sketch_agg(F.sha2(F.col(text_col), 256), F.lit(SKETCH_BITS)).alias("sketch"))
+
+
+def sketched_duplicate_ratio(sketches: DataFrame, by: tuple = ()) -> DataFrame:
+    """``duplicate_ratio`` over the texts of all sketches (per ``by``), with an estimated number of distinct texts.
+
+    An estimate above the number of texts counts as that; without texts the ratio is null.
+    """
+    merged = sketches.groupBy(*by).agg(
+        F.coalesce(F.sum("valid_texts"), F.lit(0)).alias("valid_texts"),
+        F.hll_union_agg("sketch").alias("_sketch"))
+    distinct = F.least("valid_texts", F.coalesce(F.hll_sketch_estimate("_sketch"), F.lit(0)))
+    return merged.select(*by, "valid_texts", distinct.alias("distinct_texts")).withColumn(
+        "duplicate_ratio", F.when(F.col("valid_texts") > 0,
+                                  F.lit(1.0) - F.col("distinct_texts") / F.col("valid_texts")))
+
+
 def character_distribution(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Shares of ASCII, digit, punctuation and space characters over all valid texts."""
     return df.where(is_valid(F.col(text_col))).agg(*_shares(F.col(text_col)))

@@ -118,13 +118,27 @@ def write_alerts(alerts: DataFrame, checkpoint: str, fmt: str = "kafka",
             .foreachBatch(send).start())
 
 
+def write_summaries(summaries: DataFrame, checkpoint: str, path: str, trigger: dict | None = None):
+    """Start the query that appends a stream of summaries to a table partitioned by ``date``, that of ``ts``."""
+    dated = summaries.withColumn("date", F.to_date("ts"))
+    return (dated.writeStream.format("parquet").outputMode("append").partitionBy("date")
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "60 seconds"})).start(path))
+
+
 def recent_summaries(summaries: DataFrame, ttl: str = DEFAULT_MONITOR.summary_ttl,
                      as_of=None) -> DataFrame:
     """Summaries of the last ``ttl`` before ``as_of`` (default: the newest summary).
 
-    With a given instant the filter reaches the scan and, on a table partitioned by date,
-    prunes partitions.
+    With a given instant the filter reaches the scan; on a table of ``write_summaries``, which has a
+    ``date``, only the dates of that time are read.
     """
     newest = (F.lit(as_of).cast("timestamp") if as_of is not None
               else summaries.agg(F.max("ts").alias("t")).scalar())
-    return summaries.where(F.col("ts") > newest - F.expr(f"INTERVAL {ttl}"))
+    oldest = newest - F.expr(f"INTERVAL {ttl}")
+    kept = summaries.where(F.col("ts") > oldest)
+    if as_of is not None:
+        kept = kept.where(F.col("ts") <= newest)
+    if "date" in summaries.columns:
+        kept = kept.where(F.col("date").between(F.to_date(oldest), F.to_date(newest)))
+    return kept
