@@ -8,7 +8,6 @@ Where the two best are nearly equal the choice is marked as rejected.
 from __future__ import annotations
 
 import re
-import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,9 +21,7 @@ from evenhand.llm.common import bounded_sample, small_batches
 
 UNDETERMINED = "und"
 PREDICTED = "lang_pred string, score double, margin double, rejected boolean"
-# \W and \d leave other numerals in, such as fractions and circled digits.
-_numerals = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-_gap = re.compile(rf"[\W\d_{_numerals}]+")
+_gap = re.compile(r"[\W\d_]+")
 
 
 @dataclass
@@ -49,6 +46,8 @@ class Settings:
 def letters(text: str) -> str:
     """Lower-case words, one space between and around; empty without a letter."""
     words = _gap.sub(" ", text.lower()).strip()
+    if words and not words.replace(" ", "").isalpha():  # other numerals, such as fractions and circled digits
+        words = " ".join("".join(c if c.isalpha() else " " for c in words).split())
     return f" {words} " if words else ""
 
 
