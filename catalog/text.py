@@ -83,6 +83,7 @@ SPACE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
 
 
 def clean_sql(text: str) -> str:
+    # Fixed value: what counts as a URL.
     out = rf"regexp_replace({text}, 'https?://[a-zA-Z0-9$-_@.&+!*\\(),]+', '[URL]', 'g')"
     out = f"trim(regexp_replace({out}, '{SPACE}+', ' ', 'g'), ' ')"
     return rf"regexp_replace({out}, '[\x00-\x08\x0b\x0c\x0e-\x1f]', '', 'g')"

@@ -57,6 +57,9 @@ def rank_sum_p(n1: int, n2: int, u: float, ties: float, method: str = "asymptoti
     if method == "exact":
         if ties:
             raise ValueError("the exact distribution is that of values without ties")
+        if n1 * n2 > EXACT_VALUES:
+            raise ValueError(f"{n1} x {n2} rows: the exact distribution is counted out up to {EXACT_VALUES} "
+                             "values of U; take the asymptotic one for more")
         counts = _u_counts(n1, n2)
         tail = sum(counts[int(math.ceil(u)):])
         return min(1.0, 2.0 * tail / sum(counts))
@@ -68,6 +71,10 @@ def rank_sum_p(n1: int, n2: int, u: float, ties: float, method: str = "asymptoti
     return min(1.0, math.erfc(z / math.sqrt(2.0)))
 
 
+# Values of U that are counted out, one number each; beyond, the tail is that of the normal distribution.
+EXACT_VALUES = 1_000_000
+
+
 def _u_counts(m: int, n: int) -> list[int]:
     """How many orderings give each value of U: the coefficients of the Gaussian binomial
     [m+n choose m], built factor by factor as (1 - q^(n+i)) / (1 - q^i)."""

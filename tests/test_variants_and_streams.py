@@ -73,6 +73,19 @@ def test_equal_texts_have_keys_of_their_own(texts, tmp_path, spark):
     assert RS.flat_findings(run.findings, kept).count() == n
 
 
+def test_rows_of_long_texts_hold_descriptions(texts):
+    """All variants of a text of 1 MB with 200 names: 1.6 GB, one variant at a time."""
+    words = [f"Na{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(200)]
+    df = texts(" ".join(words) + " und so weiter" * 72_000)
+    size = df.select(F.length("text")).first()[0]
+    for variants_ in (X.substitutions(df, ("name",)), X.counterfactuals(df, methods=("name",))):
+        row = variants_.agg(F.count(F.lit(1)), F.max(F.length("variant")), F.count_if(F.col("variant").contains("Naaa"))).first()
+        assert row[0] > 1500 and size - 10 < row[1] < size + 20 and row[2] >= row[0] - 8
+    described = X._distinct(df.withColumn("text", F.substring("text", 1, 2000)), None, "text", "doc_id", X.hash_pick, ("name",))
+    assert described.select(F.size("_kept")).first()[0] > 1500
+    assert described.select(F.max(F.length(F.to_json("_kept")))).first()[0] < 300 * 1600
+
+
 def test_differences(texts):
     rows = X.counterfactual_differences(texts("He is lazy and strong"), methods=("gender",))
     row = rows.first()
