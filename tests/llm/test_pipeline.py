@@ -1,4 +1,5 @@
 import hashlib
+from collections import Counter
 
 import pytest
 
@@ -89,10 +90,23 @@ def test_run(spark, stages):
 def test_odd_documents(spark, tmp_path):
     docs = table(spark, SF, "documents")
     odd = spark.createDataFrame([(None, None, None, None, None), (900_001, "", "en", "s", 0), (900_001, "", "en", "s", 0), (900_002, "word " * 50_000, None, None, 250_000)], docs.schema)
-    rows = docs.limit(20).union(odd)
-    for _, stage in P.STAGES:
+    rows, before = docs.limit(20).union(odd), None
+    for name, stage in P.STAGES:
         rows = P.stored(stage(spark, rows, SF))
-    assert rows.count() > 0
+        now = [r.asDict() for r in rows.collect()]
+        assert {"doc_id", "text", "lang", "source", "n_chars"} <= set(rows.columns)
+        if before is not None:  # nothing appears, and what stays keeps its columns
+            known = Counter((r["doc_id"], r["lang"], r["source"]) for r in before)
+            assert not Counter((r["doc_id"], r["lang"], r["source"]) for r in now) - known, name
+        if name == "simhash_near_dedup":
+            assert sum(not (r["text"] or "").split() for r in now) <= 1  # null and empty texts are one group
+            assert len({r["doc_id"] for r in now}) == len(now)
+        if name == "sentencepiece":
+            texts_before = {r["doc_id"]: r["text"] for r in before}
+            assert all(r["text"] == texts_before[r["doc_id"]] for r in now)
+            assert all((r["pieces"] is None) == (r["text"] is None) for r in now)
+        before = now
+    assert len(before) > 5
     empty = docs.filter("false")
     for _, stage in P.STAGES:
         empty = stage(spark, empty, SF)
