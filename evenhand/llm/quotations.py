@@ -147,15 +147,18 @@ def linked(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str =
     rows = df.select(F.col(conv).alias("conv"), F.col(turn).cast("long").alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
     rows = rows.withColumns({"id": F.xxhash64("role", "text"), "lines": lines_of(F.col("text"))})
     quotes = F.filter("lines", lambda x: (x["level"] > 0) & (normalised(x["body"]) != ""))
-    known = rows.filter("conv IS NOT NULL AND turn IS NOT NULL").withColumn("passages", passages_of(F.col("lines")))
-    asking = known.select("conv", "turn", "id", F.posexplode(F.filter("passages", lambda p: p["level"] > 0)).alias("passage", "p"))
+    known = rows.filter("conv IS NOT NULL AND turn IS NOT NULL")
+    # only texts with a mark are cut into passages, and below only conversations that quote
+    marked = known.filter(F.col("text").contains(">")).withColumn("passages", passages_of(F.col("lines")))
+    asking = marked.select("conv", "turn", "id", F.posexplode(F.filter("passages", lambda p: p["level"] > 0)).alias("passage", "p"))
     # a repeated row's passages count once
     asking = asking.withColumns({"level": F.col("p.level"), "n": F.size("p.words")}).dropDuplicates(["conv", "turn", "id", "passage"])
     quoted = asking.select("conv", "turn", "id", "passage", "level", F.inline(_quoted_windows(F.col("p"))))
     # the lengths of windows that a conversation's quotes need: at most WINDOW - LEAST + 2
     length = F.when(F.col("n") < LEAST, 0).otherwise(F.least("n", F.lit(WINDOW)))
     needed = asking.groupBy("conv").agg(F.collect_set(length).alias("lengths"))
-    saying = known.join(needed, "conv").select("conv", "turn", "lengths", F.filter("passages", lambda p: p["level"] == 0).alias("own"), F.filter("lines", lambda x: x["level"] == 0).alias("own_lines"))
+    saying = known.select("conv", "turn", "text").join(needed, "conv").withColumn("lines", lines_of(F.col("text")))
+    saying = saying.withColumn("passages", passages_of(F.col("lines"))).select("conv", "turn", "lengths", F.filter("passages", lambda p: p["level"] == 0).alias("own"), F.filter("lines", lambda x: x["level"] == 0).alias("own_lines"))
     short = F.transform(F.concat(F.transform("own_lines", lambda x: normalised(x["body"])), F.transform("own", lambda p: F.array_join(p["words"], " "))), lambda t: F.struct(*_hashed(F.lit(0), t)))
     said = F.flatten(F.transform("lengths", lambda n: F.when(n == 0, short).otherwise(F.flatten(F.transform("own", lambda p: _windows(p["words"], n))))))
     own = saying.select("conv", "turn", F.inline(said))
@@ -169,7 +172,7 @@ def linked(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str =
     named = named.select(F.col("conv").alias("_c"), F.col("turn").alias("_t"), F.col("id").alias("_i"), F.col("original").alias("reply_to"), "thread", "depth", "n_linked")
     rows = rows.join(named, (F.col("conv") == F.col("_c")) & (F.col("turn") == F.col("_t")) & (F.col("id") == F.col("_i")), "left")
     rows = rows.select(
-        "conv", "turn", "id", "role", own_text(F.col("text"), F.col("lines")).alias("text"), F.size(quotes).cast("long").alias("n_quoted"), F.size(F.filter(passages_of(F.col("lines")), lambda p: p["level"] > 0)).cast("long").alias("n_passages"),
+        "conv", "turn", "id", "role", own_text(F.col("text"), F.col("lines")).alias("text"), F.size(quotes).cast("long").alias("n_quoted"), F.when(F.col("text").contains(">"), F.size(F.filter(passages_of(F.col("lines")), lambda p: p["level"] > 0))).otherwise(0).cast("long").alias("n_passages"),
         F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), F.coalesce(F.array_max(F.transform("lines", lambda x: x["level"])), F.lit(0)).alias("deepest"),
         "reply_to", F.coalesce("thread", "turn").alias("thread"), F.coalesce("depth", F.lit(0)).cast("long").alias("depth"))
     rows = _positions(rows).withColumn("chat", F.to_json(F.struct("role", F.col("text").alias("content")), {"ignoreNullFields": "false"}))
