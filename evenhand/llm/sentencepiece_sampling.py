@@ -6,8 +6,10 @@ the end, each in proportion to the ways that reach it. Draws are hashes of the r
 their place, so a key gives the same segmentation on any executor and any number of times.
 
 No piece has white space inside, so the lattice falls apart at spaces and a word's lattice is
-filtered once for all its occurrences. Tasks draw for all words of a batch of texts at once:
-a table of cumulative edge weights per place, a sorted search for each draw.
+filtered once for all its occurrences. It also falls apart at places that no piece crosses, as
+texts without spaces have many: long words are filtered and drawn in parts between such places.
+Tasks work on all parts of a batch of texts at once: a table of cumulative edge weights per
+place, a sorted search for each draw.
 
 Decoding is lossless: characters that no piece has are byte pieces, and so is the mark that
 stands for a space where the text itself has it.
@@ -29,6 +31,7 @@ from evenhand.llm.common import small_batches
 MARK = "▁"  # stands for a space in pieces
 BYTE_COST = 2.0  # how much less likely a byte piece is than the rarest piece, as a natural logarithm
 CHUNK = 1 << 15  # words drawn at once
+PART = 32  # characters after which a part of a word ends where it can
 CACHED = 40_000  # words whose lattices a task keeps
 
 
@@ -81,7 +84,9 @@ class Lattices:
 
     Place k of word w is node `base[w] + k`; `first[node]` is the first edge that ends there,
     `share` an edge's cumulative weight among those, `back` the node where it begins and
-    `piece` its id (from the vocabulary's size on: a number in `spelled`, byte ids).
+    `piece` its id (from the vocabulary's size on: a number in `spelled`, byte ids). A word has
+    `many[w]` parts from `part[w]` on; a part reaches from node `low` to node `high`, and all
+    ways through the word meet in both.
     """
 
     def __init__(self, vocabulary: Vocabulary, alpha: float):
@@ -92,7 +97,7 @@ class Lattices:
         self.words: dict[str, int] = {}
         self.spelled: list[tuple[int, ...]] = []
         self.spelling: dict[int, int] = {}
-        self.base, self.first, self.back, self.piece = (np.zeros(0, np.int32) for _ in range(4))
+        self.base, self.first, self.back, self.piece, self.part, self.many, self.low, self.high = (np.zeros(0, np.int32) for _ in range(8))
         self.share = np.zeros(0)
 
     def add(self, words: list[str]) -> None:
@@ -134,33 +139,59 @@ class Lattices:
         back, end = np.concatenate([*backs, left]), np.concatenate([*ends, left + 1])
         piece = np.concatenate([*pieces, spelling + len(v.pieces)])
         n_nodes = len(chars) + len(words)
-        place = end - np.repeat(base, lengths + 1)[end]
+        cut = self._cuts(back, end, base, lengths)
+        low = np.flatnonzero(cut)
+        place = end - low[np.cumsum(cut)[end - 1] - 1]
         order = np.argsort(place * n_nodes + end, kind="stable")
         back, end, piece, weight, place = (x[order] for x in (back, end, piece, weight, place))
-        ways, share, first = np.zeros(n_nodes), np.zeros(len(end)), np.zeros(n_nodes, np.int64)
+        ways, share, first = np.zeros(n_nodes + 1), np.zeros(len(end)), np.zeros(n_nodes, np.int64)
         heads = np.flatnonzero(np.diff(end, prepend=-1))
         first[end[heads]] = heads
+        into = np.where(cut, n_nodes, np.arange(n_nodes))[end[heads]]  # parts begin with one way, whatever came before
         counts = np.diff(np.append(heads, len(end)))
         borders = np.append(np.flatnonzero(np.diff(place[heads], prepend=-1)), len(heads))
-        for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):  # nodes at one place of their words
-            low, high = heads[a], heads[b] if b < len(heads) else len(end)
-            starts, many = heads[a:b] - low, counts[a:b]
-            logs = ways[back[low:high]] + weight[low:high]
+        for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):  # nodes at one place of their parts
+            left, right = heads[a], heads[b] if b < len(heads) else len(end)
+            starts, many = heads[a:b] - left, counts[a:b]
+            logs = ways[back[left:right]] + weight[left:right]
             top = np.maximum.reduceat(logs, starts)
             sums = np.exp(logs - np.repeat(top, many))
-            for k in range(1, int(many.max())):  # a node at a time, so that no other word changes a last digit
+            for k in range(1, int(many.max())):  # a node at a time, so that no other part changes a last digit
                 at = starts[many > k] + k
                 sums[at] += sums[at - 1]
             total = sums[starts + many - 1]
-            share[low:high] = sums / np.repeat(total, many)
-            ways[end[heads[a:b]]] = top + np.log(total)
+            share[left:right] = sums / np.repeat(total, many)
+            ways[into[a:b]] = top + np.log(total)
         share[heads + counts - 1] = 1.0
         self.words.update(zip(words, range(len(self.words), len(self.words) + len(words)), strict=True))
         longer = lambda old, new: np.concatenate((old, new.astype(old.dtype)))
         self.first, self.back, self.base = longer(self.first, first + size), longer(self.back, back + old), longer(self.base, base + old)
         self.piece, self.share = longer(self.piece, piece), longer(self.share, share)
-
-    def draw(self, words: list[str], lengths: np.ndarray, places: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        part = np.searchsorted(low, base)  # a word's first part begins with it, its last ends with it
+        many = np.diff(np.append(part, len(low)))
+        high = np.append(low[1:], 0)
+        high[part + many - 1] = base + lengths
+        self.part, self.many = longer(self.part, part + len(self.low)), longer(self.many, many)
+        self.low, self.high = longer(self.low, low + old), longer(self.high, high + old)
+
+    @staticmethod
+    def _cuts(back: np.ndarray, end: np.ndarray, base: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Which nodes begin a part: the words' first, and in each PART characters the first that no edge crosses, if any."""
+        n_nodes = int(base[-1] + lengths[-1] + 1)
+        crossed = np.cumsum(np.bincount(back + 1, minlength=n_nodes + 1)[:n_nodes] - np.bincount(end, minlength=n_nodes + 1)[:n_nodes]) > 0
+        cut = np.zeros(n_nodes, bool)
+        cut[base] = True
+        long_ = np.flatnonzero(lengths > PART)
+        if len(long_):
+            size = lengths[long_] - PART  # places from PART on, but the last
+            at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + PART
+            node = np.repeat(base[long_], size) + at
+            free = ~crossed[node]
+            node, block = node[free], np.repeat(long_, size)[free] << 40 | at[free] // PART
+            cut[node[np.diff(block, prepend=-1) != 0]] = True
+        return cut
+
+    def draw(self, words: list[str], places: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all words one after another, and how many each has; places: where the words start in their texts."""
         new = [w for w in dict.fromkeys(words) if w not in self.words]
         if new and len(self.words) + len(new) > CACHED:
@@ -168,13 +199,16 @@ class Lattices:
             new = list(dict.fromkeys(words))
         if new:
             self.add(new)
-        get = self.words.__getitem__
-        base = self.base[np.fromiter(map(get, words), np.int64, len(words))].astype(np.int64)
-        node, who = base + lengths + 1, np.arange(len(words))
+        word = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        many = self.many[word].astype(np.int64)
+        heads = np.cumsum(many) - many
+        part = np.repeat(self.part[word] - heads, many) + np.arange(int(many.sum()))
+        low, node, who = self.low[part], self.high[part].astype(np.int64), np.arange(len(part))
+        shift, keys = np.repeat(places - self.base[word], many), np.repeat(keys, many)
         drawn: list[tuple[np.ndarray, np.ndarray]] = []
-        counts = np.zeros(len(words), np.int64)
+        counts = np.zeros(len(part), np.int64)
         while len(who):
-            u = uniform(keys[who], places[who] + node - base[who])
+            u = uniform(keys[who], shift[who] + node)
             edge = self.first[node].astype(np.int64)
             late = np.flatnonzero(self.share[edge] <= u)
             while len(late):
@@ -183,7 +217,7 @@ class Lattices:
             drawn.append((who, self.piece[edge]))
             counts[who] += 1
             node = self.back[edge].astype(np.int64)
-            on = node != base[who]
+            on = node != low[who]
             node, who = node[on], who[on]
         out, last = np.zeros(int(counts.sum()), np.int64), np.cumsum(counts) - 1
         for step, (who, piece) in enumerate(drawn):  # drawn from the end
@@ -199,7 +233,7 @@ class Lattices:
             for k in odd.tolist():
                 spread[starts[k] : starts[k] + times[k]] = self.spelled[out[k] - size]
             out = spread
-        return out, counts
+        return out, np.add.reduceat(counts, heads)
 
 
 def uniform(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -225,7 +259,7 @@ def sample(lattices: Lattices, keys: list[int], texts: list[str | None]) -> list
         start = np.cumsum(lengths + 1) - lengths - 1
         place = start - np.repeat(start[np.cumsum(n) - n], n)
         key = np.repeat(np.array([keys[r] for r, _ in rows], np.int64).view(np.uint64), n)
-        pieces, counts = lattices.draw(words, lengths, place, key)
+        pieces, counts = lattices.draw(words, place, key)
         ends = np.cumsum(counts)[np.cumsum(n) - 1]
         for (r, _), part in zip(rows, np.split(pieces, ends[:-1]), strict=True):
             out[r] = part.astype(np.int32)

@@ -1,4 +1,6 @@
 import math
+import random
+import time
 from collections import Counter
 
 import pytest
@@ -58,3 +60,49 @@ def test_cache_does_not_change_draws(vocabulary, monkeypatch):
     monkeypatch.setattr(S, "CACHED", 50)
     monkeypatch.setattr(S, "CHUNK", 100)
     assert [x.tolist() for x in S.sample(S.Lattices(vocabulary, 1.0), keys, texts)] == want
+
+
+def whole_word_draws(vocabulary, key, word):
+    """Ids of one word, its whole lattice filtered from its start and sampled place by place."""
+    v, text = vocabulary, S.MARK + word
+    ids = {p: k for k, p in enumerate(v.pieces) if k > 258 and S.MARK not in p[1:]}
+    longest, ways, edges = max(map(len, ids)), [0.0], [[]]
+    for end in range(1, len(text) + 1):
+        found = []
+        for back in reversed(range(max(0, end - longest), end)):  # edges are drawn from the shortest on
+            part = text[back:end]
+            if part in ids and (back == 0 or S.MARK not in part):
+                found.append((back, (ids[part],), ways[back] + v.logs[ids[part]]))
+        last = text[end - 1]
+        if last not in ids or (end > 1 and last == S.MARK):
+            spelled = tuple(v.bytes[b] for b in last.encode())
+            found.append((end - 1, spelled, ways[end - 1] + len(spelled) * v.logs[v.bytes[0]]))
+        top = max(w for _, _, w in found)
+        ways.append(top + math.log(sum(math.exp(w - top) for _, _, w in found)))
+        edges.append(found)
+    out, at = [], len(text)
+    while at:
+        u = float(S.uniform(S.np.array([key], S.np.uint64), S.np.array([at]))[0])
+        total = 0.0
+        for back, piece, weight in edges[at]:
+            total += math.exp(weight - ways[at])
+            if total > u:
+                break
+        out[:0], at = piece, back
+    return out
+
+
+@pytest.mark.parametrize("letters", ["的一是不了人我在有他", "abcdefgh", "ab的一▁", "x", "日本語ünï🎉"])
+def test_parts_draw_what_the_whole_lattice_draws(vocabulary, letters):
+    r = random.Random(letters)
+    words = ["".join(r.choice(letters) for _ in range(n)) for n in (0, 1, 31, 32, 33, 63, 64, 65, 100, 333)]
+    got = S.sample(S.Lattices(vocabulary, 1.0), list(range(len(words))), words)
+    assert [x.tolist() for x in got] == [whole_word_draws(vocabulary, k, w) for k, w in enumerate(words)]
+
+
+def test_texts_without_spaces_take_few_steps(vocabulary):
+    text = "".join(random.Random(0).choices("的一是不了人我在有他这为之大来以个中上们", k=200_000))
+    lattices, start = S.Lattices(vocabulary, 1.0), time.perf_counter()
+    (ids,) = S.sample(lattices, [1], [text])
+    assert time.perf_counter() - start < 5 and S.decode(vocabulary, ids, S.piece_bytes(vocabulary)) == text
+    assert int((lattices.high - lattices.low).max()) < 3 * S.PART
