@@ -95,6 +95,30 @@ def test_differences(texts):
     assert none["average_bias_change"] == 0.0 and none["significant_changes"] == 0
 
 
+def test_renamed_variants_are_scored_around_their_places():
+    """Against the built variant, with words that cross replaced places, overlap them or lie between them."""
+    parts = ["We", "we", "ak", "Ak", " lazy", "La", "zy", "strong", "St", "emotional" * 2, " x" * 12, "\u0130", "capable"]
+    cases = [(a + b + c + d, w, to) for a in parts for b in parts for c in ("La", "zy weak ", "" ) for d in parts[:5]
+             for w in ("We", "La", "St") for to in ("Lazyla", "weAk", "")]
+    for text, word, to in cases:
+        assert X._Renamed(text).score(word, to) == X._text_score(text.replace(word, to)), (text, word, to)
+
+
+def test_equal_variants_of_any_method_are_one(texts):
+    """A template's sentence and a renamed text may be the same."""
+    text = "The male person is lazy."
+    rows = X.counterfactuals(texts(text, "Lazy Lazy", None)).collect()
+    assert text not in [r["variant"] for r in rows if r["doc_id"] == 0]
+    assert not [r for r in rows if r["doc_id"] == 2]
+    for key in (0, 1):
+        mine = [r for r in rows if r["doc_id"] == key]
+        assert len({r["variant"] for r in mine}) == len(mine)
+        assert [r["variant_rank"] for r in sorted(mine, key=lambda r: r["variant_rank"])] == list(range(1, len(mine) + 1))
+    plain = {"We", "He"}
+    found = texts("We7 _We AWe We-He Wé He").select(X._name_words(F.col("text")).alias("w")).first()["w"]
+    assert set(found) == plain
+
+
 def test_run_object(texts):
     df = texts("The man is lazy", "women cannot drive", "fine words only")
     run = detect(df, persist=False)
