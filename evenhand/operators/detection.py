@@ -145,6 +145,11 @@ def _each(items: Column, build) -> Column:
     return F.flatten(F.transform(items, build))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once."""
+    return F.transform(F.array(value), body)[0]
+
+
 # -- demographic ------------------------------------------------------------
 
 
@@ -164,12 +169,13 @@ def occupation_findings(lexicons: Lexicons, options: DetectOptions) -> Column:
         base = F.lit(0.3) + F.when(repeats, 0.4).otherwise(0.0)
         return F.least(base + limiting, F.lit(1.0))
 
-    found = _each(F.col(GROUPS), lambda g: F.transform(
-        _tagged(lexicons.occupations),
+    # The terms that were found are looked up once, not for every group.
+    found = _let(_tagged(lexicons.occupations), lambda tagged: _each(F.col(GROUPS), lambda g: F.transform(
+        tagged,
         lambda o: finding("occupation", "demographic", score(g, o),
                           F.array(g["group_name"], o["term"]),
                           group_type=g["group_type"], group_name=g["group_name"],
-                          category=o["category"], term=o["term"])))
+                          category=o["category"], term=o["term"]))))
     return _above(_if_groups(found, _flat(lexicons.occupations.values())), options.threshold)
 
 
@@ -177,22 +183,25 @@ def trait_findings(lexicons: Lexicons, options: DetectOptions) -> Column:
     """A trait in a text that mentions a group, scored by how near the two first occur."""
     low = F.col(LOW)
 
-    def score(group, item):
-        at = F.position(item["term"], low)
-        nearest = F.array_min(F.transform(
-            F.array_intersect(group["terms"], F.col(FOUND)),
-            lambda term: F.abs(F.position(term, low) - at)))
+    def score(places, item):
+        nearest = F.array_min(F.transform(places, lambda place: F.abs(place - item["at"])))
         near = F.when(nearest <= 50, 0.6).when(nearest <= 100, 0.4).otherwise(0.2)
         return F.least(
             near + F.when(item["category"] == "negative_traits", 0.3).otherwise(0.0),
             F.lit(1.0))
 
-    # The score is computed once per (group, trait) and then named.
-    scored = _each(F.col(GROUPS), lambda g: F.transform(
-        _tagged(lexicons.traits),
-        lambda t: F.struct(g["group_type"].alias("group_type"), g["group_name"].alias("group_name"),
-                           t["category"].alias("category"), t["term"].alias("term"),
-                           score(g, t).alias("score"))))
+    # Each trait is placed once, each group's terms once; the score is computed once per (group, trait).
+    placed = F.transform(_tagged(lexicons.traits), lambda t: F.struct(
+        t["category"].alias("category"), t["term"].alias("term"), F.position(t["term"], low).alias("at")))
+
+    def of_group(group, traits):
+        places = F.transform(F.array_intersect(group["terms"], F.col(FOUND)),
+                             lambda term: F.position(term, low))
+        return _let(places, lambda at: F.transform(traits, lambda t: F.struct(
+            group["group_type"].alias("group_type"), group["group_name"].alias("group_name"),
+            t["category"].alias("category"), t["term"].alias("term"), score(at, t).alias("score"))))
+
+    scored = _let(placed, lambda traits: _each(F.col(GROUPS), lambda g: of_group(g, traits)))
     found = F.transform(scored, lambda s: finding(
         "trait", "demographic", s["score"], F.array(s["group_name"], s["term"]),
         group_type=s["group_type"], group_name=s["group_name"],

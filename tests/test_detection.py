@@ -1,5 +1,6 @@
 import pytest
 from conftest import plan
+from pyspark.sql import functions as F
 
 from evenhand.operators import detection as D
 from evenhand.options import DetectOptions
@@ -122,3 +123,13 @@ def test_lexicon_table_join(spark, texts):
     got = {(r["doc_id"], r["term"]) for r in D.word_mentions(
         texts("The man, the MAN he", "theatre", "", None), lexicon).collect()}
     assert got == {(0, "man"), (0, "he")}
+
+
+def test_words_are_looked_for_by_their_first_character(texts):
+    """Before the look behind it, and with the same words."""
+    from evenhand.functions import matching as M
+
+    df = texts("he said: the he-man, _he, ahe, he").select(M.word_terms(F.col("text"), ["he", "he-man", "man"]).alias("w"))
+    assert sorted(df.first()["w"]) == ["he", "he-man", "man"]
+    assert "(?=[hm])(?<!" in plan(df)
+    assert texts("_he ahe he7").select(M.word_terms(F.col("text"), ["he"]).alias("w")).first()["w"] == []
