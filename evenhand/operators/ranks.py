@@ -24,17 +24,19 @@ def rank_sums(df: DataFrame, group: str, score: str, by: tuple = (),
     return _rank_sums(score_counts(df, group, score, by), group, score, by, ranges)
 
 
-def score_counts(df: DataFrame, group: str, score: str, by: tuple = ()) -> DataFrame:
-    """Rows per distinct score of a group; everything else works on this table."""
+def score_counts(df: DataFrame, group: str, score: str, by: tuple = (), rows: str | None = None) -> DataFrame:
+    """Rows per distinct score of a group; everything else works on this table.  ``rows`` names how many rows a
+    row stands for."""
     return (df.where(F.col(score).isNotNull() & F.col(group).isNotNull())
-            .groupBy(*by, group, score).agg(F.count(F.lit(1)).alias("_n")))
+            .groupBy(*by, group, score).agg(F.sum(F.col(rows) if rows else F.lit(1)).alias("_n")))
 
 
 def _rank_sums(counts: DataFrame, group: str, score: str, by: tuple,
                ranges: int | None = None) -> DataFrame:
     ranges = _ranges(counts, ranges)
+    # The count is looked at, or it would be left out below the shared aggregate, which would then run twice.
     cuts = counts.agg(F.percentile_approx(
-        score, [i / ranges for i in range(1, ranges)], F.lit(ranges * 40)).alias("c")).scalar()
+        F.when(F.col("_n") > 0, F.col(score)), [i / ranges for i in range(1, ranges)], F.lit(ranges * 40)).alias("c")).scalar()
     # Never null, or the joins below would push "is not null" under the shared aggregate.
     ranged = counts.withColumn("_cuts", cuts).withColumn("_range", F.coalesce(
         F.size(F.filter("_cuts", lambda c: c < F.col(score))), F.lit(0))).drop("_cuts")
@@ -60,13 +62,13 @@ def _rank_sums(counts: DataFrame, group: str, score: str, by: tuple,
 
 
 def kruskal_wallis(df: DataFrame, group: str, score: str, by: tuple = (),
-                   min_group_size: int = 1, alpha: float = 0.05) -> DataFrame:
+                   min_group_size: int = 1, alpha: float = 0.05, rows: str | None = None) -> DataFrame:
     """H with tie correction and its p per ``by``, over the groups with enough rows.
 
     One row per ``by`` with at least two such groups; identical scores give a null H and
     are not significant.
     """
-    counts = score_counts(df, group, score, by)
+    counts = score_counts(df, group, score, by, rows)
     big = (counts.groupBy(*by, group).agg(F.sum("_n").alias("_rows"))
            .where(F.col("_rows") >= min_group_size).drop("_rows"))
     # An inner join on the unique group keys: a semi join would be pushed below the
