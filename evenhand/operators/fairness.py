@@ -12,9 +12,13 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evenhand.operators.shared import settled
+
 
 def demographic_parity_difference(df: DataFrame, y_pred: str, sensitive: str) -> DataFrame:
     """Highest less lowest mean prediction over the groups; 0 with fewer than two."""
@@ -100,8 +104,11 @@ def intersectional_means(df: DataFrame, dims: list[str], score: str) -> DataFram
 
 # -- individual fairness ----------------------------------------------------
 
-# Vectors per block; two blocks and their product are what one task holds.
-BLOCK_ROWS = 2048
+# Vectors and bytes of vectors per block; a task holds two blocks and one tile of their product.  Each row is sent once
+# per pair of blocks, so larger blocks mean fewer copies.
+BLOCK_ROWS = 32768
+BLOCK_BYTES = 16_000_000
+TILE_ROWS, TILE_COLUMNS = 512, 4096
 DIRECTIONS = 2
 
 
@@ -128,54 +135,26 @@ def individual_fairness(df: DataFrame, vector: str, y_pred: str, threshold: floa
       copies of one vector cost one comparison.
     * Unit vectors with cosine >= c lie within sqrt(2 - 2c) of each other, so their
       components along any fixed direction differ by no more.  Cells of that width along
-      two directions form a grid; a row stands in its own cell and is sent as a guest to its
-      own and the neighbouring cells that come before it, and so meets every similar row in
-      one cell only.
-    * Rows and guests of a cell are dealt by hash into blocks of at most about
-      ``block_rows``; each pair of blocks is one matrix product in one task.  Where nearly
-      all rows are similar the work stays quadratic, but it is spread.
+      two directions form a grid; a cell is compared with itself and with the neighbouring
+      cells on one side, so every similar pair meets once.
+    * Rows of a cell are dealt by hash into blocks of at most about ``block_rows``; each pair of
+      blocks that meet is worked off in one task, tile by tile, and a pair of a cell's own blocks once.
+      Where nearly all rows are similar the work stays quadratic, but it is spread.
     """
     distinct = (df.where(F.col(vector).isNotNull() & F.col(y_pred).isNotNull())
                 .groupBy(F.transform(vector, lambda x: x.cast("double")).alias("v"),
                          F.col(y_pred).cast("double").alias("y"))
                 .agg(F.count(F.lit(1)).alias("w")))
+    distinct = settled(distinct)
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     reach = math.sqrt(max(0.0, 2.0 - 2.0 * threshold)) + 1e-9
     cells = [F.floor(_along(F.col("v"), n) / F.col("norm") / F.lit(reach)).alias(f"c{n}")
              for n in range(DIRECTIONS)]
     names = [f"c{n}" for n in range(DIRECTIONS)]
     placed = distinct.withColumn("norm", norm).where("norm > 0").select(
-        "v", "y", "w", F.xxhash64("v", "y").alias("h"), *cells)
-
+        F.transform("v", lambda x: x / F.col("norm")).alias("v"), "y", "w", F.xxhash64("v", "y").alias("h"), *cells)
     steps = [s for s in itertools.product((-1, 0, 1), repeat=DIRECTIONS) if s <= (0,) * DIRECTIONS]
-    nearby = F.array(*[F.struct(*[(F.col(c) + F.lit(d)).alias(c)
-                                  for c, d in zip(names, step, strict=True)]) for step in steps])
-    own = placed.select(*names, "v", "y", "w", "h", F.lit(True).alias("home"))
-    guests = placed.select(F.inline(nearby), "v", "y", "w", "h", F.lit(False).alias("home"),
-                           *[F.col(c).alias(f"from_{c}") for c in names])
-    own = own.select("*", *[F.col(c).alias(f"from_{c}") for c in names])
-
-    def blocks(side: DataFrame, name: str) -> DataFrame:
-        return side.groupBy(*names).agg(
-            F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
-
-    sizes = blocks(own, "rows").join(blocks(guests, "visits"), names)
-
-    def dealt(side: DataFrame, mine: str, other: str, me: str, you: str) -> DataFrame:
-        met = side.join(sizes, names)
-        block = F.pmod("h", F.col(mine)).cast("int").alias(me)
-        return met.select(*names, "v", "y", "w", "h", "home", *[f"from_{c}" for c in names], block,
-                          F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(you))
-
-    members = dealt(own, "rows", "visits", "i", "j").unionByName(
-        dealt(guests, "visits", "rows", "j", "i"))
-
-    def count_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-        similar, differing = _pair_counts(rows, names, threshold, tolerance)
-        return pd.DataFrame({"similar": [similar], "differing": [differing]})
-
-    parts = members.groupBy(*names, "i", "j").applyInPandas(
-        count_pairs, "similar long, differing long")
+    parts = _block_pairs(placed, names, steps, threshold, tolerance, block_rows)
     # Copies of one row are similar to each other and agree.
     copies = placed.agg(F.sum(F.expr("w * (w - 1) div 2")).alias("similar")).select(
         "similar", F.lit(0).cast("long").alias("differing"))
@@ -189,39 +168,118 @@ def individual_fairness(df: DataFrame, vector: str, y_pred: str, threshold: floa
         .alias("individual_fairness"))
 
 
-def _pair_counts(rows: pd.DataFrame, names: list[str], threshold: float,
-                 tolerance: float) -> tuple[int, int]:
-    """Weighted number of similar pairs between the rows of a cell and its guests, and how many
-    of them differ.  Of two rows of one cell the one with the lower (hash, vector) is the row."""
-    at_home = rows["home"].to_numpy()
-    if at_home.all() or not at_home.any():
+def _block_pairs(placed: DataFrame, names: list[str], steps: list[tuple], threshold: float, tolerance: float,
+                 block_rows: int) -> DataFrame:
+    """Numbers of similar and of differing pairs, by pairs of blocks.  ``placed`` has unit vectors ``v``, ``y``,
+    weights ``w``, a hash ``h``, its cell ``names`` and maybe ``signs``; cells meet that lie one of ``steps`` apart."""
+    cells = placed.groupBy(*names).agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / block_rows, F.sum(F.size("v")) * 8 / BLOCK_BYTES)).cast("int").alias("parts"))
+    step = F.inline(F.array(*[F.struct(F.lit(n).alias("step"), *[
+        (F.col(c) - F.lit(d)).alias(f"other_{c}") for c, d in zip(names, s, strict=True)]) for n, s in enumerate(steps)]))
+    others = cells.select(*[F.col(c).alias(f"other_{c}") for c in names], F.col("parts").alias("other_parts"))
+    same = F.lit(True)
+    for c in names:
+        same &= F.col(c) == F.col(f"other_{c}")
+    met = cells.select(*names, "parts", step).join(others, [f"other_{c}" for c in names]).withColumn("same", same)
+    blocks = met.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i")).select(
+        "*", F.explode(F.sequence(F.when(F.col("same"), F.col("i")).otherwise(F.lit(0)), F.col("other_parts") - 1))
+        .alias("j")).withColumn("within", F.col("same") & (F.col("i") == F.col("j")))
+    unit = [F.col(c).alias(f"at_{c}") for c in names] + [F.col(c) for c in ("step", "i", "j", "within")]
+    roles = blocks.select(*names, F.col("i").alias("block"), *unit, F.lit(True).alias("home")).unionByName(
+        blocks.where("NOT within").select(*[F.col(f"other_{c}").alias(c) for c in names], F.col("j").alias("block"),
+                                          *unit, F.lit(False).alias("home")))
+    dealt = placed.join(cells, names).withColumn("block", F.pmod("h", F.col("parts")).cast("int"))
+    data = [c for c in ("v", "y", "w", "signs") if c in placed.columns]
+    keys = [*[f"at_{c}" for c in names], "step", "i", "j", "within"]
+    members = dealt.join(roles, [*names, "block"]).select(*data, *keys, "home")
+
+    def count_pairs(rows: pa.Table) -> pa.Table:
+        similar, differing = _pair_counts(rows, threshold, tolerance)
+        return pa.table({"similar": pa.array([similar], pa.int64()), "differing": pa.array([differing], pa.int64())})
+
+    return members.groupBy(*keys).applyInArrow(count_pairs, "similar long, differing long")
+
+
+def _pair_counts(rows: pa.Table, threshold: float, tolerance: float) -> tuple[int, int]:
+    """Weighted number of similar pairs of two blocks, or within one, and how many of them differ; with ``signs`` only
+    pairs that agree on one.  Vectors of different lengths are not similar."""
+    if not rows.num_rows:
         return 0, 0
+    vectors = rows.column("v").combine_chunks()
+    lengths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+    flat, ends = vectors.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)
+    y, w = rows.column("y").to_numpy(), rows.column("w").to_numpy()
+    home, within = rows.column("home").to_numpy(), rows.column("within")[0].as_py()
+    order = np.argsort(y, kind="stable")
+    signs = rows.column("signs").to_pylist() if "signs" in rows.column_names else None
+
+    def side(at: np.ndarray, length: int) -> tuple:
+        v = flat[(ends[at] - length)[:, None] + np.arange(length)]
+        marks = None if signs is None else np.stack([np.frombuffer(signs[n], "uint8") for n in at])
+        return v, v.astype("float32"), y[at], w[at], marks
 
-    def side(mask):
-        part = rows[mask]
-        v = np.stack(part["v"].to_numpy()).astype("float64")
-        inside = np.all([part[f"from_{c}"] == part[c] for c in names], axis=0)
-        order = [(h, tuple(x), y) for h, x, y in zip(part["h"], v.tolist(), part["y"], strict=True)]
-        return (v / np.linalg.norm(v, axis=1, keepdims=True), part["y"].to_numpy(),
-                part["w"].to_numpy().astype("int64"), inside, order)
-
-    va, ya, wa, _, order_a = side(at_home)
-    vb, yb, wb, inside, order_b = side(~at_home)
-    rank = {key: n for n, key in enumerate(sorted(set(order_a) | set(order_b)))}
-    ra, rb = (np.array([rank[k] for k in keys]) for keys in (order_a, order_b))
     similar = differing = 0
-    for start in range(0, len(va), 1024):
-        stop = start + 1024
-        close = va[start:stop] @ vb.T >= threshold
-        # Each unordered pair of distinct rows once: guests from this cell only above the row.
-        close &= ~inside[None, :] | (rb[None, :] > ra[start:stop, None])
-        a, b = np.nonzero(close)
-        weight = wa[start + a] * wb[b]
-        similar += int(weight.sum())
-        differing += int(weight[np.abs(ya[start + a] - yb[b]) > tolerance].sum())
+    for length in np.unique(lengths):
+        mine = order[lengths[order] == length]
+        a = mine if within else mine[home[mine]]
+        b = mine if within else mine[~home[mine]]
+        if length and len(a) and len(b):
+            one = side(a, int(length))
+            s, d = _tile_counts(one, one if within else side(b, int(length)), within, threshold, tolerance)
+            similar, differing = similar + s, differing + d
     return similar, differing
 
 
+def _tile_counts(one: tuple, two: tuple, within: bool, threshold: float, tolerance: float) -> tuple[int, int]:
+    """``_pair_counts`` of rows in the order of y, tile by tile."""
+    (va, fa, ya, wa, sa), (vb, fb, yb, wb, sb) = one, two
+    # Single precision decides all pairs but those as near to the threshold as its error.
+    error = (va.shape[1] + 8) * 2.0 ** -23
+    # Tiles of one value of y each, where values repeat: then the columns that agree with it stand together.
+    starts = np.flatnonzero(np.r_[True, ya[1:] != ya[:-1]])
+    grouped = len(starts) * 64 <= len(ya) + 64 and not np.isnan(ya).any() and not np.isnan(yb).any()
+    cuts = [*starts.tolist(), len(ya)] if grouped else [0, len(ya)]
+    strips = [(k, min(k + TILE_ROWS, stop)) for start, stop in itertools.pairwise(cuts) for k in range(start, stop, TILE_ROWS)]
+    similar = differing = 0
+    for top, bottom in strips:
+        for left in range(top if within else 0, len(vb), TILE_COLUMNS):
+            right = min(left + TILE_COLUMNS, len(vb))
+            near = fa[top:bottom] @ fb[left:right].T
+            close = near >= threshold + error
+            p, q = np.nonzero((near >= threshold - error) ^ close)
+            for k in range(0, len(p), 65536):
+                x, z = p[k:k + 65536], q[k:k + 65536]
+                close[x, z] = np.einsum("ij,ij->i", va[top + x], vb[left + z]) >= threshold
+            if within and left < bottom:
+                close &= np.arange(left, right)[None, :] > np.arange(top, bottom)[:, None]
+            if sa is not None:
+                p, q = np.nonzero(close)
+                for k in range(0, len(p), 65536):
+                    x, z = p[k:k + 65536], q[k:k + 65536]
+                    close[x, z] = (sa[top + x] == sb[left + z]).any(axis=1)
+            similar += _weight(close, wa[top:bottom], wb[left:right])
+            if grouped:
+                agree = np.flatnonzero(np.abs(yb[left:right] - ya[top]) <= tolerance)
+                low, high = (agree[0], agree[-1] + 1) if len(agree) else (0, 0)
+                differing += _weight(close[:, :low], wa[top:bottom], wb[left:left + low])
+                differing += _weight(close[:, high:], wa[top:bottom], wb[left + high:right])
+            else:
+                close &= np.abs(ya[top:bottom, None] - yb[None, left:right]) > tolerance
+                differing += _weight(close, wa[top:bottom], wb[left:right])
+    return similar, differing
+
+
+def _weight(close: np.ndarray, wa: np.ndarray, wb: np.ndarray) -> int:
+    """Sum of the weights of the pairs that are close."""
+    heavy = np.flatnonzero(wb > 1)
+    if not len(heavy) and (wa == 1).all():
+        return int(np.count_nonzero(close))
+    each = np.count_nonzero(close, axis=1)
+    if len(heavy):
+        each = each + close[:, heavy] @ (wb[heavy] - 1)
+    return int((each * wa).sum())
+
+
 # -- individual fairness by bands of projections ------------------------------
 
 
@@ -259,7 +317,8 @@ def individual_fairness_banded(df: DataFrame, vector: str, y_pred: str, threshol
     needs to agree on one with the chance ``recall``, and more similar pairs have a higher one.  That
     chance is the column ``expected_recall``.  Rows join on (band, signs); a pair counts in the first
     band that it agrees on, so none counts twice.  A band's rows are dealt by hash into blocks of
-    about ``block_rows``, and each pair of blocks is one matrix product that gives two numbers.  Null
+    about ``block_rows``, and each pair of blocks is one matrix product that gives two numbers; bands so short that
+    a row meets all others several times over are checked on blocks of all rows instead, with the same result.  Null
     and zero vectors and null predictions are left out, copies are one weighted row.
     """
     bands = bands_for(threshold, bits, recall)
@@ -267,11 +326,40 @@ def individual_fairness_banded(df: DataFrame, vector: str, y_pred: str, threshol
                 .groupBy(F.transform(vector, lambda x: x.cast("double")).alias("v"),
                          F.col(y_pred).cast("double").alias("y"))
                 .agg(F.count(F.lit(1)).alias("w")))
+    distinct = settled(distinct)
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     placed = distinct.withColumn("norm", norm).where("norm > 0").select(
         F.transform("v", lambda x: x / F.col("norm")).alias("v"), "y", "w",
         F.xxhash64("v", "y").alias("h"))
     signed = placed.withColumn("signs", _signatures(bands, bits, seed)("v"))
+    if bands >= 1 << bits <= 256:
+        # A row would meet more rows in such short bands than there are: all pairs are compared in blocks instead, and
+        # similar ones count if they agree on a band.
+        pairs = _block_pairs(signed.withColumns({"cell": F.lit(0), "signs": _as_bytes("signs")}), ["cell"], [(0,)],
+                             threshold, tolerance, block_rows)
+    else:
+        pairs = _band_pairs(signed, threshold, tolerance, block_rows)
+    if threshold <= 1.0:
+        pairs = pairs.unionByName(placed.agg(F.sum(F.expr("w * (w - 1) div 2")).alias("similar")).select(
+            "similar", F.lit(0).cast("long").alias("differing")))
+    total = F.coalesce(F.sum("similar"), F.lit(0))
+    differing = F.coalesce(F.sum("differing"), F.lit(0))
+    agree = (1.0 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    return pairs.agg(
+        total.alias("similar_pairs"), differing.alias("differing_pairs"),
+        F.when(total > 0, F.lit(1.0) - differing / total).otherwise(1.0).alias("individual_fairness"),
+        F.lit(1.0 - (1.0 - agree) ** bands).alias("expected_recall"))
+
+
+def _as_bytes(signs: str) -> Column:
+    """Codes of up to eight bits as bytes."""
+    def pack(codes: pd.Series) -> pd.Series:
+        return codes.map(lambda row: np.asarray(row).astype("uint8").tobytes())
+
+    return F.pandas_udf(pack, "binary")(signs)
+
+
+def _band_pairs(signed: DataFrame, threshold: float, tolerance: float, block_rows: int) -> DataFrame:
     rows = signed.select("*", F.posexplode("signs").alias("band", "code"))
     sizes = rows.groupBy("band", "code").agg(
         F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("parts"),
@@ -285,17 +373,7 @@ def individual_fairness_banded(df: DataFrame, vector: str, y_pred: str, threshol
         similar, differing = _banded_counts(part, threshold, tolerance)
         return pd.DataFrame({"similar": [similar], "differing": [differing]})
 
-    pairs = dealt.groupBy("band", "code", "i", "j").applyInPandas(count_pairs, "similar long, differing long")
-    if threshold <= 1.0:
-        pairs = pairs.unionByName(placed.agg(F.sum(F.expr("w * (w - 1) div 2")).alias("similar")).select(
-            "similar", F.lit(0).cast("long").alias("differing")))
-    total = F.coalesce(F.sum("similar"), F.lit(0))
-    differing = F.coalesce(F.sum("differing"), F.lit(0))
-    agree = (1.0 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
-    return pairs.agg(
-        total.alias("similar_pairs"), differing.alias("differing_pairs"),
-        F.when(total > 0, F.lit(1.0) - differing / total).otherwise(1.0).alias("individual_fairness"),
-        F.lit(1.0 - (1.0 - agree) ** bands).alias("expected_recall"))
+    return dealt.groupBy("band", "code", "i", "j").applyInPandas(count_pairs, "similar long, differing long")
 
 
 def _banded_counts(part: pd.DataFrame, threshold: float, tolerance: float) -> tuple[int, int]:
