@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenhand.functions import automaton as A
+from evenhand.functions import text as T
 from evenhand.functions.matching import HITS, Listed
 from evenhand.lexicons import DEFAULT_LEXICONS, Lexicons
 
@@ -135,8 +136,48 @@ class TableLexicons:
 def term_findings(df: DataFrame, lexicon: DataFrame, text_col: str = "text", key: str = "doc_id",
                   whole_words: bool = True, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """One row per text and lexicon row whose term occurs, as a whole word unless asked otherwise: key, list,
-    category, subcategory, term, extra."""
-    found = with_hits(df.select(key, text_col), lexicon, text_col, key, shard_chars)
+    category, subcategory, term, extra.
+
+    A lexicon of more than ``shard_chars`` characters isn't broadcast for whole words: terms that begin and end
+    within a word are joined with the runs of as many words of each text, read once.  The automaton finds the
+    others, shard by shard.
+    """
+    texts = df.select(key, text_col)
+    terms = lexicon.where("term <> ''")
+    if whole_words and (terms.agg(F.sum(F.length("term"))).first()[0] or 0) > shard_chars:
+        term = F.col("term").cast("string")
+        wordy = term.rlike(f"^{T.WORD_CHAR}") & term.rlike(f"{T.WORD_CHAR}$")
+        words = F.regexp_count(term, F.lit(T.WORD_CHAR + "+"))
+        counts = sorted(r[0] for r in terms.where(wordy).select(words).distinct().collect())
+        joined = _joined(texts, terms.where(wordy), text_col, key, counts)
+        rest = terms.where(~wordy)
+        return joined if rest.isEmpty() else joined.unionByName(
+            _scanned(texts, rest, text_col, key, True, shard_chars))
+    return _scanned(texts, lexicon, text_col, key, whole_words, shard_chars)
+
+
+def _joined(df: DataFrame, terms: DataFrame, text_col: str, key: str, counts: list[int]) -> DataFrame:
+    """Rows of ``terms`` joined with the runs of words of each text, for the numbers of words in ``counts``."""
+    low = F.lower(F.coalesce(F.col(text_col), F.lit("")))
+
+    def runs(n: int) -> Column:
+        more = "" if n == 1 else rf"(?:[^\p{{L}}\p{{N}}_]++{T.WORD_CHAR}++){{{n - 1}}}"
+        return F.regexp_extract_all(low, F.lit(rf"{T.NOT_AFTER_WORD}(?=({T.WORD_CHAR}++{more}))"), F.lit(1))
+
+    found = F.array_distinct(F.concat(*[runs(n) for n in counts]))
+    held = df.select(key, F.explode_outer(found).alias("term")).where(F.col("term").isNotNull())
+    columns = [f for f in FIELDS if f not in ("term", "ord")]
+    listed = terms.select(F.col("term").cast("string").alias("term"), *[F.col(c).cast("string") for c in columns])
+    # As where shards meet by key: each of several rows with one key gets the finds of all, a null key none.
+    times = df.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("_times")).where("_times > 1")
+    rows = held.join(listed, "term").where(F.col(key).isNotNull()).join(times, key, "left")
+    copies = F.explode(F.sequence(F.lit(1), F.coalesce("_times", F.lit(1)))).alias("_copy")
+    return rows.select(key, *[f for f in FIELDS if f != "ord"], copies).drop("_copy")
+
+
+def _scanned(df: DataFrame, lexicon: DataFrame, text_col: str, key: str, whole_words: bool,
+             shard_chars: int) -> DataFrame:
+    found = with_hits(df, lexicon, text_col, key, shard_chars)
     rows = found.select(key, F.inline_outer(HITS)).where(F.col("term").isNotNull())
     if whole_words:
         rows = rows.where("word")
