@@ -144,15 +144,18 @@ def term_findings(df: DataFrame, lexicon: DataFrame, text_col: str = "text", key
     """
     texts = df.select(key, text_col)
     terms = lexicon.where("term <> ''")
-    if whole_words and (terms.agg(F.sum(F.length("term"))).first()[0] or 0) > shard_chars:
+    if whole_words:
         term = F.col("term").cast("string")
         wordy = term.rlike(f"^{T.WORD_CHAR}") & term.rlike(f"{T.WORD_CHAR}$")
         words = F.regexp_count(term, F.lit(T.WORD_CHAR + "+"))
-        counts = sorted(r[0] for r in terms.where(wordy).select(words).distinct().collect())
-        joined = _joined(texts, terms.where(wordy), text_col, key, counts)
-        rest = terms.where(~wordy)
-        return joined if rest.isEmpty() else joined.unionByName(
-            _scanned(texts, rest, text_col, key, True, shard_chars))
+        kinds = terms.groupBy(wordy.alias("wordy"), F.when(wordy, words).alias("words")).agg(
+            F.sum(F.length("term")).alias("chars")).collect()
+        if sum(k["chars"] for k in kinds) > shard_chars:
+            parts = [_joined(texts, terms.where(wordy), text_col, key, sorted(k["words"] for k in kinds if k["wordy"]))
+                     ] if any(k["wordy"] for k in kinds) else []
+            if not all(k["wordy"] for k in kinds):
+                parts.append(_scanned(texts, terms.where(~wordy), text_col, key, True, shard_chars))
+            return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return _scanned(texts, lexicon, text_col, key, whole_words, shard_chars)
 
 
