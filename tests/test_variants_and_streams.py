@@ -1,6 +1,9 @@
 import datetime
+import random
+import re
 
 import pytest
+from conftest import plan
 from pyspark.sql import functions as F
 
 from evenhand.operators import counterfactual as X
@@ -104,6 +107,59 @@ def test_renamed_variants_are_scored_around_their_places():
         assert X._Renamed(text).score(word, to) == X._text_score(text.replace(word, to)), (text, word, to)
 
 
+def plain_variants(text, others, words, names):
+    """Places of the distinct variants of a text by building each, with their score."""
+    rows = [(o["method"], o["target"], o["word"], n, -1, o["made"]) for n, o in enumerate(others)]
+    rows += [("name", target, word, len(others) + k, n, text.replace(word, to))
+             for k, word in enumerate(words) for n, (target, to) in enumerate(zip(X.NAME_LISTS, names, strict=True))
+             if to is not None and to != word]
+    seen, out = {text}, []
+    for *_, source, n, variant in sorted(rows, key=lambda r: r[:5]):
+        if variant not in seen:
+            seen.add(variant)
+            out.append((source, n, X._text_score(variant)))
+    return out
+
+
+def test_variants_are_told_apart_without_building_them():
+    """Against built variants: words that begin alike, or like a name, stand side by side or hold a scored word."""
+    parts = ["Li", "Lin", "Linda", "Ma", "Mary", "M", " ", ". ", "la", "zy", "n", "Weak", "İ", "We", "ak", "a"]
+    names = ["Ma", "Lin", "Linda", "Mary", "Zylazy", None, "Mary", "Weak"]
+    draw = random.Random(4)
+    for _ in range(3000):
+        text = "".join(draw.choices(parts, k=draw.randint(1, 9)))
+        words = list(dict.fromkeys(re.findall(r"(?<!\w)[A-Z][a-z]+(?!\w)", text)))
+        draw.shuffle(words)
+        made = [text.replace(draw.choice(parts), draw.choice(parts), 1) for _ in range(3)]
+        others = [{"method": m, "target": "t", "word": str(n), "made": v}
+                  for n, (m, v) in enumerate(zip(["gender", "race", "race"], made, strict=True))]
+        sources, picked, scores, short = X._variants_of(text, others, words, names, 1000, True)
+        want = plain_variants(text, others, words, names)
+        assert list(zip(sources.tolist(), picked.tolist(), scores.tolist(), strict=True)) == want, (text, words)
+        assert len(short) == len(want) + 1
+
+
+def test_long_texts_are_not_built_to_count_their_variants(monkeypatch):
+    """2,000 words of 8 names each: 16,000 variants, none of which is built."""
+    words = [f"Q{chr(97 + k // 676 % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}" for k in range(2000)]
+    names = [names[0] for names in X.NAME_LISTS.values()]
+    monkeypatch.setattr(X._Distinct, "_built", lambda *_: pytest.fail("built"))
+    monkeypatch.setattr(X, "_text_score", lambda _: pytest.fail("built"))
+    sources, *_, scores, short = X._variants_of(" lazy ".join(words) * 3, [], words, names, 100, True)
+    assert len(sources) == len(scores) == 16_000 - 2000 * (len(names) - len({*names})) and not short
+
+
+def test_a_text_is_cut_once_for_all_names(texts):
+    """No expression runs over the text for each name of a word."""
+    df = texts("Anna met Bob", "Éva met Anna in Annapolis", None)
+    for out in (X.substitutions(df, ("name",)), X.counterfactuals(df, methods=("name",))):
+        assert "regexp_replace" not in plan(out) and "concat_ws" in plan(out)
+    rows = X.substitutions(df, ("name", "template")).where("doc_id = 1").collect()
+    names = [r["variant"] for r in rows if r["method"] == "name"]
+    assert len(names) == 16 and len(rows) > 800
+    assert sorted(v.count("Anna") for v in names) == [0] * 8 + [1] * 8 and all(v.startswith("Éva met ") for v in names)
+
+
 def test_equal_variants_of_any_method_are_one(texts):
     """A template's sentence and a renamed text may be the same."""
     text = "The male person is lazy."
